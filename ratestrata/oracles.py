@@ -133,7 +133,7 @@ summary AS (
     SELECT base_currency, target_currency, rate AS latest_rate, inverse_rate, rate_date,
         rate_change_pct AS day_over_day_change_pct, currency_region AS region, primary_country_name,
         round(mean, 6) AS rate_avg_30d, round(low, 6) AS rate_min_30d, round(high, 6) AS rate_max_30d,
-        round(sd, 6) AS rate_volatility_30d,
+        round(round(sd, 8), 6) AS rate_volatility_30d,
         CASE WHEN sd / nullif(mean, 0) < 0.01 THEN 'low' WHEN sd / nullif(mean, 0) < 0.05 THEN 'medium'
             ELSE 'high' END AS volatility_tier,
         days_of_data, pipeline_run_id

@@ -13,7 +13,7 @@ from ratestrata.operators.cleaning import validate
 from ratestrata.plans import gold, quality, silver, staging
 from ratestrata.sources import audit
 from ratestrata.sources.base import Source
-from ratestrata.sources.landing import land, read_landing, to_landing
+from ratestrata.sources.landing import RATE_MONTH, PartitionBy, land, read_landing, to_landing
 
 RATE_KEYS = ["base_currency", "target_currency", "rate_date"]
 COUNTRY_KEYS = ["cca2"]
@@ -46,7 +46,7 @@ def ingest(
     keys: Sequence[str],
     run_id: str,
     extracted_at: datetime,
-    partition_by: str | None = None,
+    partition: PartitionBy | None = None,
     validated: bool = False,
     dag_id: str = "ingest",
 ) -> int:
@@ -58,7 +58,7 @@ def ingest(
         if validated:
             records, _ = validate(records, source.rule(records))
         landed = land(
-            spark, layers.path("bronze", table), to_landing(records, fields, extracted_at), keys, schema, partition_by
+            spark, layers.path("bronze", table), to_landing(records, fields, extracted_at), keys, schema, partition
         )
     except Exception as problem:
         audit.append_event(
@@ -123,12 +123,13 @@ def run_daily(
     extracted_at: datetime,
     rules: Sequence[quality.Rule] = tuple(quality.GOLD_RULES),
     validated: bool = False,
+    partition: PartitionBy = RATE_MONTH,
 ) -> DataFrame:
     """The whole run; repeating it with the same input changes nothing but the audit log."""
     layers = Layers(root)
     ingest(
         spark, rates, layers, "raw_currencies", schemas.RATE_FIELDS, RATE_KEYS, run_id, extracted_at,
-        "rate_date", validated,
+        partition, validated,
     )
     ingest(
         spark, countries, layers, "raw_countries", schemas.COUNTRY_FIELDS, COUNTRY_KEYS, run_id, extracted_at,

@@ -3,20 +3,39 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ratestrata.functions.text import double_text
+from ratestrata.functions.text import double_text, empty_to_null
 from ratestrata.operators.upsert import one_per_key, overwrite_by_key
 from ratestrata.schemas import LINEAGE
 from ratestrata.sources.base import as_timestamp
 
-# More distinct days than a landing table can plausibly receive at once: beyond it the
-# partition list is not collected, and the whole table is merged.
+# More distinct partitions than a batch can plausibly touch: beyond it the list is not
+# collected, and the whole table is merged.
 MOST_TOUCHED_PARTITIONS = 40_000
 
 
+@dataclass(frozen=True)
+class PartitionBy:
+    """Folders of a landed table: the first `length` characters of the text column `key`."""
+
+    name: str
+    key: str
+    length: int
+
+    def value(self) -> Column:
+        return empty_to_null(F.substring(self.key, 1, self.length))
+
+
+# A batch rewrites the partitions it touches. Months keep the files of a small feed few; take
+# days once a day fills files of its own.
+RATE_MONTH = PartitionBy("rate_month", "rate_date", 7)
+RATE_DAY = PartitionBy("rate_day", "rate_date", 10)
+
+
 def to_landing(df: DataFrame, columns: Sequence[str], loaded_at: datetime | str | Column) -> DataFrame:
     """Exactly `columns` as text, then lineage and `_loaded_at`. Missing columns are NULL,
     further ones are dropped, and NULL stays NULL."""
@@ -43,78 +62,86 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
-def _write(df: DataFrame, path: str, partition_by: str | None) -> None:
-    """`rebalance` evens out the files: a day that holds most rows is split among many
-    tasks, and small days share one."""
-    if partition_by is None:
+def _write(df: DataFrame, path: str, partition: PartitionBy | None = None) -> None:
+    """`rebalance` evens out the files: a partition that holds most rows is split among many
+    tasks, and small ones share one."""
+    if partition is None:
         df.hint("rebalance").write.mode("overwrite").parquet(path)
     else:
         (
-            df.hint("rebalance", F.col(partition_by))
+            df.withColumn(partition.name, partition.value())
+            .hint("rebalance", F.col(partition.name))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_by)
+            .partitionBy(partition.name)
             .parquet(path)
         )
 
 
-def read_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The landed table. The schema is given, so that text days are not read as dates."""
-    return spark.read.schema(schema).parquet(path)
+def read_landing(
+    spark: SparkSession, path: str, schema: T.StructType, partitions: DataFrame | None = None,
+    partition: PartitionBy | None = None,
+) -> DataFrame:
+    """The landed table; with `partitions`, the values of `partition` in that batch only.
 
-
-def _publish(spark: SparkSession, path: str, staged: str, schema: T.StructType, partition_by: str | None) -> None:
-    _write(read_landing(spark, staged, schema), path, partition_by)
+    The values go into the scan's partition filter, so no other folder is opened. There
+    are at most as many as the batch has months or days.
+    """
+    if partition is None or partitions is None:
+        return spark.read.schema(schema).parquet(path)
+    values = partitions.select(partition.value().alias("v")).distinct().limit(MOST_TOUCHED_PARTITIONS + 1)
+    touched = [row[0] for row in values.collect()]
+    # Text, or Spark would read a month as a date.
+    wider = T.StructType([*schema.fields, T.StructField(partition.name, T.StringType())])
+    table = spark.read.schema(wider).parquet(path)
+    if len(touched) <= MOST_TOUCHED_PARTITIONS:
+        folder = F.col(partition.name)
+        chosen = folder.isin([value for value in touched if value is not None])
+        table = table.filter(chosen | folder.isNull() if None in touched else chosen)
+    return table.select(*schema.fieldNames())
+
+
+def _publish(
+    spark: SparkSession, path: str, staged: str, schema: T.StructType, partition: PartitionBy | None
+) -> None:
+    _write(read_landing(spark, staged, schema), path, partition)
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(staged)
 
 
-def _touched_part(target: DataFrame, batch: DataFrame, partition_by: str) -> DataFrame:
-    """The partitions of `target` that `batch` writes to, named in the scan's partition filter."""
-    touched = [
-        row[0] for row in batch.select(partition_by).distinct().limit(MOST_TOUCHED_PARTITIONS + 1).collect()
-    ]
-    if len(touched) > MOST_TOUCHED_PARTITIONS:
-        return target
-    chosen = F.col(partition_by).isin([value for value in touched if value is not None])
-    return target.filter(chosen | F.col(partition_by).isNull() if None in touched else chosen)
-
-
 def land(
     spark: SparkSession,
     path: str,
     updates: DataFrame,
     keys: Sequence[str],
     schema: T.StructType,
-    partition_by: str | None = None,
+    partition: PartitionBy | None = None,
     order_by: str = "_extracted_at",
 ) -> int:
     """Upsert `updates` into the Parquet table at `path`; returns how many rows it wrote there
     of the batch. One writer at a time.
 
-    With `partition_by`, one of the keys, only the partitions that the batch touches are
+    With `partition`, of one of the keys, only the partitions that the batch touches are
     read and rewritten. The batch and the merged rows are written beside the table first, so
     the source is read once, and a driver that dies while publishing leaves a complete
     copy behind, which the next call publishes before anything else.
     """
-    if partition_by is not None and partition_by not in keys:
-        raise ValueError("partition_by must be one of the keys, or a key could sit in two partitions")
+    if partition is not None and partition.key not in keys:
+        raise ValueError("the partition must derive from a key, or a key could sit in two partitions")
     staged, arrived = path.rstrip("/") + "__staged", path.rstrip("/") + "__batch"
     if path_exists(spark, f"{staged}/_SUCCESS") and not read_landing(spark, staged, schema).isEmpty():
-        _publish(spark, path, staged, schema, partition_by)
+        _publish(spark, path, staged, schema, partition)
 
     batch = one_per_key(updates.select(*schema.fieldNames()), keys, order_by)
     if not path_exists(spark, path):
-        _write(batch, path, partition_by)
+        _write(batch, path, partition)
         return read_landing(spark, path, schema).count()
 
-    _write(batch, arrived, None)
+    _write(batch, arrived)
     batch = read_landing(spark, arrived, schema)
     # Counted from the stored files: an accumulator would count rerun tasks twice.
     rows = batch.count()
     if rows:
-        target = read_landing(spark, path, schema)
-        if partition_by is not None:
-            target = _touched_part(target, batch, partition_by)
-        _write(overwrite_by_key(target, batch, keys), staged, None)
-        _publish(spark, path, staged, schema, partition_by)
+        target = read_landing(spark, path, schema, batch, partition)
+        _write(overwrite_by_key(target, batch, keys), staged)
+        _publish(spark, path, staged, schema, partition)
     return rows

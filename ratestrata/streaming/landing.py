@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from ratestrata.sources.landing import land
+from ratestrata.sources.landing import PartitionBy, land
 
 
 def land_stream(
@@ -16,7 +16,7 @@ def land_stream(
     keys: Sequence[str],
     schema: T.StructType,
     checkpoint: str,
-    partition_by: str | None = None,
+    partition: PartitionBy | None = None,
     order_by: str = "_extracted_at",
 ) -> DataStreamWriter:
     """A writer that upserts `stream`, already in landing form, into the table at `path`.
@@ -25,6 +25,6 @@ def land_stream(
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        land(batch.sparkSession, path, batch, keys, schema, partition_by, order_by)
+        land(batch.sparkSession, path, batch, keys, schema, partition, order_by)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
