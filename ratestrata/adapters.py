@@ -1,175 +1,172 @@
 """The supplied star schema and event tables, read as rates, countries and runs.
 
 Everything is derived from whole tables. The same derivations stand in SQL in `oracles.py`.
+The frames are plans, kept per session as a stored table's would be; no rows are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Last shipping day of every supplied scale factor.
 AS_OF = "2001-11-04"
 EVENTS_AS_OF = "2024-01-20"
 
+# Seconds at the start of a day in UTC, whatever the session time zone.
+EPOCH = "cast(date_diff(cast({0} as date), date'1970-01-01') as bigint) * 86400"
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+once = lru_cache(maxsize=None)
 
 
-def epoch_seconds(day: Column) -> Column:
-    """Seconds at the start of a day in UTC, whatever the session time zone."""
-    return F.date_diff(day, F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
+@once
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    return lines.join(parts, lines.l_partkey == parts.p_partkey)
 
 
-def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price series in landing form: return flag as base, brand as target, price as rate.
+@once
+def staged_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price series in staged form: return flag as base, brand as target, price as rate.
 
     A pair has many lines per day, which play the part of repeated extractions.
     """
-    day = F.col("l_shipdate").cast("date")
-    return priced_lines(spark, sf_dir).select(
-        F.col("l_returnflag").alias("base_currency"),
-        F.col("p_brand").alias("target_currency"),
-        F.col("l_extendedprice").cast("decimal(20,8)").cast("string").alias("rate"),
-        F.date_format(day, "yyyy-MM-dd").alias("rate_date"),
-        epoch_seconds(day).cast("string").alias("timestamp"),
-        F.col("l_linestatus").alias("_source"),
-        F.expr("cast(l_shipdate + make_dt_interval(0, 0, 0, l_linenumber) as timestamp)").alias("_extracted_at"),
-        F.col("l_orderkey").cast("string").alias("_pipeline_run_id"),
+    return priced_lines(spark, sf_dir).selectExpr(
+        "l_returnflag as base_currency",
+        "p_brand as target_currency",
+        "cast(l_extendedprice as decimal(20,8)) as rate",
+        "cast(l_shipdate as date) as rate_date",
+        EPOCH.format("l_shipdate") + " as unix_timestamp",
+        "l_linestatus as source_system",
+        "timestampadd(SECOND, l_linenumber, cast(l_shipdate as timestamp)) as extracted_at",
+        "cast(l_orderkey as string) as pipeline_run_id",
     )
 
 
+LANDED = [
+    "base_currency",
+    "target_currency",
+    "cast(rate as string) as rate",
+    "cast(rate_date as string) as rate_date",
+    "cast(unix_timestamp as string) as timestamp",
+    "source_system as _source",
+    "extracted_at as _extracted_at",
+    "pipeline_run_id as _pipeline_run_id",
+    "extracted_at as _loaded_at",
+]
+
+
+@once
+def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same series in landing form, as text."""
+    return staged_rates(spark, sf_dir).selectExpr(*LANDED)
+
+
+@once
+def target_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All codes that can be a target: a far smaller table than the series."""
+    return table(spark, sf_dir, "part").selectExpr("p_brand as target_currency")
+
+
+@once
 def listed_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per nation the brands that its suppliers ship in more lines than their mean brand.
 
     Lines shrink to one row per supplier and brand before they meet the suppliers.
     """
-    shipped = priced_lines(spark, sf_dir).groupBy("l_suppkey", "p_brand").agg(F.count("*").alias("n"))
+    shipped = priced_lines(spark, sf_dir).groupBy("l_suppkey", "p_brand").count()
     suppliers = table(spark, sf_dir, "supplier")
     brands = (
-        shipped.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        shipped.join(suppliers, shipped.l_suppkey == suppliers.s_suppkey)
         .groupBy("s_nationkey", "p_brand")
-        .agg(F.sum("n").alias("n"))
-    )
-    nation = Window.partitionBy("s_nationkey")
-    return brands.withColumn("total", F.sum("n").over(nation)).withColumn("brands", F.count("*").over(nation)).filter(
-        F.col("n") * F.col("brands") > F.col("total")
-    ).select("s_nationkey", "p_brand", "n")
-
-
-def nation_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations with their region, once per market segment of their customers."""
-    segments = (
-        table(spark, sf_dir, "customer")
-        .groupBy("c_nationkey", "c_mktsegment")
-        .agg(F.max("c_custkey").alias("top"))
+        .sum("count")
+        .toDF("s_nationkey", "p_brand", "n")
     )
-    nations = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    return segments.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    return brands.selectExpr(
+        "*", "sum(n) over (partition by s_nationkey) as total", "count(*) over (partition by s_nationkey) as brands"
+    ).filter("n * brands > total").select("s_nationkey", "p_brand", "n")
 
 
+@once
 def raw_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Countries in landing form: a nation, extracted once per market segment."""
-    lists = listed_brands(spark, sf_dir).groupBy("s_nationkey").agg(
-        # At most as many members as there are brands.
-        F.array_join(F.sort_array(F.collect_list("p_brand")), ", ").alias("currencies")
-    )
-    capitals = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("c_home")).agg(
-        F.min("s_name").alias("capital")
-    )
+    """Countries in landing form: a nation, extracted once per market segment of its customers."""
+    # A list has at most as many members as there are brands.
+    lists = listed_brands(spark, sf_dir).selectExpr("s_nationkey as l_home", "p_brand").groupBy("l_home")
+    lists = lists.agg({"p_brand": "collect_list"}).toDF("l_home", "brands")
+    capitals = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg({"s_name": "min"}).toDF("c_home", "capital")
+    segments = table(spark, sf_dir, "customer").groupBy("c_nationkey", "c_mktsegment").agg({"c_custkey": "max"})
+    segments = segments.toDF("c_nationkey", "c_mktsegment", "top")
+    nations, regions = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     rows = (
-        nation_segments(spark, sf_dir)
-        .join(lists, F.col("n_nationkey") == F.col("s_nationkey"), "left")
-        .join(capitals, F.col("n_nationkey") == F.col("c_home"), "left")
+        segments.join(nations, segments.c_nationkey == nations.n_nationkey)
+        .join(regions, nations.n_regionkey == regions.r_regionkey)
+        .join(lists, nations.n_nationkey == lists.l_home, "left")
+        .join(capitals, nations.n_nationkey == capitals.c_home, "left")
+        .selectExpr("*", "cast(n_nationkey as bigint) as n")
     )
-    n = F.col("n_nationkey").cast("bigint")
-    people = F.col("top") * F.pow(F.lit(10), n % 6).cast("bigint")
-    spelling = F.array(*[F.lit(word) for word in ("TRUE", "yes", "0", "No", "maybe")])
-    return rows.select(
-        F.when((n == 24) & (F.col("c_mktsegment") == "MACHINERY"), "")
-        .otherwise(F.concat(F.lit("N"), n.cast("string"))).alias("cca2"),
-        F.col("n_name").alias("cca3"),
-        F.concat(F.lit(" "), "n_name", F.lit(" ")).alias("name_common"),
-        F.when(F.col("c_mktsegment") == "HOUSEHOLD", "  ")
-        .otherwise(F.concat(F.lit("Nation of "), "n_name")).alias("name_official"),
-        F.col("r_name").alias("region"),
-        F.when(n % 4 == 0, "").otherwise(F.concat("r_name", F.lit(" "), (n % 4).cast("string"))).alias("subregion"),
+    return rows.selectExpr(
+        "case when n = 24 and c_mktsegment = 'MACHINERY' then '' else concat('N', n) end as cca2",
+        "n_name as cca3",
+        "concat(' ', n_name, ' ') as name_common",
+        "case when c_mktsegment = 'HOUSEHOLD' then '  ' else concat('Nation of ', n_name) end as name_official",
+        "r_name as region",
+        "case when n % 4 = 0 then '' else concat(r_name, ' ', n % 4) end as subregion",
         "capital",
-        F.when(n == 13, "").otherwise(people.cast("string")).alias("population"),
-        F.when(n % 5 == 0, "").when(n % 7 == 0, "0")
-        .otherwise(((n + 1) * F.lit("1000.5").cast("decimal(6,1)")).cast("decimal(15,4)").cast("string"))
-        .alias("area_km2"),
-        "currencies",
-        F.col("c_mktsegment").alias("languages"),
-        F.lit("").alias("timezones"),
-        F.get(spelling, (n % 6).cast("int")).alias("is_un_member"),
-        F.concat(F.lit("flag "), n.cast("string")).alias("flag_emoji"),
-        F.lit("countries").alias("_source"),
-        F.when(F.col("top") % 17 != 0, F.expr(
-            "cast(timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(top % 86400 as int)) as timestamp)"
-        )).alias("_extracted_at"),
-        F.col("c_mktsegment").alias("_pipeline_run_id"),
+        "case when n = 13 then '' else cast(top * cast(pow(10, n % 6) as bigint) as string) end as population",
+        "case when n % 5 = 0 then '' when n % 7 = 0 then '0' "
+        "else cast(cast((n + 1) * 1000.5 as decimal(15,4)) as string) end as area_km2",
+        "array_join(sort_array(brands), ', ') as currencies",
+        "c_mktsegment as languages",
+        "'' as timezones",
+        "get(array('TRUE', 'yes', '0', 'No', 'maybe'), cast(n % 6 as int)) as is_un_member",
+        "concat('flag ', n) as flag_emoji",
+        "'countries' as _source",
+        "case when top % 17 <> 0 then timestampadd(SECOND, cast(top % 86400 as int), "
+        "cast(timestamp_ntz'2024-01-01 00:00:00' as timestamp)) end as _extracted_at",
+        "c_mktsegment as _pipeline_run_id",
     )
 
 
+@once
 def event_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in staged form: event type as base, user as target, value as rate."""
-    day = F.col("ts").cast("date")
-    return table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("base_currency"),
-        F.col("user_id").cast("string").alias("target_currency"),
-        F.col("value").cast("decimal(20,8)").alias("rate"),
-        day.alias("rate_date"),
-        epoch_seconds(day).alias("unix_timestamp"),
-        F.lit("events").alias("source_system"),
-        F.col("ts").cast("timestamp").alias("extracted_at"),
-        F.col("event_id").cast("string").alias("pipeline_run_id"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_type as base_currency",
+        "cast(user_id as string) as target_currency",
+        "cast(value as decimal(20,8)) as rate",
+        "cast(ts as date) as rate_date",
+        EPOCH.format("ts") + " as unix_timestamp",
+        "'events' as source_system",
+        "cast(ts as timestamp) as extracted_at",
+        "cast(event_id as string) as pipeline_run_id",
     )
 
 
+@once
 def event_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in landing form."""
-    return event_rates(spark, sf_dir).select(
-        "base_currency",
-        "target_currency",
-        F.col("rate").cast("string").alias("rate"),
-        F.date_format("rate_date", "yyyy-MM-dd").alias("rate_date"),
-        F.col("unix_timestamp").cast("string").alias("timestamp"),
-        F.col("source_system").alias("_source"),
-        F.col("extracted_at").alias("_extracted_at"),
-        F.col("pipeline_run_id").alias("_pipeline_run_id"),
-        F.col("extracted_at").alias("_loaded_at"),
-    )
+    return event_rates(spark, sf_dir).selectExpr(*LANDED)
 
 
+@once
 def event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a run: `error` fails, `view` never finishes, the rest succeeds."""
     events = table(spark, sf_dir, "events")
-    run = [
-        F.col("event_id").cast("string").alias("run_id"),
-        F.col("event_type").alias("dag_id"),
-        F.lit("events").alias("source_name"),
-    ]
-    none = F.lit(None)
-    failed = F.col("event_type") == "error"
-    started = events.select(
-        *run, F.lit("running").alias("status"), none.cast("bigint").alias("records_extracted"),
-        none.cast("bigint").alias("records_loaded"), F.col("ts").cast("timestamp").alias("started_at"),
-        none.cast("timestamp").alias("finished_at"), none.cast("string").alias("error_message"),
+    run = ["cast(event_id as string) as run_id", "event_type as dag_id", "'events' as source_name"]
+    started = events.selectExpr(
+        *run, "'running' as status", "cast(null as bigint) as records_extracted",
+        "cast(null as bigint) as records_loaded", "cast(ts as timestamp) as started_at",
+        "cast(null as timestamp) as finished_at", "cast(null as string) as error_message",
     )
-    finished = events.filter(F.col("event_type") != "view").select(
-        *run, F.when(failed, "failed").otherwise("success").alias("status"),
-        F.col("user_id").alias("records_extracted"),
-        F.when(failed, F.lit(0)).otherwise(F.col("user_id")).cast("bigint").alias("records_loaded"),
-        none.cast("timestamp").alias("started_at"),
-        F.expr("cast(ts + make_dt_interval(0, 0, 0, cast(value as decimal(18,6))) as timestamp)").alias("finished_at"),
-        F.when(failed, F.col("props")).alias("error_message"),
+    finished = events.filter("event_type <> 'view'").selectExpr(
+        *run, "if(event_type = 'error', 'failed', 'success') as status", "user_id as records_extracted",
+        "if(event_type = 'error', 0L, user_id) as records_loaded", "cast(null as timestamp) as started_at",
+        "cast(ts + make_dt_interval(0, 0, 0, cast(value as decimal(18,6))) as timestamp) as finished_at",
+        "if(event_type = 'error', props, null) as error_message",
     )
     return started.unionByName(finished)

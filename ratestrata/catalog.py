@@ -39,34 +39,33 @@ def query(fn: Query) -> Query:
 def plain(df: DataFrame) -> DataFrame:
     """Types that every engine prints alike."""
 
-    def column(field: T.StructField):
-        col, kind = F.col(f"`{field.name}`"), field.dataType
+    def column(field: T.StructField) -> str:
+        col, kind = f"`{field.name}`", field.dataType
         if isinstance(kind, T.DecimalType):
-            return col.cast("double")
+            return f"cast({col} as double) as {col}"
         if isinstance(kind, (T.DateType, T.BooleanType)):
-            return col.cast("string")
+            return f"cast({col} as string) as {col}"
         if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            return F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            return f"date_format({col}, 'yyyy-MM-dd HH:mm:ss.SSSSSS') as {col}"
         if isinstance(kind, (T.IntegerType, T.ShortType)):
-            return col.cast("bigint")
+            return f"cast({col} as bigint) as {col}"
         return col
 
-    return df.select(*[column(field).alias(field.name) for field in df.schema])
+    return df.selectExpr(*map(column, df.schema))
 
 
 # ---- shared inputs ----------------------------------------------------------------
 
 
-def staged_rates(spark: SparkSession, sf: str) -> DataFrame:
-    return staging.stage_rates(A.raw_rates(spark, sf))
-
-
+@A.once
 def countries(spark: SparkSession, sf: str) -> DataFrame:
     return silver.dim_countries(staging.stage_countries(A.raw_countries(spark, sf)))
 
 
 def facts(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.fct_rates(staged_rates(spark, sf), countries(spark, sf), hi=HIGHEST_PRICE)
+    return silver.fct_rates(
+        A.staged_rates(spark, sf), countries(spark, sf), hi=HIGHEST_PRICE, codes=A.target_codes(spark, sf)
+    )
 
 
 def summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,7 +73,9 @@ def summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def regional(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.rates_by_region(facts(spark, sf), countries(spark, sf), A.AS_OF)
+    return gold.rates_by_region(
+        facts(spark, sf), countries(spark, sf), A.AS_OF, codes=A.target_codes(spark, sf)
+    )
 
 
 def event_series(spark: SparkSession, sf: str) -> DataFrame:
@@ -173,7 +174,7 @@ def _event_payloads(spark, sf) -> DataFrame:
         F.lit("k"), F.get_json_object("props", "$.k").cast("decimal(20,8)"),
     )
     base = F.nullif(F.col("event_type"), F.lit("error")).alias("base")
-    seconds = (A.epoch_seconds(F.col("ts").cast("date")) + F.hour("ts") * 3600).alias("timestamp")
+    seconds = (F.expr(A.EPOCH.format("ts")) + F.hour("ts") * 3600).alias("timestamp")
     return events.select(F.to_json(F.struct(base, seconds, rates.alias("rates"))).alias("body"))
 
 
@@ -304,7 +305,7 @@ def recent_runs(spark, sf):
 
 @query
 def stage_rates(spark, sf):
-    return plain(staged_rates(spark, sf))
+    return plain(staging.stage_rates(A.raw_rates(spark, sf)))
 
 
 @query
@@ -332,7 +333,7 @@ def daily_change(spark, sf):
 
 @query
 def plausible(spark, sf):
-    return plain(series.plausible(staged_rates(spark, sf), "rate", 1000, HIGHEST_PRICE))
+    return plain(series.plausible(A.staged_rates(spark, sf), "rate", 1000, HIGHEST_PRICE))
 
 
 def _part_regions(spark, sf, match):
@@ -396,7 +397,9 @@ def currency_summary(spark, sf):
 
 @query
 def regional_daily(spark, sf):
-    daily_rows = gold.regional_daily(facts(spark, sf), countries(spark, sf), A.AS_OF)
+    daily_rows = gold.regional_daily(
+        facts(spark, sf), countries(spark, sf), A.AS_OF, codes=A.target_codes(spark, sf)
+    )
     return plain(rounded(daily_rows, 6, "avg_rate", "avg_rate_change_pct"))
 
 

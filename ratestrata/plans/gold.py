@@ -74,11 +74,11 @@ def currency_summary_joined(fct: DataFrame, as_of: date | str | Column, days: in
 
 
 def country_counts(
-    dim: DataFrame, fct: DataFrame, match: str = "substring", code_lengths: Sequence[int] | None = None
+    dim: DataFrame, codes: DataFrame, match: str = "substring", code_lengths: Sequence[int] | None = None
 ) -> DataFrame:
     """Distinct countries per region and listed code."""
     needed = dim.select("cca2", "region", "currencies").filter(F.col("region").isNotNull())
-    pieces = listed_codes(needed, "currencies", fct, "target_currency", match, code_lengths)
+    pieces = listed_codes(needed, "currencies", codes, "target_currency", match, code_lengths)
     return pieces.groupBy(F.col("region").alias("_region"), CODE).agg(
         F.count_distinct("cca2").alias("_countries")
     )
@@ -91,15 +91,17 @@ def regional_daily(
     days: int = DAYS,
     match: str = "substring",
     code_lengths: Sequence[int] | None = None,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """Statistics per day, pair, region and primary country since `as_of - days`.
 
     Joining every fact to all countries of its region that list its code would multiply
     rows only to count them. The count is taken per (region, code) beforehand. The
     averages stay the same, since a group repeats the one rate its pair has that day.
+    `codes` may name a smaller frame that holds the target currencies.
     """
     recent = fct.filter(F.col("rate_date") >= F.date_sub(as_date(as_of), days))
-    counts = country_counts(dim, recent, match, code_lengths)
+    counts = country_counts(dim, recent if codes is None else codes, match, code_lengths)
     matched = recent.join(
         counts, (F.col("currency_region") == F.col("_region")) & (F.col("target_currency") == F.col(CODE)), "left"
     )
@@ -124,9 +126,10 @@ def rates_by_region(
     days: int = DAYS,
     match: str = "substring",
     code_lengths: Sequence[int] | None = None,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """`regional_daily` with the mean of the last seven rows of each pair and region."""
-    daily = regional_daily(fct, dim, as_of, days, match, code_lengths)
+    daily = regional_daily(fct, dim, as_of, days, match, code_lengths, codes)
     # Two primary countries can share a series and a day; the name settles their order.
     series = moving_avg(
         daily, [*PAIR, "region"], ["rate_date", F.asc_nulls_first("primary_country_name")], "avg_rate"

@@ -50,15 +50,18 @@ def fct_rates(
     match: str = "substring",
     code_lengths: Sequence[int] | None = None,
     unique_by: Sequence[str] | None = None,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """One row per pair and day: newest, plausible, with its change and the region and name of
     the most populous country that lists the target currency.
 
     Two shuffles of the facts: by (pair, day), after the map side has dropped repeated
     extractions, and by pair for the change. Hashing by pair once would serve both, but
-    would bring all repeated extractions of a dominant pair into one task.
+    would bring all repeated extractions of a dominant pair into one task. `codes` may name
+    a smaller frame that holds the target currencies.
     """
-    newest = dedup_latest(staged, [*PAIR, "rate_date"], "extracted_at")
+    # The day first: sorting compares the key with the most values before the others.
+    newest = dedup_latest(staged, ["rate_date", *reversed(PAIR)], "extracted_at")
     changes = daily_change(plausible(newest, "rate", lo, hi), PAIR, "rate_date", "rate")
     return top_container(
         changes,
@@ -70,5 +73,5 @@ def fct_rates(
         match,
         code_lengths,
         unique_by,
-        codes=staged,
+        codes=staged if codes is None else codes,
     ).select(*FACT_COLUMNS)

@@ -32,10 +32,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     Only a local master may fall back to a temporary folder: on a cluster the
     executors would each see a different one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="ratestrata-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ratestrata-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

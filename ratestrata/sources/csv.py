@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -18,7 +20,6 @@ DELIMITERS = ",;\t|"
 SAMPLE_CHARACTERS = 4096
 
 BROKEN = "_broken_line"
-EXTRA = "_extra_cell"
 
 
 def sniff_delimiter(sample: str) -> str:
@@ -36,6 +37,11 @@ def _options(delimiter: str, encoding: str, multiline: bool, check_header: bool)
     }
 
 
+def _plain_path(path: str) -> str:
+    """Spark names a file in two ways: escaped or not, and with one or three slashes."""
+    return re.sub("^file:/+", "file:/", unquote(path))
+
+
 def _file_groups(
     spark: SparkSession, path: str, files: list[str], encoding: str | None, multiline: bool | None
 ) -> dict[tuple[str, bool], list[str]]:
@@ -60,7 +66,7 @@ def _file_groups(
         .agg(F.bool_or("latin").alias("latin"), F.bool_or("broken").alias("broken"))
     )
     # One row per exceptional file; the planner lists all files on the driver anyway.
-    seen = {row["file"]: row for row in odd.collect()}
+    seen = {_plain_path(row["file"]): row for row in odd.collect()}
     groups: dict[tuple[str, bool], list[str]] = {}
     for file in files:
         row = seen.get(file)
@@ -73,23 +79,20 @@ def _file_groups(
     return groups
 
 
+def _cells(line: Column, delimiter: str) -> Column:
+    """Cells of a line: its delimiters outside quotes, and one."""
+    unquoted = F.regexp_replace(line, '"[^"]*"', "")
+    return (F.length(unquoted) - F.length(F.replace(unquoted, F.lit(delimiter), F.lit("")))) / len(delimiter) + 1
+
+
 def _read_group(spark: SparkSession, files: list[str], header: list[str], options: dict) -> DataFrame:
     """Short lines are filled up with NULL; a line with too many cells fails the job."""
     schema = T.StructType([T.StructField(name, T.StringType()) for name in (*header, BROKEN)])
     rows = spark.read.schema(schema).options(**options).csv(files)
-    wider = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    wider.add(EXTRA, T.StringType())
-    # Only lines that the reader found broken are parsed again; \0 keeps an empty extra cell apart from none.
-    again = F.from_csv(
-        F.col(BROKEN), wider.simpleString()[len("struct<"):-1].replace(":", " "),
-        {"sep": options["sep"], "quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": "\0"},
-    )
-    too_long = F.col(BROKEN).isNotNull() & again[EXTRA].isNotNull()
-    checked = rows.filter(
-        F.when(too_long, F.raise_error(F.concat(F.lit("CSV line has too many cells: "), F.col(BROKEN)))
-               .cast("boolean")).otherwise(F.lit(True))
-    )
-    return checked.drop(BROKEN)
+    # Only lines that the reader found broken are looked at again.
+    too_long = F.col(BROKEN).isNotNull() & (_cells(F.col(BROKEN), options["sep"]) > len(header))
+    failure = F.raise_error(F.concat(F.lit("CSV line has too many cells: "), F.col(BROKEN)))
+    return rows.filter(F.when(too_long, failure.cast("boolean")).otherwise(F.lit(True))).drop(BROKEN)
 
 
 def read_csv(
@@ -108,7 +111,7 @@ def read_csv(
         lines = spark.read.text(path)
     except AnalysisException as problem:
         raise ExtractionError(f"CSV file not found: {path}") from problem
-    files = sorted(lines.inputFiles())
+    files = sorted(map(_plain_path, lines.inputFiles()))
     if not files:
         raise ExtractionError(f"CSV file not found: {path}")
     if delimiter is None:
