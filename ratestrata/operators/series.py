@@ -96,6 +96,9 @@ def moving_avg(
     n: int = 7,
     name: str = "rate_7d_moving_avg",
 ) -> DataFrame:
-    """Mean of the last `n` rows of the series (rows, not days); shorter at its start."""
+    """Mean of the last `n` rows of the series (rows, not days); shorter at its start.
+
+    Like `daily_change` it is for series of days, whose length the calendar bounds.
+    """
     frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(1 - n, Window.currentRow)
     return df.withColumn(name, F.avg(value).over(frame))

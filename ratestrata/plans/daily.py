@@ -12,7 +12,7 @@ from ratestrata import schemas
 from ratestrata.operators.cleaning import validate
 from ratestrata.plans import gold, quality, silver, staging
 from ratestrata.sources import audit
-from ratestrata.sources.base import Source
+from ratestrata.sources.base import ExtractionError, Source
 from ratestrata.sources.landing import RATE_MONTH, PartitionBy, land, read_landing, to_landing
 
 RATE_KEYS = ["base_currency", "target_currency", "rate_date"]
@@ -50,7 +50,7 @@ def ingest(
     validated: bool = False,
     dag_id: str = "ingest",
 ) -> int:
-    """Extract, land and audit one source. A failure is recorded and raised."""
+    """Extract, land and audit one source. A failure is recorded, and raised with the source's name."""
     schema = schemas.landing_schema(list(fields))
     audit.append_event(audit.run_started(spark, run_id, dag_id, source.name, now()), layers.runs)
     try:
@@ -67,7 +67,9 @@ def ingest(
             ),
             layers.runs,
         )
-        raise
+        if isinstance(problem, ExtractionError):
+            raise
+        raise ExtractionError(f"source '{source.name}': {problem}") from problem
     audit.append_event(
         audit.run_finished(spark, run_id, dag_id, source.name, "success", now(), landed, landed), layers.runs
     )
@@ -77,7 +79,7 @@ def ingest(
 def _store(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """Write a table and continue from the files: no later table recomputes this one, and a
     lost executor costs a scan, not the lineage before it."""
-    df.hint("rebalance").write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

@@ -63,10 +63,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _write(df: DataFrame, path: str, partition: PartitionBy | None = None) -> None:
-    """`rebalance` evens out the files: a partition that holds most rows is split among many
-    tasks, and small ones share one."""
+    """`rebalance` evens out the files of a partitioned table: a folder that gets most rows is
+    split among many tasks, and small ones share one."""
     if partition is None:
-        df.hint("rebalance").write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path)
     else:
         (
             df.withColumn(partition.name, partition.value())

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ratestrata import schemas
 from ratestrata.functions.text import empty_to_null, epoch_day, join_sorted
 from ratestrata.operators.cleaning import country_rule, rate_rule
-from ratestrata.sources.base import ExtractionError, Source
+from ratestrata.sources.base import Source
 
 REQUIRED = ["base", "rates", "timestamp"]
 
@@ -25,10 +25,21 @@ def broken_payloads(payloads: DataFrame) -> DataFrame:
     )
 
 
-def flatten_rates(payloads: DataFrame) -> DataFrame:
-    """One row per payload and currency; payloads that lack a field give none."""
-    complete = payloads.na.drop("any", subset=REQUIRED)
-    return complete.select(
+def require_complete(payloads: DataFrame) -> DataFrame:
+    """The payloads; the job that unfolds one without a required field fails and names the field.
+
+    The check is part of the `rates` expression, so the files are not scanned a second time
+    for it, and no filter can drop the payload before it.
+    """
+    rates = F.col("rates")
+    for name in reversed(REQUIRED):
+        failure = F.raise_error(F.lit(f"unexpected payload: missing field '{name}'"))
+        rates = F.when(F.col(name).isNull(), failure.cast(schemas.RATES_PAYLOAD["rates"].dataType)).otherwise(rates)
+    return payloads.withColumn("rates", rates)
+
+
+def _unfold(payloads: DataFrame) -> DataFrame:
+    return payloads.select(
         F.col("base").alias("base_currency"),
         F.explode("rates").alias("target_currency", "rate"),
         F.date_format(epoch_day(F.col("timestamp")), "yyyy-MM-dd").alias("rate_date"),
@@ -36,6 +47,11 @@ def flatten_rates(payloads: DataFrame) -> DataFrame:
     )
 
 
+def flatten_rates(payloads: DataFrame) -> DataFrame:
+    """One row per payload and currency; payloads that lack a field give none."""
+    return _unfold(payloads.na.drop("any", subset=REQUIRED))
+
+
 def flatten_countries(payloads: DataFrame) -> DataFrame:
     """One flat row per country object. JSON null is treated like an absent field."""
 
@@ -83,11 +99,7 @@ class RatesSource(_JsonSource):
         super().__init__(name, path, multiline)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        payloads = self.payloads(spark)
-        broken = broken_payloads(payloads).select("missing_fields").first()
-        if broken:
-            raise ExtractionError(f"unexpected payload: missing field '{broken[0]}'")
-        return flatten_rates(payloads)
+        return _unfold(require_complete(self.payloads(spark)))
 
     def rule(self, df: DataFrame) -> Column:
         return rate_rule()

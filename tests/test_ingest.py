@@ -194,8 +194,10 @@ def test_rate_day_is_utc_in_any_session_zone(spark):
 
 
 def test_missing_field(spark, frame, tmp_path):
-    with pytest.raises(ExtractionError, match="missing field 'rates'"):
-        RatesSource(path=write(tmp_path, '{"base": "USD", "timestamp": 1}', "r.json")).extract(spark, None, NOW)
+    with pytest.raises(Exception, match="missing field 'rates'"):
+        RatesSource(path=write(tmp_path, '{"base": "USD", "timestamp": 1}', "r.json")).extract(spark, None, NOW).collect()
+    with pytest.raises(Exception, match="missing field 'base'"):
+        RatesSource(path=write(tmp_path, '{"timestamp": 1, "rates": {"A": 1}}', "r.json")).read(spark).count()
     payloads = parse_payloads(frame("body string", ("no json",), (RATES,)), "body")
     assert [row.missing_fields for row in broken_payloads(payloads).collect()] == ["base, rates, timestamp"]
     assert flatten_rates(payloads).count() == 3
