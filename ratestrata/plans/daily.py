@@ -107,7 +107,7 @@ def transform(
     def store(name: str, df: DataFrame) -> None:
         tables[name] = _store(spark, df, layers.path("gold", name))
 
-    store("agg_currency_summary", gold.currency_summary(fct, as_of))
+    store("agg_currency_summary", gold.currency_summary_joined(fct, as_of))
     store("agg_rates_by_region", gold.rates_by_region(fct, dim, as_of))
     store("agg_country_currency_map", gold.country_currency_map(dim, tables["agg_currency_summary"]))
     results = _store(spark, quality.run_checks(tables, rules), layers.path("gold", "check_results"))
