@@ -14,17 +14,13 @@ def has_null(keys: Sequence[str]) -> Column:
     return reduce(lambda left, right: left | right, [F.col(key).isNull() for key in keys])
 
 
-def one_per_key(updates: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
-    """Last writer per key. Rows with a NULL key equal no other row, so all of them stay,
-    and none is shuffled."""
-    keyed = dedup_latest(updates.filter(~has_null(keys)), keys, order_by)
-    return keyed.unionByName(updates.filter(has_null(keys)))
-
-
-def overwrite_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """`target` with the rows of `batch`, which holds each key once, in place of its own."""
-    untouched = target.join(batch.select(*keys), list(keys), "left_anti")
-    return untouched.select(*target.columns).unionByName(batch)
+def one_per_key(rows: DataFrame, keys: Sequence[str], order_by: str, ties: Sequence[str] | None = None) -> DataFrame:
+    """Last writer per key. A row with a NULL key equals no other row, so all of them stay:
+    each gets a number of its own, which also spreads them over the tasks."""
+    if ties is None:
+        ties = [name for name in rows.columns if name not in (*keys, order_by)]
+    alone = F.when(has_null(keys), F.monotonically_increasing_id())
+    return dedup_latest(rows.withColumn("_alone", alone), [*keys, "_alone"], order_by, ties).drop("_alone")
 
 
 def upsert(
@@ -42,6 +38,6 @@ def upsert(
     if newest_wins:
         both = target.withColumn("_written", F.lit(0)).unionByName(updates.withColumn("_written", F.lit(1)))
         rest = [name for name in target.columns if name not in (*keys, order_by)]
-        keyed = dedup_latest(both.filter(~has_null(keys)), keys, order_by, ["_written", *rest])
-        return keyed.unionByName(both.filter(has_null(keys))).drop("_written")
-    return overwrite_by_key(target, one_per_key(updates, keys, order_by), keys)
+        return one_per_key(both, keys, order_by, ["_written", *rest]).drop("_written")
+    untouched = target.join(updates.select(*keys), list(keys), "left_anti")
+    return untouched.select(*target.columns).unionByName(one_per_key(updates, keys, order_by))

@@ -13,7 +13,7 @@ from ratestrata.operators.cleaning import validate
 from ratestrata.plans import gold, quality, silver, staging
 from ratestrata.sources import audit
 from ratestrata.sources.base import ExtractionError, Source
-from ratestrata.sources.landing import RATE_MONTH, PartitionBy, land, read_landing, to_landing
+from ratestrata.sources.landing import RATE_MONTH, Landed, PartitionBy, land, read_landing, to_landing
 
 RATE_KEYS = ["base_currency", "target_currency", "rate_date"]
 COUNTRY_KEYS = ["cca2"]
@@ -49,7 +49,7 @@ def ingest(
     partition: PartitionBy | None = None,
     validated: bool = False,
     dag_id: str = "ingest",
-) -> int:
+) -> Landed:
     """Extract, land and audit one source. A failure is recorded, and raised with the source's name."""
     schema = schemas.landing_schema(list(fields))
     audit.append_event(audit.run_started(spark, run_id, dag_id, source.name, now()), layers.runs)
@@ -71,7 +71,7 @@ def ingest(
             raise
         raise ExtractionError(f"source '{source.name}': {problem}") from problem
     audit.append_event(
-        audit.run_finished(spark, run_id, dag_id, source.name, "success", now(), landed, landed), layers.runs
+        audit.run_finished(spark, run_id, dag_id, source.name, "success", now(), *landed), layers.runs
     )
     return landed
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ratestrata.functions.text import double_text, empty_to_null
-from ratestrata.operators.upsert import one_per_key, overwrite_by_key
+from ratestrata.operators.upsert import has_null, one_per_key, upsert
 from ratestrata.schemas import LINEAGE
 from ratestrata.sources.base import as_timestamp
 
@@ -108,6 +109,13 @@ def _publish(
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(staged)
 
 
+class Landed(NamedTuple):
+    """Rows a batch held, and rows of it that were written: one per key."""
+
+    extracted: int
+    loaded: int
+
+
 def land(
     spark: SparkSession,
     path: str,
@@ -116,32 +124,33 @@ def land(
     schema: T.StructType,
     partition: PartitionBy | None = None,
     order_by: str = "_extracted_at",
-) -> int:
-    """Upsert `updates` into the Parquet table at `path`; returns how many rows it wrote there
-    of the batch. One writer at a time.
+) -> Landed:
+    """Upsert `updates` into the Parquet table at `path`. One writer at a time.
 
+    The batch is first written beside the table as it came, so the source is parsed once,
+    and the counts come from stored files: an accumulator would count rerun tasks twice.
     With `partition`, of one of the keys, only the partitions that the batch touches are
-    read and rewritten. The batch and the merged rows are written beside the table first, so
-    the source is read once, and a driver that dies while publishing leaves a complete
-    copy behind, which the next call publishes before anything else.
+    read and rewritten. The merged rows are stored, too, before they replace them: a driver
+    that dies while publishing leaves a complete copy, which the next call publishes
+    before anything else.
     """
     if partition is not None and partition.key not in keys:
         raise ValueError("the partition must derive from a key, or a key could sit in two partitions")
-    staged, arrived = path.rstrip("/") + "__staged", path.rstrip("/") + "__batch"
+    staged, arrived = path.rstrip("/") + "__staged", path.rstrip("/") + "__arrived"
     if path_exists(spark, f"{staged}/_SUCCESS") and not read_landing(spark, staged, schema).isEmpty():
         _publish(spark, path, staged, schema, partition)
 
-    batch = one_per_key(updates.select(*schema.fieldNames()), keys, order_by)
-    if not path_exists(spark, path):
-        _write(batch, path, partition)
-        return read_landing(spark, path, schema).count()
-
-    _write(batch, arrived)
+    _write(updates.select(*schema.fieldNames()), arrived)
     batch = read_landing(spark, arrived, schema)
-    # Counted from the stored files: an accumulator would count rerun tasks twice.
-    rows = batch.count()
-    if rows:
+    extracted = batch.count()
+    if extracted == 0:
+        return Landed(0, 0)
+    null_key = has_null(keys)
+    loaded = batch.filter(~null_key).select(*keys).distinct().count() + batch.filter(null_key).count()
+    if path_exists(spark, path):
         target = read_landing(spark, path, schema, batch, partition)
-        _write(overwrite_by_key(target, batch, keys), staged)
+        _write(upsert(target, batch, keys, order_by), staged)
         _publish(spark, path, staged, schema, partition)
-    return rows
+    else:
+        _write(one_per_key(batch, keys, order_by), path, partition)
+    return Landed(extracted, loaded)

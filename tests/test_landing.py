@@ -77,12 +77,12 @@ def test_landed_table(spark, tmp_path, partition):
     def land(*rows):
         return L.land(spark, path, batch(spark, *rows), KEYS, schemas.RAW_RATES, partition)
 
-    assert land(("EUR", "2024-01-01", "1", 1), ("EUR", "2024-01-01", "2", 2), ("EUR", "2024-02-01", "3", 1)) == 2
-    assert land(("EUR", "2024-02-01", "4", 3), ("GBP", "2024-02-01", "5", 3), ("GBP", None, "6", 3)) == 3
+    assert land(("EUR", "2024-01-01", "1", 1), ("EUR", "2024-01-01", "2", 2), ("EUR", "2024-02-01", "3", 1)) == (3, 2)
+    assert land(("EUR", "2024-02-01", "4", 3), ("GBP", "2024-02-01", "5", 3), ("GBP", None, "6", 3)) == (3, 3)
     expected = [("EUR", "2024-01-01", "2"), ("EUR", "2024-02-01", "4"), ("GBP", "2024-02-01", "5"), ("GBP", None, "6")]
     assert stored(spark, path) == sorted(expected, key=str)
-    assert land() == 0
-    assert land(("EUR", "2024-02-01", "4", 3), ("GBP", "2024-02-01", "5", 3)) == 2
+    assert land() == (0, 0)
+    assert land(("EUR", "2024-02-01", "4", 3), ("GBP", "2024-02-01", "5", 3)) == (2, 2)
     assert stored(spark, path) == sorted(expected, key=str)
 
 
