@@ -37,6 +37,14 @@ def newest(source: str, keys: str, order: str, ties: list[str]) -> str:
         QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {order} DESC NULLS FIRST, {tail}) = 1)"""
 
 
+def change_pct(rate: str, previous: str) -> str:
+    """Change in percent, rounded half away from zero at four places, in whole numbers: the
+    division of decimals would pass through a double and round exact halves either way."""
+    step = f"abs(cast(({rate} - {previous}) * 100000000 AS hugeint))"
+    unit = f"cast({previous} * 100000000 AS hugeint)"
+    return f"sign({rate} - {previous}) * ((2 * {step} * 1000000 + {unit}) // (2 * {unit})) / 10000.0"
+
+
 PAIR = "base_currency, target_currency"
 PAIR_DAY = f"{PAIR}, rate_date"
 STAGED_TIES = ["rate", "unix_timestamp", "source_system", "pipeline_run_id"]
@@ -104,11 +112,9 @@ def fct_cte(source: str = "raw_rates", hi: int = HIGHEST_PRICE, ties: list[str]
     """The facts with the containment written as the naive pattern match."""
     return f"""deduped AS (SELECT * FROM {newest(source, PAIR_DAY, "extracted_at", ties)}),
 changed AS (
-    SELECT *, round(1.0 / nullif(rate, 0), 8) AS inverse_rate, lag(rate) OVER pair AS previous_day_rate,
-        CASE WHEN lag(rate) OVER pair <> 0
-            THEN round((rate - lag(rate) OVER pair) / lag(rate) OVER pair * 100, 4) END AS rate_change_pct
-    FROM deduped WHERE rate > 0 AND rate < {hi}
-    WINDOW pair AS (PARTITION BY {PAIR} ORDER BY rate_date)),
+    SELECT *, round(1.0 / nullif(rate, 0), 8) AS inverse_rate, {change_pct("rate", "previous_day_rate")} AS rate_change_pct
+    FROM (SELECT *, lag(rate) OVER (PARTITION BY {PAIR} ORDER BY rate_date) AS previous_day_rate
+        FROM deduped WHERE rate > 0 AND rate < {hi})),
 codes AS (SELECT DISTINCT target_currency AS code FROM changed),
 holders AS (SELECT code, dim.* FROM codes JOIN dim ON currencies LIKE '%' || code || '%'),
 winners AS (
@@ -290,7 +296,7 @@ DAILY = ",\n".join([
     RAW_RATES,
     """day_rates AS (
         SELECT base_currency, target_currency, rate, cast(rate AS varchar) AS digits, rate_date, unix_timestamp,
-            'rates_api' AS source_system, timestamp '2024-01-15' AS extracted_at, 'run_002' AS pipeline_run_id
+            'rates_api' AS source_system, timestamp '2024-01-15' AS extracted_at, 'run_001' AS pipeline_run_id
         FROM raw_rates)""",
     fct_cte("day_rates", 1000000, ["digits"]),
     summary_cte(),
@@ -392,7 +398,7 @@ ORACLES = {
     "daily_change": whole(
         SERIES,
         f"""SELECT {PAIR}, {text("rate_date")}, {number("rate")}, {number("round(1.0 / nullif(rate, 0), 8)", "inverse_rate")},
-            {number("prev", "previous_day_rate")}, {number("round((rate - prev) / prev * 100, 4)", "rate_change_pct")}
+            {number("prev", "previous_day_rate")}, {number(change_pct("rate", "prev"), "rate_change_pct")}
         FROM (SELECT *, lag(rate) OVER (PARTITION BY {PAIR} ORDER BY rate_date) AS prev
             FROM series WHERE rate > 1 AND rate < 400)""",
     ),

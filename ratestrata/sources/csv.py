@@ -115,7 +115,8 @@ def read_csv(
     if not files:
         raise ExtractionError(f"CSV file not found: {path}")
     if delimiter is None:
-        head = spark.read.text(files[0]).limit(200).collect()
+        starts = spark.read.text(files[0]).select(F.substring("value", 1, SAMPLE_CHARACTERS))
+        head = starts.limit(200).collect()
         delimiter = sniff_delimiter("\n".join(row[0] for row in head) + "\n")
     groups = _file_groups(spark, path, files, encoding, multiline)
     first = next(how for how, members in groups.items() if files[0] in members)
