@@ -1,7 +1,7 @@
 from datetime import datetime, timezone
 
 import pytest
-from conftest import tuples
+from conftest import plan, tuples
 from pyspark.sql import functions as F
 
 from ratestrata import schemas
@@ -153,3 +153,4 @@ def test_runs(spark, tmp_path):
         ("r1", "success", 9, None, 0), ("r2", "failed", 0, "boom", 2), ("r3", "running", None, None, 4),
     ]
     assert [row.status for row in audit.recent_runs(state, 2).collect()] == ["running", "failed"]
+    assert "TakeOrderedAndProject(limit=2" in plan(audit.recent_runs(state, 2))

@@ -1,3 +1,4 @@
+import random
 from datetime import date
 from decimal import Decimal
 
@@ -217,3 +218,53 @@ def test_facts_shuffle_twice(spark, frame, tmp_path):
     facts_side = text[: text.index("BroadcastExchange")]
     assert facts_side.count("Exchange hashpartitioning") == 2
     assert "PushedFilters" in text and "flag_emoji" not in text
+
+
+def brute_force_facts(rows, countries, lo, hi):
+    """Facts by plain loops over staged rows and (name, region, population, list) tuples."""
+    newest = {}
+    for row in rows:
+        base, target, value, day, second, run = row
+        key = (base, target, day)
+        if key not in newest or (second, value, run) > newest[key][0]:
+            newest[key] = ((second, value, run), value)
+    out, previous = [], {}
+    for base, target, day in sorted(newest, key=lambda key: key[2]):
+        value = newest[base, target, day][1]
+        if not lo < value < hi:
+            continue
+        before = previous.get((base, target))
+        change = before and round(float((value - before) / before * 100), 3)
+        previous[base, target] = value
+        held = [c for c in countries if c[3] and target in c[3]]
+        top = max((c[2] for c in held), default=None)
+        for _, region in [(c[0], c[1]) for c in held if c[2] == top] or [(None, None)]:
+            out.append((base, target, day, value, before, change, region))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_facts_equal_brute_force_with_a_dominant_pair(spark, frame, seed):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(1500):
+        hot = rng.random() < 0.35
+        target = "EUR" if hot else rng.choice(["EURO", "USD", "U", "ZZZ"])
+        day = "2024-01-01" if hot and rng.random() < 0.5 else f"2024-01-{rng.randint(1, 28):02}"
+        rows.append(("USD" if hot else rng.choice("ab"), target, Decimal(rng.randint(0, 4000)) / 4, day,
+                     rng.randint(0, 50), str(rng.randint(100, 999))))
+    countries = [("A", "r1", 5, "EUR, USD"), ("B", "r2", 9, "EURO"), ("C", "r3", 9, "EUR"), ("D", "r4", 1, None)]
+    staged = frame("base_currency string, target_currency string, rate decimal(20,8), day string, second int, "
+                   "pipeline_run_id string", *rows).repartition(6).selectExpr(
+        "base_currency", "target_currency", "rate", "cast(day as date) as rate_date", "0L as unix_timestamp",
+        "'s' as source_system", "timestamp_seconds(second) as extracted_at", "pipeline_run_id")
+    dim_rows = frame("name_common string, region string, population bigint, currencies string", *countries)
+    got = silver.fct_rates(staged, dim_rows, hi=900).select(
+        "base_currency", "target_currency", F.col("rate_date").cast("string"), "rate", "previous_day_rate",
+        F.round("rate_change_pct", 3).cast("double"), "currency_region")
+    expected = [
+        (*row[:3], row[3].quantize(Decimal("1e-8")), row[4] and row[4].quantize(Decimal("1e-8")), row[5], row[6])
+        for row in brute_force_facts(rows, countries, 0, 900)
+    ]
+    near = [(*row[:5], row[5] and pytest.approx(row[5], abs=0.0011), row[6]) for row in sorted(expected, key=lambda r: str((*r[:5], r[6])))]
+    assert sorted(map(tuple, got.collect()), key=lambda r: str((*r[:5], r[6]))) == near
