@@ -154,3 +154,25 @@ def test_runs(spark, tmp_path):
     ]
     assert [row.status for row in audit.recent_runs(state, 2).collect()] == ["running", "failed"]
     assert "TakeOrderedAndProject(limit=2" in plan(audit.recent_runs(state, 2))
+
+
+def test_a_batch_of_too_many_partitions_merges_the_whole_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(L, "MOST_TOUCHED_PARTITIONS", 1)
+    path = str(tmp_path / "t")
+    args = (KEYS, schemas.RAW_RATES, L.RATE_DAY)
+    L.land(spark, path, batch(spark, *[("A", f"2024-01-0{d}", "1", 1) for d in (1, 2, 3)]), *args)
+    L.land(spark, path, batch(spark, *[("A", f"2024-01-0{d}", "2", 2) for d in (2, 3, 4)]), *args)
+    assert stored(spark, path) == [
+        ("A", "2024-01-01", "1"), ("A", "2024-01-02", "2"), ("A", "2024-01-03", "2"), ("A", "2024-01-04", "2"),
+    ]
+
+
+def test_most_rows_of_a_batch_in_one_key_or_without_a_key(spark):
+    hot = spark.range(0, 3000, 1, 6).selectExpr(
+        "case when id % 3 = 0 then 'hot' when id % 3 = 1 then null else cast(id as string) end as k",
+        "'1' as d", "cast(id as string) as v", "id as _extracted_at")
+    written = upsert(hot.limit(0), hot, ["k", "d"])
+    text = plan(written)
+    assert text.index("Exchange hashpartitioning") < text.index(", Partial")
+    rows = tuples(written)
+    assert len(rows) == 1 + 1000 + 1000 and [r for r in rows if r[0] == "hot"] == [("hot", "1", "2997", 2997)]
