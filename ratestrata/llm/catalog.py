@@ -1,10 +1,20 @@
 """The queries of this subpackage, and the SQL of those that SQL can express."""
 
+from ratestrata.llm.long_repeats import OP4_SQL, op4_long_repeats
 from ratestrata.llm.near_duplicates import OP9_SQL, op9_near_duplicates
+from ratestrata.llm.packing import op6_packing
+from ratestrata.llm.quality_classifier import op10_quality_classifier
+from ratestrata.llm.quality_rules import OP2_SQL, op2_quality_rules
 
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
+    "op4_long_repeats": op4_long_repeats,
+    "op6_packing": op6_packing,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES = {
+    "op2_quality_rules": OP2_SQL,
+    "op4_long_repeats": OP4_SQL,
     "op9_near_duplicates": OP9_SQL,
 }
