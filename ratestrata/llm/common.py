@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
@@ -37,7 +38,9 @@ class Workspace:
 
     def store(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         path, schema = f"{self.root}/{name}", df.schema
-        writer = df.write.partitionBy(partition_by) if partition_by else df.write
+        writer = df.write.option("compression", "zstd")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
         writer.parquet(path)
         del df, writer
         self.release()
@@ -186,5 +189,39 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+class Remembered:
+    """Ids of units, such as words, encoded once for each Python worker; a worker forgets when there are `most`."""
+
+    def __init__(self, encode, most: int = 300_000) -> None:
+        self.encode_unit, self.most = encode, most
+        self.forget()
+
+    def forget(self) -> None:
+        self.codes: dict[str, int] = {}
+        self.lengths, self.flat, self.arrays = array("q"), array("I"), None
+
+    def encode(self, split: list[list[str]]) -> list[np.ndarray]:
+        """Ids of each text, given as its units."""
+        if len(self.codes) > self.most:
+            self.forget()
+        new = {unit for units in split for unit in units}.difference(self.codes)
+        for unit in new:
+            ids = self.encode_unit(unit)
+            self.codes[unit] = len(self.lengths)
+            self.lengths.append(len(ids))
+            self.flat.extend(ids)
+        if new or self.arrays is None:
+            lengths = np.array(self.lengths, np.int64)
+            self.arrays = lengths, np.cumsum(lengths) - lengths, np.array(self.flat, np.uint32)
+        lengths, offsets, flat = self.arrays
+        out = []
+        for units in split:
+            codes = np.fromiter(map(self.codes.__getitem__, units), np.int64, len(units))
+            n = lengths[codes]
+            ends = np.cumsum(n)
+            out.append(flat[np.arange(int(n.sum())) + np.repeat(offsets[codes] - ends + n, n)])
+        return out
+
+
 def binary_array(rows: list[bytes]) -> pa.Array:
     return pa.array(rows, pa.binary())

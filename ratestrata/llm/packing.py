@@ -21,15 +21,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ratestrata.llm.common import Workspace, slices, texts_of
+from ratestrata.llm.common import Remembered, Workspace, slices, texts_of
 
 SEQUENCE = 2048
 END = 0
 #: Pieces of a shard. A packed shard wastes less than one sequence more than the best packing of all pieces would.
 SHARD = 8192
 ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3, 2, 6, 4
-#: Units (a blank and what follows up to the next) whose ids a worker remembers.
-REMEMBERED = 300_000
 
 
 class ByteUnits:
@@ -56,41 +54,11 @@ class ByteUnits:
         ranks = {bytes(to_byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self.encoding = tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
-        self.forget()
-
-    def forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.lengths, self.offsets, self.flat, self.size = [], [], [], 0
-        self.arrays = None
-
-    def _learn(self, units: list[str]) -> None:
-        for unit in units:
-            ids = self.encoding.encode(unit, allowed_special="all")
-            self.codes[unit] = len(self.lengths)
-            self.lengths.append(len(ids))
-            self.offsets.append(self.size)
-            self.flat.append(np.array(ids, np.uint32))
-            self.size += len(ids)
-        self.arrays = None
+        self.remembered = Remembered(lambda unit: self.encoding.encode(unit, allowed_special="all"))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        if len(self.codes) > REMEMBERED:
-            self.forget()
-        split = [_units(text) for text in texts]
-        self._learn(list({unit for units in split for unit in units} - self.codes.keys()))
-        if self.arrays is None:
-            self.flat = [np.concatenate(self.flat)] if self.flat else [np.zeros(0, np.uint32)]
-            self.arrays = np.array(self.lengths, np.int64), np.array(self.offsets, np.int64), self.flat[0]
-        lengths, offsets, flat = self.arrays
-        out = []
-        for units in split:
-            codes = np.fromiter(map(self.codes.__getitem__, units), np.int64, len(units))
-            n = lengths[codes]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(flat[np.arange(total) + np.repeat(offsets[codes] - ends + n, n)])
-        return out
+        return self.remembered.encode([_units(text) for text in texts])
 
 
 def _units(text: str) -> list[str]:
