@@ -1,13 +1,10 @@
 """The supplied star schema and event tables, read as rates, countries and runs.
 
 Everything is derived from whole tables. The same derivations stand in SQL in `oracles.py`.
-The frames are plans, kept per session as a stored table's would be; no rows are.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Last shipping day of every supplied scale factor.
@@ -17,10 +14,7 @@ EVENTS_AS_OF = "2024-01-20"
 # Seconds at the start of a day in UTC, whatever the session time zone.
 EPOCH = "cast(date_diff(cast({0} as date), date'1970-01-01') as bigint) * 86400"
 
-once = lru_cache(maxsize=None)
-
 
-@once
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,7 +24,6 @@ def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(parts, lines.l_partkey == parts.p_partkey)
 
 
-@once
 def staged_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price series in staged form: return flag as base, brand as target, price as rate.
 
@@ -61,19 +54,16 @@ LANDED = [
 ]
 
 
-@once
 def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same series in landing form, as text."""
     return staged_rates(spark, sf_dir).selectExpr(*LANDED)
 
 
-@once
 def target_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All codes that can be a target: a far smaller table than the series."""
     return table(spark, sf_dir, "part").selectExpr("p_brand as target_currency")
 
 
-@once
 def listed_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per nation the brands that its suppliers ship in more lines than their mean brand.
 
@@ -92,7 +82,6 @@ def listed_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).filter("n * brands > total").select("s_nationkey", "p_brand", "n")
 
 
-@once
 def raw_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Countries in landing form: a nation, extracted once per market segment of its customers."""
     # A list has at most as many members as there are brands.
@@ -132,7 +121,6 @@ def raw_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@once
 def event_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in staged form: event type as base, user as target, value as rate."""
     return table(spark, sf_dir, "events").selectExpr(
@@ -147,13 +135,11 @@ def event_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@once
 def event_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in landing form."""
     return event_rates(spark, sf_dir).selectExpr(*LANDED)
 
 
-@once
 def event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a run: `error` fails, `view` never finishes, the rest succeeds."""
     events = table(spark, sf_dir, "events")

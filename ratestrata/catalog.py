@@ -17,7 +17,7 @@ from ratestrata.session import shared_folder
 from ratestrata.sources import audit
 from ratestrata.sources.base import with_lineage
 from ratestrata.sources.csv import CsvSource, read_csv
-from ratestrata.sources.landing import RATE_DAY, land, read_landing, to_landing
+from ratestrata.sources.landing import RATE_DAY, RATE_MONTH, land, read_landing, to_landing
 from ratestrata.sources.payloads import (
     CountriesSource, RatesSource, broken_payloads, flatten_countries, flatten_rates, parse_payloads,
 )
@@ -57,7 +57,6 @@ def plain(df: DataFrame) -> DataFrame:
 # ---- shared inputs ----------------------------------------------------------------
 
 
-@A.once
 def countries(spark: SparkSession, sf: str) -> DataFrame:
     return silver.dim_countries(staging.stage_countries(A.raw_countries(spark, sf)))
 
@@ -78,6 +77,13 @@ def regional(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared folder, as the daily job leaves it, and read from there."""
+    path = shared_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def event_series(spark: SparkSession, sf: str) -> DataFrame:
     """Events, newest per pair and day."""
     return series.dedup_latest(A.event_rates(spark, sf), PAIR_DAY, "extracted_at")
@@ -104,6 +110,18 @@ def csv_table(spark, sf):
     return plain(cleaning.normalize_columns(read_csv(spark, folder)))
 
 
+@query
+def csv_counts(spark, sf):
+    """Rows of written orders by `count`, by `isEmpty` and by one column alone, in files of all names."""
+    folder = shared_folder(spark, "csv")
+    A.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus").write.csv(folder + "/a[1] {x}", header=True)
+    rows = read_csv(spark, folder + "/*")
+    keys = rows.select("o_orderkey").filter("o_orderkey is not null").count()
+    return spark.range(1).select(
+        F.lit(rows.count()).alias("rows"), F.lit(str(rows.isEmpty()).lower()).alias("empty"), F.lit(keys).alias("keys")
+    )
+
+
 @query
 def csv_source(spark, sf):
     """Orders as CSV through the whole cleaning chain: headers, missing tokens, casts."""
@@ -130,9 +148,11 @@ def normalize_columns(spark, sf):
 
 @query
 def null_tokens(spark, sf):
+    """Every token stands in some rows, beside texts that look like one."""
+    tokens = F.array(*map(F.lit, [*text.MISSING_TOKENS, "na", "N/A ", "none", "0"]))
     orders = A.table(spark, sf, "orders").select(
         "o_orderkey",
-        F.when(F.col("o_orderstatus") == "P", "N/A").otherwise(F.col("o_orderstatus")).alias("status"),
+        F.get(tokens, (F.col("o_orderkey") % 24).cast("int")).alias("status"),
         F.when(F.col("o_orderpriority") == "5-LOW", "null").otherwise(F.col("o_orderpriority")).alias("priority"),
     )
     return plain(cleaning.null_tokens(orders))
@@ -180,7 +200,20 @@ def _event_payloads(spark, sf) -> DataFrame:
 
 @query
 def flatten_rates_payloads(spark, sf):
-    return plain(flatten_rates(parse_payloads(_event_payloads(spark, sf), "body")))
+    rows = flatten_rates(parse_payloads(_event_payloads(spark, sf), "body"))
+    return plain(rows.withColumn("rate", F.col("rate").cast("decimal(20,8)")))
+
+
+@query
+def exact_rates(spark, sf):
+    """Rates with more than eight digits and above 1e12: landed as written, staged rounded or, where too large, rejected."""
+    body = "concat('{\"base\":\"B\",\"timestamp\":0,\"rates\":{\"E', event_id, '\":', %s, '}}')"
+    digits = "if(event_id % 7 = 0, concat('9', lpad(event_id, 13, '0'), '.25'), concat(event_id % 10, '.00001488', lpad(event_id, 9, '0'), '1'))"
+    payloads = A.table(spark, sf, "events").selectExpr(body % digits + " as body")
+    landed = to_landing(flatten_rates(parse_payloads(payloads, "body")), schemas.RATE_FIELDS, F.lit(EXTRACTED_AT).cast("timestamp"))
+    small, _ = cleaning.validate(landed, F.col("rate").try_cast("decimal(20,8)").isNotNull())
+    staged = staging.stage_rates(small).select("target_currency", F.col("rate").alias("staged"))
+    return plain(landed.select("target_currency", "rate").join(staged, "target_currency", "left"))
 
 
 @query
@@ -248,6 +281,33 @@ def validate(spark, sf):
     return plain(good.withColumn("kept", F.lit(True)).unionByName(rejected.withColumn("kept", F.lit(False))))
 
 
+@query
+def validate_countries(spark, sf):
+    """Countries by the code rule, and orders without a filled cell by the rule of CSV rows."""
+    codes = A.raw_countries(spark, sf).selectExpr("cca2", "if(cca2 = '' or population > 9000, null, cca3) as cca3", "languages as origin")
+    cells = A.table(spark, sf, "orders").selectExpr(
+        "if(o_orderstatus = 'P', ' ', null) as cca2", "if(o_orderpriority = '5-LOW', o_orderpriority, '\\t') as cca3", "'order' as origin"
+    )
+    parts = []
+    for rows, rule in ((codes, cleaning.country_rule()), (cells, cleaning.any_value_rule(cells.drop("origin")))):
+        good, rejected = cleaning.validate(rows, rule)
+        parts += [good.withColumn("kept", F.lit(True)), rejected.withColumn("kept", F.lit(False))]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return plain(whole.groupBy("origin", "kept").agg(F.count("*").alias("n")))
+
+
+@query
+def validate_text(spark, sf):
+    """Rates as text, some of which are no numbers: these are rejected, and fail nothing."""
+    rates = A.table(spark, sf, "events").selectExpr(
+        "event_id", "case event_id % 6 when 0 then 'abc' when 1 then '' when 2 then '-1.5' when 3 then '1e-9' when 4 then 'NaN' else '12' end as rate"
+    )
+    good, rejected = cleaning.validate(rates, cleaning.rate_rule())
+    return plain(good.withColumn("kept", F.lit(True)).unionByName(rejected.withColumn("kept", F.lit(False))))
+
+
 @query
 def landing_text(spark, sf):
     orders = A.table(spark, sf, "orders").select(
@@ -270,6 +330,20 @@ def upsert(spark, sf):
     return plain(upsert_rows(target, updates, PAIR, "_extracted_at"))
 
 
+@query
+def upsert_hot_key(spark, sf):
+    """A batch of which a third has one key, over a table that holds it: the last writer of every key."""
+    events = A.event_landing(spark, sf)
+    target = series.dedup_latest(events, PAIR, "_extracted_at").withColumn("rate", F.lit("0"))
+    hot = F.col("_pipeline_run_id").cast("bigint") % 3 == 0
+    updates = events.filter(F.col("base_currency") != "view").withColumns(
+        {name: F.when(hot, F.lit("hot")).otherwise(F.col(name)) for name in PAIR}
+    )
+    both = target.unionByName(target.limit(1).withColumns({name: F.lit("hot") for name in PAIR}))
+    written = upsert_rows(both, updates, PAIR, "_extracted_at")
+    return plain(written.select(*PAIR, "rate", "_pipeline_run_id"))
+
+
 @query
 def upsert_newest(spark, sf):
     """The same batches in the wrong order: with `newest_wins`, older rows lose."""
@@ -287,7 +361,18 @@ def landed_table(spark, sf):
     first, second = events.filter(day <= "2024-01-17"), events.filter(day >= "2024-01-15")
     for batch in (first, second, second):
         land(spark, path, batch, PAIR_DAY, schemas.RAW_RATES, RATE_DAY)
-    return plain(read_landing(spark, path, schemas.RAW_RATES).select(*schemas.RAW_RATES.fieldNames()))
+    return plain(read_landing(spark, path, schemas.RAW_RATES))
+
+
+@query
+def landed_months(spark, sf):
+    """Prices of years, landed by month in two overlapping batches: many partitions, of which the second touches some."""
+    path = shared_folder(spark, "landed") + "/raw_currencies"
+    rates = series.dedup_latest(A.raw_rates(spark, sf), PAIR_DAY, "_extracted_at")
+    later = rates.filter("rate_date >= '2000-01-01'").withColumn("rate", F.concat("rate", F.lit("1")))
+    for batch in (rates, later):
+        land(spark, path, batch, PAIR_DAY, schemas.RAW_RATES, RATE_MONTH)
+    return plain(read_landing(spark, path, schemas.RAW_RATES).select(*PAIR_DAY, "rate"))
 
 
 @query
@@ -442,11 +527,14 @@ def accepted_values(spark, sf):
 @query
 def run_checks(spark, sf):
     """All gold and dimension checks on the price series: three bases, so the target alone is not unique."""
+    dim = stored(spark, countries(spark, sf), "dim")
+    fct = stored(spark, facts(spark, sf), "fct")
+    latest = stored(spark, gold.currency_summary_joined(fct, A.AS_OF), "summary")
     tables = {
-        "agg_currency_summary": summary(spark, sf),
-        "agg_rates_by_region": regional(spark, sf),
-        "agg_country_currency_map": gold.country_currency_map(countries(spark, sf), summary(spark, sf)),
-        "dim_countries": countries(spark, sf),
+        "agg_currency_summary": latest,
+        "agg_rates_by_region": stored(spark, gold.rates_by_region(fct, dim, A.AS_OF, codes=A.target_codes(spark, sf)), "region"),
+        "agg_country_currency_map": stored(spark, gold.country_currency_map(dim, latest), "map"),
+        "dim_countries": dim,
     }
     return plain(quality.run_checks(tables, [*quality.GOLD_RULES, *quality.DIM_RULES, quality.PAIR_RULE]))
 
@@ -456,16 +544,25 @@ def run_checks(spark, sf):
 
 @query
 def kpis(spark, sf):
-    latest = summary(spark, sf)
+    dim = stored(spark, countries(spark, sf), "dim")
+    fct = stored(spark, facts(spark, sf), "fct")
+    latest = stored(spark, gold.currency_summary_joined(fct, A.AS_OF), "summary")
+    tables = {
+        "agg_currency_summary": latest,
+        "agg_rates_by_region": stored(spark, gold.rates_by_region(fct, dim, A.AS_OF, codes=A.target_codes(spark, sf)), "region"),
+        "agg_country_currency_map": stored(spark, gold.country_currency_map(dim, latest, base="A"), "map"),
+    }
     figures = feeds.kpis(
         latest,
-        countries(spark, sf),
-        facts(spark, sf),
+        dim,
+        fct,
         audit.run_state(A.event_runs(spark, sf)),
         [A.raw_rates(spark, sf), A.raw_countries(spark, sf)],
-        quality.run_checks({"agg_currency_summary": latest}, quality.GOLD_RULES[:5]),
+        quality.run_checks(tables, quality.GOLD_RULES),
         A.AS_OF,
         code="Brand#7",
+        days=10,
+        runs_as_of=A.EVENTS_AS_OF,
     )
     return plain(figures)
 
@@ -494,9 +591,8 @@ def rates_table(spark, sf):
 # ---- the daily job ----------------------------------------------------------------
 
 
-@query
-def daily_run(spark, sf):
-    """The whole job from JSON payloads to the stored summary."""
+def _daily(spark: SparkSession, sf: str) -> daily.Layers:
+    """The whole job from JSON payloads to stored tables, with all gold rules, gold of one base."""
     root = shared_folder(spark, "daily")
     rates = A.raw_rates(spark, sf).select(
         F.col("base_currency").alias("base"),
@@ -514,8 +610,6 @@ def daily_run(spark, sf):
         F.col("is_un_member").alias("unMember"), F.col("flag_emoji").alias("flag"),
     )
     nations.write.json(f"{root}/countries_payloads")
-    # Three bases, so neither a target nor a country is unique in the gold tables.
-    rules = [rule for rule in quality.GOLD_RULES if rule.check != "unique"]
     daily.run_daily(
         spark,
         RatesSource("rates_api", f"{root}/rates_payloads", multiline=False),
@@ -524,7 +618,46 @@ def daily_run(spark, sf):
         "run_001",
         date.fromisoformat(A.AS_OF),
         datetime(2024, 1, 15, tzinfo=timezone.utc),
-        [*rules, quality.PAIR_RULE],
+        [*quality.GOLD_RULES, quality.PAIR_RULE],
+        base="A",
+        code_lengths=range(7, 9),
+        loaded_at=datetime(2024, 1, 16, tzinfo=timezone.utc),
     )
-    stored = spark.read.parquet(daily.Layers(f"{root}/tables").path("gold", "agg_currency_summary"))
+    return daily.Layers(f"{root}/tables")
+
+
+@query
+def daily_run(spark, sf):
+    """The summary that the daily job stores."""
+    stored = spark.read.parquet(_daily(spark, sf).path("gold", "agg_currency_summary"))
     return plain(rounded(stored, 6, "rate_volatility_30d"))
+
+
+@query
+def daily_tables(spark, sf):
+    """Rows and figures of the other tables that the daily job stores."""
+    layers = _daily(spark, sf)
+    bronze = read_landing(spark, layers.path("bronze", "raw_currencies"), schemas.RAW_RATES)
+    fct, dim = (spark.read.parquet(layers.path("silver", name)) for name in ("fct_exchange_rates", "dim_countries"))
+    region, places, checks = (
+        spark.read.parquet(layers.path("gold", name)) for name in ("agg_rates_by_region", "agg_country_currency_map", "check_results")
+    )
+
+    def row(name, df, value):
+        return df.agg(F.count("*").alias("rows"), F.round(value.cast("double"), 4).alias("value")).select(F.lit(name).alias("table"), "rows", "value")
+
+    lag = F.sum(F.unix_timestamp("_loaded_at") - F.unix_timestamp("_extracted_at"))
+    parts = [
+        row("bronze", bronze, lag),
+        row("bronze rates", bronze, F.sum(F.col("rate").cast("decimal(20,8)"))),
+        row("facts", fct, F.sum("rate")),
+        row("facts with region", fct.filter("currency_region is not null"), F.sum("rate_change_pct")),
+        row("countries", dim, F.sum("population")),
+        row("regions", region, F.sum("country_count")),
+        row("map", places, F.count("latest_rate")),
+        row("checks", checks, F.sum("failures")),
+    ]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole

@@ -79,7 +79,9 @@ def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 
 def rate_rule() -> Column:
-    return F.col("rate").cast("decimal(38,8)") > 0
+    """A finite number above zero. Text that is no number breaks the rule, and fails no job."""
+    rate = F.col("rate").cast("string").try_cast("double")
+    return (rate > 0) & (rate < float("inf"))
 
 
 def country_rule() -> Column:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from ratestrata.adapters import AS_OF, EVENTS_AS_OF
-from ratestrata.functions.text import MISSING_TOKENS
 
 STAMP = "'%Y-%m-%d %H:%M:%S.%f'"
-TOKENS = ", ".join(f"'{token}'" for token in MISSING_TOKENS)
+# The tokens that mean "missing", written out so that the SQL does not follow the code.
+TOKENS = """'', '#N/A', '#N/A N/A', '#NA', '-', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN',
+    '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'"""
 HIGHEST_PRICE = 100000
 
 
@@ -153,14 +154,14 @@ SUMMARY_SELECT = f"""SELECT {PAIR}, {number("latest_rate")}, {number("inverse_ra
     {number("rate_min_30d")}, {number("rate_max_30d")}, rate_volatility_30d, volatility_tier, days_of_data,
     pipeline_run_id FROM summary"""
 
-REGIONAL = FCT + f""",
-regional AS (
+REGIONAL_CTE = f"""regional AS (
     SELECT r.rate_date, r.base_currency, r.target_currency, coalesce(r.currency_region, 'Unknown') AS region,
         r.primary_country_name, avg(r.rate) AS avg_rate, min(r.rate) AS min_rate, max(r.rate) AS max_rate,
         avg(r.rate_change_pct) AS avg_rate_change_pct, count(DISTINCT c.cca2) AS country_count
     FROM fct r LEFT JOIN dim c
         ON c.region = r.currency_region AND c.currencies LIKE '%' || r.target_currency || '%'
     WHERE r.rate_date >= date '{AS_OF}' - interval 30 days GROUP BY ALL)"""
+REGIONAL = FCT + ",\n" + REGIONAL_CTE
 
 BY_REGION = REGIONAL + """,
 by_region AS (
@@ -258,6 +259,17 @@ SUMMARY_CHECKS = [
     check("agg_currency_summary", "volatility_tier", "accepted_values",
           "SELECT count(DISTINCT volatility_tier) FROM summary WHERE volatility_tier NOT IN ('low', 'medium', 'high')"),
 ]
+MAP_OF_A = """country_map_of_a AS (
+    SELECT cca2, name_common, s.latest_rate FROM dim d
+    LEFT JOIN (SELECT * FROM summary WHERE base_currency = 'A') s ON s.target_currency = split_part(d.currencies, ', ', 1))"""
+GOLD_CHECKS = SUMMARY_CHECKS + [
+    nulls("agg_rates_by_region", "by_region", "rate_date"),
+    nulls("agg_rates_by_region", "by_region", "region"),
+    nulls("agg_rates_by_region", "by_region", "avg_rate"),
+    nulls("agg_country_currency_map", "country_map_of_a", "cca2"),
+    repeats("agg_country_currency_map", "country_map_of_a", "cca2"),
+    nulls("agg_country_currency_map", "country_map_of_a", "name_common"),
+]
 ALL_CHECKS = SUMMARY_CHECKS + [
     repeats("agg_currency_summary", "summary", "base_currency, target_currency"),
     nulls("agg_rates_by_region", "by_region", "rate_date"),
@@ -277,6 +289,10 @@ def figure(name: str, value: str) -> str:
     return f"SELECT '{name}' AS kpi, cast(({value}) AS double) AS value"
 
 
+def stored(name: str, source: str, value: str) -> str:
+    return f"""SELECT '{name}' AS "table", count(*) AS rows, round(cast(sum({value}) AS double), 4) AS value FROM {source}"""
+
+
 SINCE = f"date '{AS_OF}' - interval 30 days"
 
 PAYLOADS = """payloads AS (
@@ -306,6 +322,7 @@ ORACLES = {
     "csv_table": """SELECT cast(c_custkey AS varchar) AS cust_key, c_name || '; "x", ' || c_mktsegment AS full_name,
         nullif(c_mktsegment, 'BUILDING') AS mkt_segment, cast(cast(c_acctbal AS decimal(12,2)) AS varchar) AS acct_bal_usd
         FROM customer""",
+    "csv_counts": "SELECT count(*) AS rows, 'false' AS empty, count(*) AS keys FROM orders",
     "csv_source": """SELECT o_orderkey AS order_key, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,
         cast(cast(o_totalprice AS decimal(14,2)) AS double) AS price,
         CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS priority FROM orders""",
@@ -313,7 +330,7 @@ ORACLES = {
         c_acctbal AS acct_bal_, c_mktsegment AS segment FROM customer""",
     "null_tokens": f"""SELECT o_orderkey, CASE WHEN s NOT IN ({TOKENS}) THEN s END AS status,
         CASE WHEN p NOT IN ({TOKENS}) THEN p END AS priority
-        FROM (SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN 'N/A' ELSE o_orderstatus END AS s,
+        FROM (SELECT o_orderkey, [{TOKENS}, 'na', 'N/A ', 'none', '0'][o_orderkey % 24 + 1] AS s,
             CASE o_orderpriority WHEN '5-LOW' THEN 'null' ELSE o_orderpriority END AS p FROM orders)""",
     "trim_and_drop_empty": """SELECT CASE o_orderstatus WHEN 'O' THEN o_orderpriority WHEN 'P' THEN '' END AS priority,
         CASE WHEN o_orderpriority = '5-LOW' THEN o_orderstatus END AS status
@@ -328,6 +345,10 @@ ORACLES = {
         f"""SELECT base AS base_currency, target AS target_currency, rate, {text("cast(ts AS date)", "rate_date")},
             {long("seconds", '"timestamp"')} FROM pairs WHERE base IS NOT NULL""",
     ),
+    "exact_rates": """SELECT 'E' || event_id AS target_currency, rate,
+        CASE WHEN event_id % 7 <> 0 THEN cast(cast(rate AS decimal(20,8)) AS double) END AS staged
+        FROM (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN '9' || lpad(cast(event_id AS varchar), 13, '0') || '.25'
+            ELSE (event_id % 10) || '.00001488' || lpad(cast(event_id AS varchar), 9, '0') || '1' END AS rate FROM events)""",
     "broken_rates_payloads": whole(
         PAYLOADS,
         f"""SELECT 'base' AS missing_fields, {long("seconds", '"timestamp"')}, count(*) AS payloads
@@ -353,6 +374,17 @@ ORACLES = {
     "lineage": """SELECT o_orderkey, o_totalprice, 'orders' AS _source, '2024-01-15 00:05:00.000000' AS _extracted_at,
         'run_001' AS _pipeline_run_id FROM orders""",
     "validate": whole(EVENTS, f"SELECT {PAIR}, {number('rate')}, pipeline_run_id, {text('rate > 0', 'kept')} FROM event_rates"),
+    "validate_text": """SELECT event_id,
+        CASE event_id % 6 WHEN 0 THEN 'abc' WHEN 1 THEN '' WHEN 2 THEN '-1.5' WHEN 3 THEN '1e-9' WHEN 4 THEN 'NaN' ELSE '12' END AS rate,
+        CASE WHEN event_id % 6 IN (3, 5) THEN 'true' ELSE 'false' END AS kept FROM events""",
+    "validate_countries": whole(
+        RAW_COUNTRIES,
+        """codes AS (
+            SELECT cca2, CASE WHEN cca2 = '' OR try_cast(population AS bigint) > 9000 THEN NULL ELSE cca3 END AS cca3, languages AS origin FROM raw_countries)""",
+        """SELECT origin, kept, count(*) AS n FROM (
+            SELECT origin, cast(coalesce(cca2, '') <> '' OR coalesce(cca3, '') <> '' AS varchar) AS kept FROM codes
+            UNION ALL SELECT 'order', cast(o_orderpriority = '5-LOW' AS varchar) FROM orders) GROUP BY ALL""",
+    ),
     "landing_text": """SELECT cast(o_orderkey AS varchar) AS o_orderkey, cast(o_totalprice AS varchar) AS o_totalprice,
         nullif(o_orderstatus, 'P') AS o_orderstatus, cast(NULL AS varchar) AS absent, 'orders' AS _source,
         '2024-01-15 00:05:00.000000' AS _extracted_at, cast(NULL AS varchar) AS _pipeline_run_id,
@@ -371,12 +403,29 @@ ORACLES = {
             UNION ALL SELECT * REPLACE (NULL AS target_currency) FROM second WHERE base_currency = 'signup')""",
         f"{LANDING_SELECT} FROM result",
     ),
+    "upsert_hot_key": whole(
+        EVENT_LANDING,
+        f"target AS (SELECT * FROM {newest('landing', PAIR, '_extracted_at', LANDING_TIES)})",
+        """second AS (
+            SELECT * REPLACE (CASE WHEN cast(_pipeline_run_id AS bigint) % 3 = 0 THEN 'hot' ELSE base_currency END AS base_currency,
+                CASE WHEN cast(_pipeline_run_id AS bigint) % 3 = 0 THEN 'hot' ELSE target_currency END AS target_currency)
+            FROM landing WHERE base_currency <> 'view')""",
+        f"fresh AS (SELECT * FROM {newest('second', PAIR, '_extracted_at', LANDING_TIES)})",
+        f"""SELECT {PAIR}, rate, _pipeline_run_id FROM fresh UNION ALL
+            SELECT {PAIR}, '0', _pipeline_run_id FROM target t WHERE NOT EXISTS (SELECT 1 FROM fresh f
+                WHERE f.base_currency = t.base_currency AND f.target_currency = t.target_currency)""",
+    ),
     "upsert_newest": whole(
         EVENT_LANDING, f"{LANDING_SELECT} FROM {newest('landing', PAIR, '_extracted_at', LANDING_TIES)}"
     ),
     "landed_table": whole(
         EVENT_LANDING, f"{LANDING_SELECT} FROM {newest('landing', PAIR_DAY, '_extracted_at', LANDING_TIES)}"
     ),
+    "landed_months": whole(
+        RAW_RATES,
+        f"""SELECT {PAIR}, {text("rate_date")}, rate || CASE WHEN rate_date >= date '2000-01-01' THEN '1' ELSE '' END AS rate
+        FROM (SELECT * REPLACE (cast(rate AS varchar) AS rate) FROM {newest("raw_rates", PAIR_DAY, "extracted_at", ["cast(rate AS varchar)", "cast(unix_timestamp AS varchar)", "source_system", "pipeline_run_id"])})""",
+    ),
     "run_state": whole(
         RUNS,
         f"""SELECT run_id, dag_id, source_name, status, records_extracted, records_loaded, {stamp("started_at")},
@@ -457,19 +506,21 @@ ORACLES = {
         """SELECT model, "column", "check", failures, cast(failures = 0 AS varchar) AS passed FROM results""",
     ),
     "kpis": whole(
-        SUMMARY,
+        BY_REGION,
+        COUNTRY_MAP.removeprefix(FCT).lstrip(",\n"),
+        MAP_OF_A,
         RUNS,
-        "results AS (" + " UNION ALL ".join(SUMMARY_CHECKS) + ")",
+        "results AS (" + " UNION ALL ".join(GOLD_CHECKS) + ")",
         " UNION ALL ".join([
             figure("currencies_tracked", "SELECT count(DISTINCT target_currency) FROM summary"),
             figure("countries_mapped", "SELECT count(*) FROM dim"),
             figure("avg_inverse_rate", f"""SELECT round(avg(inverse_rate), 4) FROM fct
-                WHERE target_currency = 'Brand#7' AND rate_date >= {SINCE}"""),
+                WHERE target_currency = 'Brand#7' AND rate_date >= date '{AS_OF}' - interval 10 days"""),
             figure("latest_change_pct", f"""SELECT round(rate_change_pct, 2) FROM fct WHERE target_currency = 'Brand#7'
-                AND rate_date >= {SINCE} ORDER BY rate_date DESC, rate_change_pct DESC NULLS LAST LIMIT 1"""),
-            figure("runs", f"SELECT count(*) FROM runs WHERE started_at >= {SINCE}"),
+                AND rate_date >= date '{AS_OF}' - interval 10 days ORDER BY rate_date DESC, rate_change_pct DESC NULLS LAST LIMIT 1"""),
+            figure("runs", f"SELECT count(*) FROM runs WHERE started_at >= date '{EVENTS_AS_OF}' - interval 10 days"),
             figure("run_success_pct", f"""SELECT round(count(*) FILTER (WHERE status = 'success') * 100 / count(*), 2)
-                FROM runs WHERE started_at >= {SINCE}"""),
+                FROM runs WHERE started_at >= date '{EVENTS_AS_OF}' - interval 10 days"""),
             figure("landed_rows", "(SELECT count(*) FROM raw_rates) + (SELECT count(*) FROM raw_countries)"),
             figure("checks_passed", "SELECT count(*) FROM results WHERE failures = 0"),
             figure("checks_total", "SELECT count(*) FROM results"),
@@ -504,5 +555,21 @@ ORACLES = {
         FROM summary WHERE lower(target_currency) LIKE '%brand#2%' OR lower(primary_country_name) LIKE '%brand#2%'
             OR lower(region) LIKE '%brand#2%'""",
     ),
-    "daily_run": whole(DAILY, SUMMARY_SELECT),
+    "daily_run": whole(DAILY, SUMMARY_SELECT + " WHERE base_currency = 'A'"),
+    "daily_tables": whole(
+        DAILY,
+        f"bronze AS (SELECT * FROM {newest('day_rates', PAIR_DAY, 'extracted_at', ['digits'])})",
+        REGIONAL_CTE,
+        MAP_OF_A,
+        " UNION ALL ".join([
+            stored("bronze", "bronze", "86400"),
+            stored("bronze rates", "bronze", "rate"),
+            stored("facts", "fct", "rate"),
+            stored("facts with region", "fct WHERE currency_region IS NOT NULL", "rate_change_pct"),
+            stored("countries", "dim", "population"),
+            stored("regions", "regional WHERE base_currency = 'A'", "country_count"),
+            stored("map", "country_map_of_a", "CASE WHEN latest_rate IS NOT NULL THEN 1 ELSE 0 END"),
+            stored("checks", "range(12)", "0"),
+        ]),
+    ),
 }

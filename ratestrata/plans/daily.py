@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratestrata import schemas
 from ratestrata.operators.cleaning import validate
@@ -17,6 +17,8 @@ from ratestrata.sources.landing import RATE_MONTH, Landed, PartitionBy, land, re
 
 RATE_KEYS = ["base_currency", "target_currency", "rate_date"]
 COUNTRY_KEYS = ["cca2"]
+# The length of ISO 4217 codes.
+ISO_LENGTHS = (3,)
 
 
 @dataclass(frozen=True)
@@ -49,8 +51,10 @@ def ingest(
     partition: PartitionBy | None = None,
     validated: bool = False,
     dag_id: str = "ingest",
+    loaded_at: datetime | None = None,
 ) -> Landed:
-    """Extract, land and audit one source. A failure is recorded, and raised with the source's name."""
+    """Extract, land and audit one source. A failure is recorded, and raised with the source's name.
+    `loaded_at` is the moment of loading, now unless named."""
     schema = schemas.landing_schema(list(fields))
     audit.append_event(audit.run_started(spark, run_id, dag_id, source.name, now()), layers.runs)
     try:
@@ -58,12 +62,12 @@ def ingest(
         if validated:
             records, _ = validate(records, source.rule(records))
         landed = land(
-            spark, layers.path("bronze", table), to_landing(records, fields, extracted_at), keys, schema, partition
+            spark, layers.path("bronze", table), to_landing(records, fields, loaded_at or now()), keys, schema, partition
         )
     except Exception as problem:
         audit.append_event(
             audit.run_finished(
-                spark, run_id, dag_id, source.name, "failed", now(), error_message=str(problem)[:2000]
+                spark, run_id, dag_id, source.name, "failed", now(), error_message=str(problem)
             ),
             layers.runs,
         )
@@ -84,31 +88,47 @@ def _store(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 
 
 def _store_facts(spark: SparkSession, fct: DataFrame, path: str) -> DataFrame:
-    """Facts lie in day order, so the lookback of the gold tables skips most row groups by
-    their statistics. The pair as second sort key spreads a dominant day over many files."""
-    order = ["rate_date", "target_currency", "base_currency"]
-    fct.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """Facts lie in folders by month and in day order within files, so the lookback of the gold tables skips what is
+    older by folder statistics. A month that gets most rows is split among many tasks."""
+    schema = fct.schema
+    month = F.coalesce(F.date_format("rate_date", "yyyy-MM"), F.lit("none"))
+    (
+        fct.withColumn("rate_month", month).hint("rebalance", F.col("rate_month"))
+        .sortWithinPartitions("rate_month", "rate_date", "target_currency", "base_currency")
+        .write.mode("overwrite").partitionBy("rate_month").parquet(path)
+    )
+    return spark.read.schema(schema).parquet(path)
 
 
 def transform(
-    spark: SparkSession, layers: Layers, as_of: date, rules: Sequence[quality.Rule] = tuple(quality.GOLD_RULES)
+    spark: SparkSession,
+    layers: Layers,
+    as_of: date,
+    rules: Sequence[quality.Rule] = tuple(quality.GOLD_RULES),
+    base: str | None = None,
+    code_lengths: Sequence[int] | None = ISO_LENGTHS,
 ) -> DataFrame:
     """Rebuild silver and gold from the landed tables, then check them; a failed check raises
-    after its outcome is stored."""
+    after its outcome is stored.
+
+    With `base`, gold holds the rates of that base only: a target and a country are then unique. `code_lengths` saves a
+    scan of all landed rates that would find them; None makes it.
+    """
     rates = staging.stage_rates(read_landing(spark, layers.path("bronze", "raw_currencies"), schemas.RAW_RATES))
     countries = staging.stage_countries(
         read_landing(spark, layers.path("bronze", "raw_countries"), schemas.RAW_COUNTRIES)
     )
     dim = _store(spark, silver.dim_countries(countries), layers.path("silver", "dim_countries"))
-    fct = _store_facts(spark, silver.fct_rates(rates, dim), layers.path("silver", "fct_exchange_rates"))
+    fct = _store_facts(spark, silver.fct_rates(rates, dim, code_lengths=code_lengths), layers.path("silver", "fct_exchange_rates"))
     tables = {"dim_countries": dim, "fct_exchange_rates": fct}
+    if base is not None:
+        fct = fct.filter(F.col("base_currency") == base)
 
     def store(name: str, df: DataFrame) -> None:
         tables[name] = _store(spark, df, layers.path("gold", name))
 
     store("agg_currency_summary", gold.currency_summary_joined(fct, as_of))
-    store("agg_rates_by_region", gold.rates_by_region(fct, dim, as_of))
+    store("agg_rates_by_region", gold.rates_by_region(fct, dim, as_of, code_lengths=code_lengths))
     store("agg_country_currency_map", gold.country_currency_map(dim, tables["agg_currency_summary"]))
     results = _store(spark, quality.run_checks(tables, rules), layers.path("gold", "check_results"))
     quality.require_passed(results)
@@ -126,15 +146,19 @@ def run_daily(
     rules: Sequence[quality.Rule] = tuple(quality.GOLD_RULES),
     validated: bool = False,
     partition: PartitionBy = RATE_MONTH,
+    base: str | None = None,
+    code_lengths: Sequence[int] | None = ISO_LENGTHS,
+    loaded_at: datetime | None = None,
 ) -> DataFrame:
-    """The whole run; repeating it with the same input changes nothing but the audit log."""
+    """The whole run. Repeating it with the same input changes load times and the audit log, and adds rows with a NULL in the
+    key again, as they equal nothing."""
     layers = Layers(root)
     ingest(
         spark, rates, layers, "raw_currencies", schemas.RATE_FIELDS, RATE_KEYS, run_id, extracted_at,
-        partition, validated,
+        partition, validated, loaded_at=loaded_at,
     )
     ingest(
         spark, countries, layers, "raw_countries", schemas.COUNTRY_FIELDS, COUNTRY_KEYS, run_id, extracted_at,
-        None, validated,
+        None, validated, loaded_at=loaded_at,
     )
-    return transform(spark, layers, as_of, rules)
+    return transform(spark, layers, as_of, rules, base, code_lengths)

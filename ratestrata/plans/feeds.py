@@ -12,8 +12,10 @@ from ratestrata.functions.tiers import VOLATILITY_TIERS
 from ratestrata.operators.series import as_date
 
 
-def _figure(df: DataFrame, name: str, value: Column) -> DataFrame:
-    return df.agg(value.cast("double").alias("value")).select(F.lit(name).alias("kpi"), "value")
+def _figures(df: DataFrame, **values: Column) -> DataFrame:
+    """One row per figure, from one aggregate of `df`."""
+    rows = [F.struct(F.lit(name).alias("kpi"), F.col(name).alias("value")) for name in values]
+    return df.agg(*[value.cast("double").alias(name) for name, value in values.items()]).select(F.inline(F.array(*rows)))
 
 
 def kpis(
@@ -26,26 +28,33 @@ def kpis(
     as_of: date | str | Column,
     code: str = "EUR",
     days: int = 30,
+    runs_as_of: date | str | Column | None = None,
 ) -> DataFrame:
-    """The headline figures, one row each: independent one-row aggregates, so nothing is joined."""
+    """The headline figures, one row each: one aggregate for each input, so nothing is scanned twice or joined.
+
+    Pass stored tables. `runs_as_of` is for audit logs of other days than the rates.
+    """
     since = F.date_sub(as_date(as_of), days)
     own = fct.filter((F.col("target_currency") == code) & (F.col("rate_date") >= since))
-    recent_runs = runs.filter(F.to_date("started_at") >= since)
+    recent_runs = runs.filter(F.to_date("started_at") >= F.date_sub(as_date(as_of if runs_as_of is None else runs_as_of), days))
     rows = reduce(DataFrame.union, [table.select(F.lit(1).alias("one")) for table in landed])
     return reduce(
         DataFrame.union,
         [
-            _figure(summary, "currencies_tracked", F.count_distinct("target_currency")),
-            _figure(dim, "countries_mapped", F.count("*")),
-            _figure(own, "avg_inverse_rate", F.round(F.avg("inverse_rate"), 4)),
-            _figure(own, "latest_change_pct", F.round(
-                F.max(F.struct("rate_date", "rate_change_pct"))["rate_change_pct"], 2)),
-            _figure(recent_runs, "runs", F.count("*")),
-            _figure(recent_runs, "run_success_pct", F.round(
-                F.count_if(F.col("status") == "success") * 100 / F.nullif(F.count("*"), F.lit(0)), 2)),
-            _figure(rows, "landed_rows", F.count("*")),
-            _figure(checks, "checks_passed", F.count_if("passed")),
-            _figure(checks, "checks_total", F.count("*")),
+            _figures(summary, currencies_tracked=F.count_distinct("target_currency")),
+            _figures(dim, countries_mapped=F.count("*")),
+            _figures(
+                own,
+                avg_inverse_rate=F.round(F.avg("inverse_rate"), 4),
+                latest_change_pct=F.round(F.max(F.struct("rate_date", "rate_change_pct"))["rate_change_pct"], 2),
+            ),
+            _figures(
+                recent_runs,
+                runs=F.count("*"),
+                run_success_pct=F.round(F.count_if(F.col("status") == "success") * 100 / F.nullif(F.count("*"), F.lit(0)), 2),
+            ),
+            _figures(rows, landed_rows=F.count("*")),
+            _figures(checks, checks_passed=F.count_if("passed"), checks_total=F.count("*")),
         ],
     )
 

@@ -154,9 +154,10 @@ def rates_by_region(
     )
 
 
-def country_currency_map(dim: DataFrame, summary: DataFrame) -> DataFrame:
-    """Every country with the latest rate of its first listed currency."""
-    rates = summary.select(
+def country_currency_map(dim: DataFrame, summary: DataFrame, base: str | None = None) -> DataFrame:
+    """Every country with the latest rate of its first listed currency: one row each if the summary has one base,
+    or one is named."""
+    rates = (summary if base is None else summary.filter(F.col("base_currency") == base)).select(
         F.col("target_currency").alias("_target"),
         "latest_rate",
         F.col("rate_date").alias("latest_rate_date"),

@@ -36,8 +36,9 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 _TEXT, _COUNT, _TIME = T.StringType(), T.LongType(), T.TimestampType()
 
-# Rates stay decimal from the first read, so that no digit passes through a double.
-RATES_PAYLOAD = _struct(base=_TEXT, timestamp=_COUNT, rates=T.MapType(_TEXT, T.DecimalType(20, 8)))
+# Rates are read as the text they have in the payload: no digit is lost, and no value is too large to land.
+RATES_PAYLOAD = _struct(base=_TEXT, timestamp=_COUNT, rates=T.MapType(_TEXT, _TEXT))
+WRITTEN_RATES_PAYLOAD = _struct(base=_TEXT, timestamp=_TEXT, rates=T.MapType(_TEXT, _TEXT))
 
 COUNTRY_PAYLOAD = _struct(
     cca2=_TEXT,

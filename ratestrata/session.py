@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -29,14 +31,16 @@ def build_session(app_name: str = "ratestrata", master: str | None = None, **con
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the one the cluster names in `spark.checkpoint.dir`.
 
-    Only a local master may fall back to a temporary folder: on a cluster the
-    executors would each see a different one.
+    Only a local master may fall back to a temporary folder, which goes when Python ends: on a
+    cluster the executors would each see a different one.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="ratestrata-"))
+        folder = tempfile.mkdtemp(prefix="ratestrata-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
         base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import csv
-import re
 from collections.abc import Mapping
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -20,6 +18,7 @@ DELIMITERS = ",;\t|"
 SAMPLE_CHARACTERS = 4096
 
 BROKEN = "_broken_line"
+UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
 
 
 def sniff_delimiter(sample: str) -> str:
@@ -29,54 +28,23 @@ def sniff_delimiter(sample: str) -> str:
         return ","
 
 
-def _options(delimiter: str, encoding: str, multiline: bool, check_header: bool) -> dict:
-    return {
-        "header": True, "sep": delimiter, "encoding": encoding, "quote": '"', "escape": '"',
-        "multiLine": multiline, "enforceSchema": not check_header, "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": BROKEN,
-    }
-
-
-def _plain_path(path: str) -> str:
-    """Spark names a file in two ways: escaped or not, and with one or three slashes."""
-    return re.sub("^file:/+", "file:/", unquote(path))
-
-
-def _file_groups(
-    spark: SparkSession, path: str, files: list[str], encoding: str | None, multiline: bool | None
-) -> dict[tuple[str, bool], list[str]]:
-    """Files by how they must be read, from one distributed pass over their lines.
+def _file_flags(lines: DataFrame) -> DataFrame:
+    """Files that need more than a plain read, with the reason.
 
     A file with a byte sequence that is no UTF-8 is Latin-1 as a whole. A file in which
-    a line holds an odd number of quotes has a quoted line break: it cannot be split
-    into ranges. All other files can, so only the exceptions give up their parallelism.
+    a line holds an odd number of quotes has a quoted line break.
     """
-    if encoding is not None and multiline is not None:
-        return {(encoding, multiline): files}
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    odd = (
-        spark.read.text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
+    return (
+        lines.select(
+            F.col("_metadata.file_path").alias("_file"),
             (~F.is_valid_utf8("value")).alias("latin"),
             (quotes % 2 == 1).alias("broken"),
         )
         .filter(F.col("latin") | F.col("broken"))
-        .groupBy("file")
+        .groupBy("_file")
         .agg(F.bool_or("latin").alias("latin"), F.bool_or("broken").alias("broken"))
     )
-    # One row per exceptional file; the planner lists all files on the driver anyway.
-    seen = {_plain_path(row["file"]): row for row in odd.collect()}
-    groups: dict[tuple[str, bool], list[str]] = {}
-    for file in files:
-        row = seen.get(file)
-        latin, broken = (row["latin"], row["broken"]) if row else (False, False)
-        how = (
-            encoding or ("ISO-8859-1" if latin else "UTF-8"),
-            broken if multiline is None else multiline,
-        )
-        groups.setdefault(how, []).append(file)
-    return groups
 
 
 def _cells(line: Column, delimiter: str) -> Column:
@@ -85,14 +53,12 @@ def _cells(line: Column, delimiter: str) -> Column:
     return (F.length(unquoted) - F.length(F.replace(unquoted, F.lit(delimiter), F.lit("")))) / len(delimiter) + 1
 
 
-def _read_group(spark: SparkSession, files: list[str], header: list[str], options: dict) -> DataFrame:
-    """Short lines are filled up with NULL; a line with too many cells fails the job."""
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*header, BROKEN)])
-    rows = spark.read.schema(schema).options(**options).csv(files)
-    # Only lines that the reader found broken are looked at again.
-    too_long = F.col(BROKEN).isNotNull() & (_cells(F.col(BROKEN), options["sep"]) > len(header))
-    failure = F.raise_error(F.concat(F.lit("CSV line has too many cells: "), F.col(BROKEN)))
-    return rows.filter(F.when(too_long, failure.cast("boolean")).otherwise(F.lit(True))).drop(BROKEN)
+def _utf8_name(name: str) -> str:
+    """A header read as Latin-1, as the UTF-8 text it is if it is that."""
+    try:
+        return name.encode("latin-1").decode("utf-8")
+    except UnicodeError:
+        return name
 
 
 def read_csv(
@@ -104,32 +70,53 @@ def read_csv(
 ) -> DataFrame:
     """All-text table of one CSV file, a folder or a glob whose files share a header.
 
-    The delimiter comes from the head of the first file. Naming `encoding` and
-    `multiline` saves the pass that finds them.
+    The delimiter comes from the first lines. What `encoding` and `multiline` do not name, one distributed pass over the
+    lines finds. A single file with a quoted line break makes all files of the call be read whole, one per task. Where some
+    files are Latin-1, all are read so, which loses no byte, and the cells of the others are decoded by
+    their file's entry in a small table: no list of files is held on the driver.
+
+    Short lines are filled up with NULL; a line with too many cells fails the job. An empty file is an error.
     """
     try:
         lines = spark.read.text(path)
     except AnalysisException as problem:
         raise ExtractionError(f"CSV file not found: {path}") from problem
-    files = sorted(map(_plain_path, lines.inputFiles()))
-    if not files:
-        raise ExtractionError(f"CSV file not found: {path}")
+    # A line holds its break at least, so the sample needs no more lines than characters.
+    head = lines.select(F.substring("value", 1, SAMPLE_CHARACTERS)).limit(SAMPLE_CHARACTERS).collect()
+    if not any(row[0] for row in head):
+        raise ExtractionError(f"CSV file is empty: {path}")
     if delimiter is None:
-        starts = spark.read.text(files[0]).select(F.substring("value", 1, SAMPLE_CHARACTERS))
-        head = starts.limit(200).collect()
         delimiter = sniff_delimiter("\n".join(row[0] for row in head) + "\n")
-    groups = _file_groups(spark, path, files, encoding, multiline)
-    first = next(how for how, members in groups.items() if files[0] in members)
-    header = spark.read.options(**_options(delimiter, *first, False)).csv(files[0]).columns
-    several = len(files) > 1
-    parts = [
-        _read_group(spark, members, header, _options(delimiter, *how, several))
-        for how, members in groups.items()
-    ]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    flags, mixed = None, False
+    if encoding is None or multiline is None:
+        flags = _file_flags(lines)
+        found = flags.agg(F.bool_or("latin").alias("latin"), F.bool_or("broken").alias("broken")).first()
+        mixed = encoding is None and bool(found["latin"])
+        multiline = bool(found["broken"]) if multiline is None else multiline
+    options = {
+        "header": True, "sep": delimiter, "encoding": encoding or (LATIN1 if mixed else UTF8), "quote": '"', "escape": '"',
+        "multiLine": multiline, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN,
+        # Lines are judged by all their cells, also where a caller reads some columns or none.
+        "columnPruning": False,
+    }
+    header = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*header, BROKEN)])
+    rows = spark.read.schema(schema).options(enforceSchema=False, **options).csv(path)
+    # Only lines that the reader found broken are looked at again. The first cell is part of the condition because a
+    # reader that is asked for nothing but broken lines refuses.
+    too_long = F.col(BROKEN).isNotNull() & (_cells(F.col(BROKEN), delimiter) > len(header))
+    failure = F.raise_error(F.concat(F.lit("CSV line has too many cells: "), F.col(BROKEN))).cast("boolean")
+    rows = rows.filter(F.when(too_long, failure).otherwise(F.length(F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))) >= 0))
+    if not mixed:
+        return rows.drop(BROKEN)
+    latin = flags.filter("latin").select("_file", F.lit(True).alias("_latin"))
+    told = rows.drop(BROKEN).withColumn("_file", F.col("_metadata.file_path")).join(latin, "_file", "left")
+
+    def cell(name: str) -> Column:
+        raw = F.col(f"`{name}`")
+        return F.when(F.col("_latin"), raw).otherwise(F.decode(F.encode(raw, LATIN1), UTF8)).alias(_utf8_name(name))
+
+    return told.select(*map(cell, header))
 
 
 class CsvSource(Source):
@@ -144,6 +131,7 @@ class CsvSource(Source):
         types: Mapping[str, str] | None = None,
         delimiter: str | None = None,
         encoding: str | None = None,
+        multiline: bool | None = None,
     ) -> None:
         super().__init__(name)
         self.path = str(path)
@@ -151,10 +139,11 @@ class CsvSource(Source):
         self.types = types or {}
         self.delimiter = delimiter
         self.encoding = encoding
+        self.multiline = multiline
 
     def read(self, spark: SparkSession) -> DataFrame:
         raw = normalize_columns(
-            read_csv(spark, self.path, self.delimiter, self.encoding), self.column_mapping
+            read_csv(spark, self.path, self.delimiter, self.encoding, self.multiline), self.column_mapping
         )
         return cast_columns(trim_strings(drop_empty_rows(null_tokens(raw))), self.types)
 

@@ -1,7 +1,17 @@
-"""Landed tables: text columns, lineage, and an upsert that rewrites touched partitions only."""
+"""Landed tables: text columns, lineage, and an upsert that publishes whole versions.
+
+A table is a folder of immutable parts and a pointer to the live ones:
+
+    data/version=7/folder=2024-01/   rows that batch 7 wrote for one partition
+    live/7/                          which version of each partition is live, as of batch 7
+
+A batch writes the partitions it touches as a new version, then a new pointer. The pointer counts once Spark has marked it
+complete, so readers see the table before the batch or after it, whatever happens in between.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -10,31 +20,30 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ratestrata.functions.text import double_text, empty_to_null
-from ratestrata.operators.upsert import has_null, one_per_key, upsert
+from ratestrata.operators.upsert import counted_per_key, has_null
 from ratestrata.schemas import LINEAGE
 from ratestrata.sources.base import as_timestamp
 
-# More distinct partitions than a batch can plausibly touch: beyond it the list is not
-# collected, and the whole table is merged.
-MOST_TOUCHED_PARTITIONS = 40_000
+# Folders of rows without a partition value, and of tables without partitions.
+NO_VALUE, WHOLE = "none", "all"
+LIVE = "folder string, version bigint"
 
 
 @dataclass(frozen=True)
 class PartitionBy:
     """Folders of a landed table: the first `length` characters of the text column `key`."""
 
-    name: str
     key: str
     length: int
 
     def value(self) -> Column:
-        return empty_to_null(F.substring(self.key, 1, self.length))
+        return F.coalesce(empty_to_null(F.substring(self.key, 1, self.length)), F.lit(NO_VALUE))
 
 
 # A batch rewrites the partitions it touches. Months keep the files of a small feed few; take
 # days once a day fills files of its own.
-RATE_MONTH = PartitionBy("rate_month", "rate_date", 7)
-RATE_DAY = PartitionBy("rate_day", "rate_date", 10)
+RATE_MONTH = PartitionBy("rate_date", 7)
+RATE_DAY = PartitionBy("rate_date", 10)
 
 
 def to_landing(df: DataFrame, columns: Sequence[str], loaded_at: datetime | str | Column) -> DataFrame:
@@ -57,56 +66,56 @@ def to_landing(df: DataFrame, columns: Sequence[str], loaded_at: datetime | str
     return df.select(*fields, *lineage, as_timestamp(loaded_at).alias("_loaded_at"))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def _numbers(spark: SparkSession, path: str, prefix: str = "", marker: str = "") -> list[int]:
+    """Numbered folders below `path` that hold the marker."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    place = hadoop.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
-
-
-def _write(df: DataFrame, path: str, partition: PartitionBy | None = None) -> None:
-    """`rebalance` evens out the files of a partitioned table: a folder that gets most rows is
-    split among many tasks, and small ones share one."""
-    if partition is None:
-        df.write.mode("overwrite").parquet(path)
-    else:
-        (
-            df.withColumn(partition.name, partition.value())
-            .hint("rebalance", F.col(partition.name))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition.name)
-            .parquet(path)
-        )
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    found = [name for name in names if name.startswith(prefix) and name[len(prefix):].isdigit()]
+    return sorted(
+        int(name[len(prefix):]) for name in found if not marker or files.exists(hadoop.Path(f"{path}/{name}/{marker}"))
+    )
+
+
+def current_version(spark: SparkSession, path: str) -> int | None:
+    """The last version whose pointer is complete."""
+    return max(_numbers(spark, f"{path}/live", marker="_SUCCESS"), default=None)
+
+
+def _live(spark: SparkSession, path: str, version: int) -> DataFrame:
+    # The comparison holds for every row; it tells the optimizer that pruning by this side is worthwhile.
+    return spark.read.schema(LIVE).parquet(f"{path}/live/{version}").filter("version > 0")
 
 
 def read_landing(
-    spark: SparkSession, path: str, schema: T.StructType, partitions: DataFrame | None = None,
-    partition: PartitionBy | None = None,
+    spark: SparkSession, path: str, schema: T.StructType, touched: DataFrame | None = None
 ) -> DataFrame:
-    """The landed table; with `partitions`, the values of `partition` in that batch only.
+    """The landed table; with `touched(folder)`, the partitions named there only.
 
-    The values go into the scan's partition filter, so no other folder is opened. There
-    are at most as many as the batch has months or days.
+    Scans are pruned at run time by the pointer. A table that was never landed is empty.
     """
-    if partition is None or partitions is None:
-        return spark.read.schema(schema).parquet(path)
-    values = partitions.select(partition.value().alias("v")).distinct().limit(MOST_TOUCHED_PARTITIONS + 1)
-    touched = [row[0] for row in values.collect()]
-    # Text, or Spark would read a month as a date.
-    wider = T.StructType([*schema.fields, T.StructField(partition.name, T.StringType())])
-    table = spark.read.schema(wider).parquet(path)
-    if len(touched) <= MOST_TOUCHED_PARTITIONS:
-        folder = F.col(partition.name)
-        chosen = folder.isin([value for value in touched if value is not None])
-        table = table.filter(chosen | folder.isNull() if None in touched else chosen)
-    return table.select(*schema.fieldNames())
-
-
-def _publish(
-    spark: SparkSession, path: str, staged: str, schema: T.StructType, partition: PartitionBy | None
-) -> None:
-    _write(read_landing(spark, staged, schema), path, partition)
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(staged)
+    path = path.rstrip("/")
+    version = current_version(spark, path)
+    if version is None:
+        return spark.createDataFrame([], schema)
+    live = _live(spark, path, version)
+    if touched is not None:
+        live = live.join(touched, "folder", "left_semi")
+    wider = T.StructType([*schema.fields, T.StructField("version", T.LongType()), T.StructField("folder", T.StringType())])
+    rows = spark.read.schema(wider).option("basePath", f"{path}/data").parquet(f"{path}/data")
+    return rows.join(live, ["version", "folder"], "left_semi").select(*schema.fieldNames())
 
 
 class Landed(NamedTuple):
@@ -116,6 +125,26 @@ class Landed(NamedTuple):
     loaded: int
 
 
+def _publish(spark: SparkSession, path: str, before: int | None, number: int, touched: DataFrame) -> None:
+    """The pointer of a version: the one before, with the touched partitions moved to the new version."""
+    live = touched.select("folder", F.lit(number).cast("bigint").alias("version"))
+    if before is not None:
+        live = _live(spark, path, before).join(touched, "folder", "left_anti").unionByName(live)
+    live.coalesce(1).write.mode("overwrite").parquet(f"{path}/live/{number}")
+
+
+def _tidy(spark: SparkSession, path: str, version: int) -> None:
+    """Remove versions that neither the pointer nor the one before it, which readers may still hold, refers to."""
+    pointers = _numbers(spark, f"{path}/live")
+    held = pointers[-2:]
+    used = {row[0] for number in held for row in _live(spark, path, number).select("version").distinct().collect()}
+    for number in pointers[:-2]:
+        _remove(spark, f"{path}/live/{number}")
+    for number in _numbers(spark, f"{path}/data", "version="):
+        if number not in used and number <= version:
+            _remove(spark, f"{path}/data/version={number}")
+
+
 def land(
     spark: SparkSession,
     path: str,
@@ -125,32 +154,40 @@ def land(
     partition: PartitionBy | None = None,
     order_by: str = "_extracted_at",
 ) -> Landed:
-    """Upsert `updates` into the Parquet table at `path`. One writer at a time.
-
-    The batch is first written beside the table as it came, so the source is parsed once,
-    and the counts come from stored files: an accumulator would count rerun tasks twice.
-    With `partition`, of one of the keys, only the partitions that the batch touches are
-    read and rewritten. The merged rows are stored, too, before they replace them: a driver
-    that dies while publishing leaves a complete copy, which the next call publishes
-    before anything else.
+    """Upsert `updates` into the table at `path`. One writer at a time.
+
+    The batch is reduced to its last row of each key, with the number of rows that stood for it, and stored: the
+    source is read once, both counts come from stored files (an accumulator would count rerun tasks twice), and a
+    key that most of the batch has is one row from each map task on. With `partition`, of one of the keys, only the partitions that the
+    batch touches are read and written. A driver that dies at any step leaves the table as it was; the
+    next call writes over what it left.
     """
+    path = path.rstrip("/")
     if partition is not None and partition.key not in keys:
         raise ValueError("the partition must derive from a key, or a key could sit in two partitions")
-    staged, arrived = path.rstrip("/") + "__staged", path.rstrip("/") + "__arrived"
-    if path_exists(spark, f"{staged}/_SUCCESS") and not read_landing(spark, staged, schema).isEmpty():
-        _publish(spark, path, staged, schema, partition)
-
-    _write(updates.select(*schema.fieldNames()), arrived)
-    batch = read_landing(spark, arrived, schema)
-    extracted = batch.count()
-    if extracted == 0:
+    before = current_version(spark, path)
+    number = (before or 0) + 1
+    _remove(spark, f"{path}/incoming")
+    incoming = f"{path}/incoming/{uuid.uuid4().hex}"
+    counted_per_key(updates.select(*schema.fieldNames()), keys, order_by).write.parquet(incoming)
+    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("_copies", T.LongType())])).parquet(incoming)
+    counts = stored.agg(F.sum("_copies"), F.count("*")).first()
+    if not counts[1]:
+        _remove(spark, f"{path}/incoming")
         return Landed(0, 0)
-    null_key = has_null(keys)
-    loaded = batch.filter(~null_key).select(*keys).distinct().count() + batch.filter(null_key).count()
-    if path_exists(spark, path):
-        target = read_landing(spark, path, schema, batch, partition)
-        _write(upsert(target, batch, keys, order_by), staged)
-        _publish(spark, path, staged, schema, partition)
-    else:
-        _write(one_per_key(batch, keys, order_by), path, partition)
-    return Landed(extracted, loaded)
+
+    folder = F.lit(WHOLE) if partition is None else partition.value()
+    fresh = stored.drop("_copies").withColumn("folder", folder)
+    # Compared for the same reason as versions above; no folder is empty text.
+    touched = fresh.select("folder").distinct().filter("length(folder) > 0")
+    merged = fresh
+    if before is not None:
+        keyed = fresh.filter(~has_null(keys)).select(*keys)
+        kept = read_landing(spark, path, schema, touched).join(keyed, list(keys), "left_anti").select(*schema.fieldNames())
+        merged = kept.withColumn("folder", folder).unionByName(fresh)
+    # A folder that gets most rows is split among many tasks, and small ones share one.
+    merged.hint("rebalance", F.col("folder")).write.mode("overwrite").partitionBy("folder").parquet(f"{path}/data/version={number}")
+    _publish(spark, path, before, number, touched)
+    _remove(spark, f"{path}/incoming")
+    _tidy(spark, path, number)
+    return Landed(*counts)

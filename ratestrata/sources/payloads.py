@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ratestrata import schemas
 from ratestrata.functions.text import empty_to_null, epoch_day, join_sorted
@@ -12,8 +12,25 @@ from ratestrata.sources.base import Source
 REQUIRED = ["base", "rates", "timestamp"]
 
 
+# A number that is the value of a field. JSON readers turn it into a double, which loses digits, so it is quoted before.
+# Quotes inside a text are escaped, hence no text can look like a field.
+FIELD_NUMBER = r'([{,]\s*"[^"\\]*"\s*:\s*)(-?[0-9][0-9.eE+-]*)'
+
+
+def _parsed_rates(body: Column, mode: str) -> Column:
+    """Payloads of one JSON document, an object or an array of them, numbers as the text they are written in."""
+    quoted = F.regexp_replace(body, FIELD_NUMBER, '$1"$2"')
+    return F.from_json(quoted, T.ArrayType(schemas.WRITTEN_RATES_PAYLOAD), {"mode": mode})
+
+
+def _typed_rates(payloads: DataFrame) -> DataFrame:
+    return payloads.select("payload.base", F.col("payload.timestamp").try_cast("bigint").alias("timestamp"), "payload.rates")
+
+
 def parse_payloads(df: DataFrame, col: str, schema=schemas.RATES_PAYLOAD) -> DataFrame:
     """Payloads from a text column; text that is no such JSON gives a row of NULLs."""
+    if schema == schemas.RATES_PAYLOAD:
+        return _typed_rates(df.select(F.explode_outer(_parsed_rates(F.col(col), "PERMISSIVE")).alias("payload")))
     return df.select(F.from_json(F.col(col), schema).alias("payload")).select("payload.*")
 
 
@@ -98,6 +115,10 @@ class RatesSource(_JsonSource):
     def __init__(self, name: str = "rates_api", path: str = "", multiline: bool = True) -> None:
         super().__init__(name, path, multiline)
 
+    def payloads(self, spark: SparkSession) -> DataFrame:
+        bodies = spark.read.text(self.path, wholetext=self.multiline).filter("trim(value) != ''")
+        return _typed_rates(bodies.select(F.explode(_parsed_rates(F.col("value"), "FAILFAST")).alias("payload")))
+
     def read(self, spark: SparkSession) -> DataFrame:
         return _unfold(require_complete(self.payloads(spark)))
 

@@ -21,7 +21,8 @@ def land_stream(
 ) -> DataStreamWriter:
     """A writer that upserts `stream`, already in landing form, into the table at `path`.
 
-    A batch repeated after a failure writes the same rows again, so the table holds them once.
+    A batch repeated after a failure writes the same rows again, so the table holds those with a whole key
+    once. Rows with a NULL in the key equal nothing and are added again.
     """
 
     def merge(batch: DataFrame, _: int) -> None:

@@ -9,22 +9,22 @@ from ratestrata.sources import audit
 from ratestrata.sources.base import ExtractionError
 from ratestrata.sources.payloads import CountriesSource, RatesSource
 
-AT = datetime(2024, 1, 15, 0, 5, tzinfo=timezone.utc)
-AS_OF = date(2024, 1, 15)
-EUR_DAYS = {1705190400: 0.9, 1705276800: 0.9234}
+AT = datetime(2023, 6, 20, 7, 30, tzinfo=timezone.utc)
+AS_OF = date(2023, 6, 20)
+NOK_DAYS = {1687132800: 10.0, 1687219200: 10.5}  # 19 and 20 June
 
 
-def payloads(tmp_path, rates=None, name="Germany"):
+def payloads(tmp_path, rates=None, name="Norge"):
     folder = tmp_path / "in"
     folder.mkdir(exist_ok=True)
-    for stamp, eur in EUR_DAYS.items():
-        body = {"base": "USD", "timestamp": stamp, "rates": rates or {"EUR": eur, "UZS": 12345.67, "BAD": 0}}
+    for stamp, nok in NOK_DAYS.items():
+        body = {"base": "USD", "timestamp": stamp, "rates": rates or {"NOK": nok, "PEN": 3.6512345678, "BAD": 0}}
         (folder / f"{stamp}.json").write_text(json.dumps(body))
     countries = [
-        {"cca2": "DE", "cca3": "DEU", "name": {"common": name}, "region": "Europe", "population": 83240525,
-         "area": 357114.0, "currencies": {"EUR": {"name": "Euro"}}, "unMember": True},
-        {"cca2": "UZ", "cca3": "UZB", "name": {"common": "Uzbekistan"}, "region": "Asia", "population": 34232050,
-         "area": 447400.0, "currencies": {"UZS": {"name": "Som"}}, "unMember": True},
+        {"cca2": "NO", "cca3": "NOR", "name": {"common": name}, "region": "Europe", "population": 5500001,
+         "area": 385000.5, "currencies": {"NOK": {"name": "Krone"}}, "unMember": True},
+        {"cca2": "PE", "cca3": "PER", "name": {"common": "Perú"}, "region": "Americas", "population": 34000002,
+         "area": 1285000.0, "currencies": {"PEN": {"name": "Sol"}}, "unMember": True},
     ]
     (tmp_path / "countries.json").write_text(json.dumps(countries))
     return RatesSource("rates_api", str(folder)), CountriesSource("countries_api", str(tmp_path / "countries.json"))
@@ -46,9 +46,9 @@ def test_the_run_and_its_repetition(spark, tmp_path):
     assert results.count() == 11 and results.filter("not passed").count() == 0
     first = gold_tables(spark, tmp_path)
     summary = {row[1]: row for row in first["agg_currency_summary"]}
-    assert set(summary) == {"EUR", "UZS"}
-    assert float(summary["EUR"][2]) == 0.9234 and float(summary["EUR"][5]) == 2.6
-    assert summary["EUR"][6:8] == ("Europe", "Germany")
+    assert set(summary) == {"NOK", "PEN"}
+    assert float(summary["NOK"][2]) == 10.5 and float(summary["NOK"][5]) == 5.0
+    assert summary["NOK"][6:8] == ("Europe", "Norge")
     assert len(first["agg_rates_by_region"]) == 4 and len(first["agg_country_currency_map"]) == 2
 
     run(spark, tmp_path, "run_002")
@@ -81,3 +81,47 @@ def test_failed_check_raises_after_it_is_stored(spark, tmp_path):
         run(spark, tmp_path, name=" ")
     stored = spark.read.parquet(daily.Layers(str(tmp_path / "out")).path("gold", "check_results"))
     assert stored.count() == 11 and stored.filter("not passed").count() == 1
+
+
+def test_the_whole_error_is_recorded_and_load_time_is_its_own(spark, tmp_path):
+    class Failing(RatesSource):
+        def read(self, spark):
+            raise RuntimeError("x" * 5000)
+
+    layers = daily.Layers(str(tmp_path / "out"))
+    with pytest.raises(ExtractionError):
+        daily.ingest(spark, Failing("rates_api"), layers, "raw_currencies", daily.schemas.RATE_FIELDS, daily.RATE_KEYS, "r", AT)
+    (row,) = audit.run_state(audit.read_events(spark, layers.runs)).collect()
+    assert "x" * 5000 in row.error_message
+
+    rates, _ = payloads(tmp_path)
+    later = datetime(2023, 6, 20, 9, 0, tzinfo=timezone.utc)
+    daily.ingest(spark, rates, layers, "raw_currencies", daily.schemas.RATE_FIELDS, daily.RATE_KEYS, "r", AT, loaded_at=later)
+    landed = daily.read_landing(spark, layers.path("bronze", "raw_currencies"), daily.schemas.RAW_RATES)
+    assert {(r.e, r.l) for r in landed.selectExpr("unix_timestamp(_extracted_at) e", "unix_timestamp(_loaded_at) l").collect()} == {
+        (int(AT.timestamp()), int(later.timestamp()))
+    }
+    assert {r.rate for r in landed.collect()} == {"10.0", "10.5", "3.6512345678", "0"}
+
+
+def test_gold_of_one_base_is_unique(spark, tmp_path):
+    rates, countries = payloads(tmp_path)
+    (tmp_path / "in" / "other.json").write_text(json.dumps({"base": "CHF", "timestamp": 1687219200, "rates": {"NOK": 11.5}}))
+    with pytest.raises(quality.CheckFailure, match="unique"):
+        daily.run_daily(spark, rates, countries, str(tmp_path / "out"), "r1", AS_OF, AT)
+    results = daily.run_daily(spark, rates, countries, str(tmp_path / "out"), "r2", AS_OF, AT, base="USD")
+    assert results.filter("not passed").count() == 0
+    assert spark.read.parquet(daily.Layers(str(tmp_path / "out")).path("silver", "fct_exchange_rates")).count() == 5
+
+
+def test_facts_are_written_without_sampling_and_without_a_second_scan(spark, tmp_path):
+    from conftest import plan
+
+    from ratestrata.plans import silver, staging
+
+    run(spark, tmp_path)
+    layers = daily.Layers(str(tmp_path / "out"))
+    rates = staging.stage_rates(daily.read_landing(spark, layers.path("bronze", "raw_currencies"), daily.schemas.RAW_RATES))
+    dim = spark.read.parquet(layers.path("silver", "dim_countries"))
+    text = plan(silver.fct_rates(rates, dim, code_lengths=daily.ISO_LENGTHS))
+    assert text.count("bronze/raw_currencies/data") == 1 and "rangepartitioning" not in text

@@ -90,31 +90,53 @@ def test_untouched_partitions_are_not_rewritten(spark, tmp_path):
     path = tmp_path / "t"
     L.land(spark, str(path), batch(spark, ("A", "2024-01-01", "1", 1), ("A", "2024-01-02", "1", 1)), KEYS,
            schemas.RAW_RATES, L.RATE_DAY)
-    files = {p.name for p in (path / "rate_day=2024-01-01").iterdir()}
+    first = path / "data" / "version=1" / "folder=2024-01-01"
+    files = {p.name for p in first.iterdir()}
     L.land(spark, str(path), batch(spark, ("A", "2024-01-02", "2", 2)), KEYS, schemas.RAW_RATES, L.RATE_DAY)
-    assert {p.name for p in (path / "rate_day=2024-01-01").iterdir()} == files
+    assert {p.name for p in first.iterdir()} == files
+    assert [p.name for p in (path / "data" / "version=2").iterdir() if p.is_dir()] == ["folder=2024-01-02"]
     assert stored(spark, str(path)) == [("A", "2024-01-01", "1"), ("A", "2024-01-02", "2")]
 
 
-def test_a_driver_lost_while_publishing_loses_no_row(spark, tmp_path, monkeypatch):
+def test_versions_that_nothing_refers_to_go(spark, tmp_path):
     path = tmp_path / "t"
-    args = (KEYS, schemas.RAW_RATES, L.RATE_MONTH)
-    L.land(spark, str(path), batch(spark, ("A", "2024-01-01", "1", 1), ("B", "2024-01-02", "1", 1)), *args)
+    for second in range(1, 6):
+        L.land(spark, str(path), batch(spark, ("A", "2024-01-02", str(second), second)), KEYS, schemas.RAW_RATES, L.RATE_MONTH)
+    assert sorted(p.name for p in (path / "data").iterdir()) == ["version=4", "version=5"]
+    assert sorted(p.name for p in (path / "live").iterdir()) == ["4", "5"]
+    assert not (path / "incoming").exists()
+    assert stored(spark, str(path)) == [("A", "2024-01-02", "5")]
+
+
+@pytest.mark.parametrize("partition", [L.RATE_MONTH, None])
+@pytest.mark.parametrize("first", [True, False])
+@pytest.mark.parametrize("step", ["counted_per_key", "_publish", "_tidy"])
+def test_readers_see_a_whole_table_wherever_a_driver_dies(spark, tmp_path, monkeypatch, partition, first, step):
+    path = str(tmp_path / "t")
+    args = (KEYS, schemas.RAW_RATES, partition)
+    before = [] if first else [("A", "2024-01-01", "1"), ("B", "2024-01-02", "1")]
+    if not first:
+        L.land(spark, path, batch(spark, ("A", "2024-01-01", "1", 1), ("B", "2024-01-02", "1", 1)), *args)
 
     def dies(*_):
-        for file in (path / "rate_month=2024-01").glob("*.parquet"):
-            file.unlink()
         raise KeyboardInterrupt
 
     with monkeypatch.context() as patch:
-        patch.setattr(L, "_publish", dies)
+        patch.setattr(L, step, dies)
         with pytest.raises(KeyboardInterrupt):
-            L.land(spark, str(path), batch(spark, ("A", "2024-01-01", "2", 2)), *args)
-    spark.catalog.clearCache()
-    L.land(spark, str(path), batch(spark, ("C", "2024-01-03", "3", 3)), *args)
-    assert stored(spark, str(path)) == [
-        ("A", "2024-01-01", "2"), ("B", "2024-01-02", "1"), ("C", "2024-01-03", "3"),
-    ]
+            L.land(spark, path, batch(spark, ("A", "2024-01-01", "2", 2)), *args)
+    after = [("A", "2024-01-01", "2"), *before[1:]]
+    assert stored(spark, path) == (after if step == "_tidy" else before)
+    L.land(spark, path, batch(spark, ("A", "2024-01-01", "2", 2), ("C", "2024-01-03", "3", 3)), *args)
+    assert stored(spark, path) == [*after, ("C", "2024-01-03", "3")]
+
+
+def test_a_pointer_counts_once_it_is_complete(spark, tmp_path):
+    path = tmp_path / "t"
+    L.land(spark, str(path), batch(spark, ("A", "2024-01-01", "1", 1)), KEYS, schemas.RAW_RATES)
+    (path / "live" / "2").mkdir()
+    assert L.current_version(spark, str(path)) == 1
+    assert stored(spark, str(path)) == [("A", "2024-01-01", "1")]
 
 
 def test_the_partition_must_be_of_a_key(spark, tmp_path):
@@ -156,17 +178,6 @@ def test_runs(spark, tmp_path):
     assert "TakeOrderedAndProject(limit=2" in plan(audit.recent_runs(state, 2))
 
 
-def test_a_batch_of_too_many_partitions_merges_the_whole_table(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(L, "MOST_TOUCHED_PARTITIONS", 1)
-    path = str(tmp_path / "t")
-    args = (KEYS, schemas.RAW_RATES, L.RATE_DAY)
-    L.land(spark, path, batch(spark, *[("A", f"2024-01-0{d}", "1", 1) for d in (1, 2, 3)]), *args)
-    L.land(spark, path, batch(spark, *[("A", f"2024-01-0{d}", "2", 2) for d in (2, 3, 4)]), *args)
-    assert stored(spark, path) == [
-        ("A", "2024-01-01", "1"), ("A", "2024-01-02", "2"), ("A", "2024-01-03", "2"), ("A", "2024-01-04", "2"),
-    ]
-
-
 def test_most_rows_of_a_batch_in_one_key_or_without_a_key(spark):
     hot = spark.range(0, 3000, 1, 6).selectExpr(
         "case when id % 3 = 0 then 'hot' when id % 3 = 1 then null else cast(id as string) end as k",
@@ -176,3 +187,13 @@ def test_most_rows_of_a_batch_in_one_key_or_without_a_key(spark):
     assert text.index("Exchange hashpartitioning") < text.index(", Partial")
     rows = tuples(written)
     assert len(rows) == 1 + 1000 + 1000 and [r for r in rows if r[0] == "hot"] == [("hot", "1", "2997", 2997)]
+
+
+def test_a_hot_key_sends_a_row_per_map_task_to_both_sides(spark):
+    rows = spark.range(0, 3000, 1, 6).selectExpr(
+        "if(id % 3 = 0, 'hot', cast(id as string)) as k", "'1' as d", "cast(id as string) as v", "id as _extracted_at")
+    target = spark.range(0, 3000, 1, 6).selectExpr("if(id = 0, 'hot', concat('t', id)) as k", "'1' as d", "'old' as v", "id as _extracted_at")
+    written = upsert(target, rows, ["k", "d"])
+    assert written.filter("v = 'old'").count() == 2999 and written.filter("k = 'hot'").collect()[0].v == "2997"
+    counted = L.counted_per_key(rows, ["k", "d"], "_extracted_at")
+    assert [tuple(r) for r in counted.filter("k = 'hot'").collect()] == [("hot", "1", "2997", 2997, 1000)]
