@@ -22,27 +22,27 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     )
     pairs = work.store(pairs, "edges-0")
     before, step = None, 0
+    if pairs.isEmpty():
+        return pairs.toDF("node", "component")
     while True:
-        # large star: every larger neighbour of a node moves to the smallest of the neighbourhood
+        # Minima are stored before they are joined: such a join shuffles both sides, and a node with very
+        # many neighbours can be split. Large star: larger neighbours move to the smallest of the neighbourhood.
         both = pairs.select("u", "v").unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        # small star: every smaller neighbour, and the node itself, move to the smallest
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(least, "u")
-        small = (
-            moved.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(moved.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-        )
+        least = work.store(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"large-{step}")
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = work.store(large.distinct(), f"moved-{step}")
+        # small star: smaller neighbours, and the node itself, move to the smallest
+        least = work.store(large.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("x")), f"small-{step}")
+        more = large.join(least.where("m < x"), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = least.select("u", F.col("m").alias("v")).unionByName(more).distinct()
         step += 1
         pairs = work.store(small, f"edges-{step}")
-        work.drop(f"edges-{step - 1}")
-        now = pairs.agg(
-            F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.count_distinct("u")
-        ).first()
-        if tuple(now) == before and now[0] == now[2]:
+        for name in (f"edges-{step - 1}", f"large-{step - 1}", f"moved-{step - 1}", f"small-{step - 1}"):
+            work.drop(name)
+        now = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if now == before:
             break
-        before = tuple(now)
+        before = now
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

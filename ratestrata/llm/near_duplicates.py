@@ -228,18 +228,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     # differing sets of similarity 0.8 have four shingles or more each
     least = -(-percent // (101 - percent)) if percent < 100 else 0
     sketch = work.store(
-        own.join(member.where("doc_id = rep").select("doc_id", "rep"), "doc_id").where(F.col("n_shingles") >= least)
-        .select("rep", "n_shingles", "bits", "signature").dropDuplicates(["rep"]),
+        own.join(member.where("doc_id = rep").select("doc_id"), "doc_id").where(F.col("n_shingles") >= least)
+        .select(F.col("doc_id").alias("rep"), "n_shingles", "bits", "signature").dropDuplicates(["rep"]),
         "classes",
     )
 
+    # Where a key is hot, adaptive execution splits it, but only in joins that shuffle both sides; so what is aggregated by a
+    # key is stored before it is joined on that key.
     keyed = sketch.mapInArrow(_keys, "rep long, n_shingles long, bits long, keys array<long>").select(
         F.explode("keys").alias("key"), "rep", "n_shingles", "bits"
     )
     some = F.xxhash64(F.col("rep"))
     shared = keyed.groupBy("key").agg(
-        F.min("rep").alias("low"), F.max("rep").alias("high"), F.min_by("rep", some).alias("some"), F.min("bits").alias("x")
-    ).where("low < high").drop("x")
+        F.min("rep").alias("low"), F.max("rep").alias("high"), F.min_by("rep", some).alias("some")
+    ).where("low < high")
+    shared = work.store(shared, "shared-key-centers")
     shared = work.store(keyed.join(shared, "key").select("key", "rep", "n_shingles", "bits", "low", "high", "some"), "shared-keys")
 
     pairs = (
@@ -255,7 +258,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
     placed = work.store(placed, "placed")
     apart = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    apart = placed.join(apart.select("key"), "key", "left_semi")
+    apart = work.store(placed.join(work.store(apart.select("key"), "contested-keys"), "key", "left_semi"), "contested")
     left, right = (apart.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("rep", "n_shingles", "bits", "component"))) for side in "ab")
     rest = left.join(
         right,
@@ -268,7 +271,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     second = _links(work, "links-second", docs, rest, sketch, width, percent)
 
     links = first.unionByName(second).distinct()
-    named = connected_components(spark, links)
+    # the second links join components of the first, of which few are left apart
+    ends = second.join(found.toDF("a", "root_a"), "a", "left").join(found.toDF("b", "root_b"), "b", "left")
+    ends = ends.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    joined = connected_components(spark, ends)
+    late = second.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(found, "node", "left_anti")
+    named = found.unionByName(late.withColumn("component", F.col("node"))).join(joined.toDF("component", "top"), "component", "left")
+    named = named.select("node", F.coalesce("top", "component").alias("component"))
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     of_doc = (
         member.join(named.select(F.col("node").alias("rep"), "component"), "rep", "left").join(degree, "rep", "left")
