@@ -66,13 +66,21 @@ def join_sorted(col: Column, kind: str) -> Column:
 
 
 def double_text(col: Column) -> Column:
-    """A double as `17098242.0`, where Spark's own cast gives `1.7098242E7`."""
+    """A double in the digits of its shortest form: `17098242.0`, and from 1e16 up or below 1e-4 `1e+16`, `1.5e-05`;
+    Spark's own cast gives `1.7098242E7`, `1.0E16` and `1.5E-5`."""
     text = col.cast("string")
     magnitude = F.abs(col)
-    digits = F.rtrim(col.cast("string").try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    digits = F.rtrim(text.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
     plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-    scientific = text.contains("E") & (magnitude >= 1e-4) & (magnitude < 1e16)
-    return F.when(scientific, plain).otherwise(text)
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    power = F.substring_index(text, "E", -1).try_cast("int")
+    sign = F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+"))
+    padded = F.when(F.abs(power) < 10, F.concat(F.lit("0"), F.abs(power).cast("string"))).otherwise(F.abs(power).cast("string"))
+    return (
+        F.when(~text.contains("E"), text)
+        .when((magnitude >= 1e-4) & (magnitude < 1e16), plain)
+        .otherwise(F.concat(mantissa, sign, padded))
+    )
 
 
 def epoch_day(seconds: Column) -> Column:

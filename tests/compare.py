@@ -62,7 +62,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     db, sql = connect(sf_dir), oracle_sql()
     for name, run in queries().items():
-        if chosen and name not in chosen:
+        if (chosen and name not in chosen) or name not in sql:
             continue
         start = time.time()
         try:

@@ -38,7 +38,7 @@ def test_landing_is_text(frame):
     assert row._source is None and row._loaded_at is not None
 
 
-@pytest.mark.parametrize("value", [0.0, 1.5, 0.0001, 0.00012345678901234567, 12345678.9, 9007199254740993.0, -17098242.25])
+@pytest.mark.parametrize("value", [0.0, 1.5, 0.0001, 0.00012345678901234567, 12345678.9, 9007199254740993.0, -17098242.25, 1e16, -2.5e-7, 1e-05, 1.2345e+20, 1e300, 3e-10])
 def test_doubles_land_in_plain_digits(frame, value):
     assert frame("d double", (value,)).select(double_text(F.col("d"))).first()[0] == repr(value)
 
