@@ -12,7 +12,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ratestrata.session import shared_folder
 
@@ -72,6 +72,11 @@ def texts_of(docs: DataFrame, *more: Column) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
+def with_fields(df: DataFrame, **kinds: str) -> T.StructType:
+    """The schema of `df` and further columns; the frame's own schema stays as it is."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(", ".join(f"{n} {k}" for n, k in kinds.items())).fields])
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that a slice holds about `most` bytes of text, or one text that is longer."""
     for batch in batches:

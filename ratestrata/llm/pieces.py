@@ -49,6 +49,7 @@ class PieceModel:
             else p.piece.replace(BLANK, " ").encode() if p.type == kind.NORMAL else b""
             for p in proto.pieces
         ]
+        self.leading = {i for piece, i in self.ids.items() if piece.startswith(BLANK)}
         self.pairs = {pair for piece in self.ids for pair in zip(piece, piece[1:])}
         if any(b == BLANK and a != BLANK for a, b in self.pairs):
             raise ValueError(f"{path}: pieces that hold a blank inside")
@@ -136,7 +137,8 @@ class PieceModel:
     def decode(self, ids: list[int]) -> bytes:
         """UTF-8 of the text. Byte pieces that make no UTF-8 become replacement characters, one for each byte."""
         text = b"".join(map(self.surfaces.__getitem__, ids))
-        if text.startswith(b" "):
+        first = next((i for i in ids if self.surfaces[i]), None)
+        if first in self.leading:
             text = text[1:]  # the blank put before every text
         try:
             text.decode()

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ratestrata.llm.common import U64, Words, mixed, raw_texts, slices, texts_of, words_of
+from ratestrata.llm.common import U64, Words, mixed, raw_texts, slices, texts_of, with_fields, words_of
 
 BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
@@ -183,7 +183,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of `docs`, all columns, that score the threshold or more."""
     texts_of(docs)
-    scored = docs.mapInArrow(_scored(model, docs.columns), docs.schema.add("__score", "double"))
+    scored = docs.mapInArrow(_scored(model, docs.columns), with_fields(docs, __score="double"))
     return scored.where(F.col("__score") >= threshold).drop("__score")
 
 

@@ -7,6 +7,7 @@ What each rule of a policy rejects, and what would come back without it, are cou
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ratestrata.llm.common import U64, mixed, raw_texts, slices, texts_of, words_of
+from ratestrata.llm.common import U64, mixed, raw_texts, slices, texts_of, with_fields, words_of
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = [
@@ -172,15 +173,10 @@ def passing(docs: DataFrame, policy: Policy = WEB) -> DataFrame:
             measured = next(_measure(iter([batch.select(["doc_id", "text"])])))
             yield pa.record_batch([*batch.columns, *(measured.column(m) for m in added.values())], names=[*names, *added])
 
-    schema = docs.schema
-    for name in added:
-        schema = schema.add(name, "long")
     failed = F.lit(False)
     for _, condition in masks:
-        for name in sorted(MEASURES, key=len, reverse=True):
-            condition = condition.replace(name, f"__{name}").replace("____", "__")
-        failed = failed | F.expr(condition)
-    return docs.mapInArrow(run, schema).where(~failed).select(*names)
+        failed = failed | F.expr(re.sub(r"[a-z_]+", lambda m: f"__{m[0]}" if m[0] in MEASURES else m[0], condition))
+    return docs.mapInArrow(run, with_fields(docs, **dict.fromkeys(added, "long"))).where(~failed).select(*names)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
