@@ -222,8 +222,8 @@ def exact(rows, every, k):
 
 def test_neighbours_of_odd_vectors(spark):
     rng = np.random.default_rng(2)
-    rows = [(i, rng.integers(-3, 4, 8).astype(float).tolist()) for i in range(120)] + [(200 + i, [1.0, 2, 0, 0, 0, 0, 0, 1]) for i in range(30)]
-    rows += [(None, [1.0] * 8), (300, None), (320, []), (340, [0.0] * 8), (360, [None, *[1.0] * 7]), (380, [float("nan")] * 8), (400, [1.0, 2.0]), (420, [2.0, 1.0])]
+    rows = [(i, rng.integers(-3, 4, 8).astype(float).tolist()) for i in range(120)] + [(200 + i, [1.0, 2.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0]) for i in range(90)]
+    rows += [(None, [1.0] * 8), (500, None), (520, []), (540, [0.0] * 8), (560, [None, *[1.0] * 7]), (580, [float("nan")] * 8), (600, [1.0, 2.0]), (620, [2.0, 1.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("key", F.lit(1)).withColumn("rank", F.lit(1))
     found = neighbours.nearest(table, every=20, k=20, window=1.0)
     assert sorted((r.query_id, r.rank, r.vec_id) for r in found.collect()) == exact(rows, 20, 20)
