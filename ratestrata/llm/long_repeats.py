@@ -125,9 +125,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     docs = texts_of(docs).where("doc_id is not null")
     seeds = docs.mapInArrow(_seeds(window), "seed long, doc_id long")
     shared = seeds.groupBy("seed").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    listed = work.store(
-        seeds.join(shared.select("seed"), "seed").groupBy("doc_id").agg(F.collect_set("seed").alias("seeds")), "seeds"
-    )
+    # Stored, so that the joins shuffle both sides anew: a join on top of an aggregate's own shuffle cannot split a hot key.
+    shared = work.store(shared.select("seed"), "shared-seeds")
+    listed = work.store(seeds.join(shared, "seed").groupBy("doc_id").agg(F.collect_set("seed").alias("seeds")), "seeds")
+    work.drop("shared-seeds")
     edges = docs.join(listed, "doc_id").select("doc_id", "text", "seeds").mapInArrow(
         _edges(window), "key_1 long, key_2 long, doc_id long, position int"
     )
@@ -140,10 +141,12 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         first = own.groupBy("key_1", "key_2").agg(
             F.min("doc_id").alias("source"), F.max("doc_id").alias("high"), F.min_by("position", "doc_id").alias("source_position")
         ).where("source < high").drop("high")
+        first = work.store(first, f"first-{part}")
         found = work.store(
             own.join(first, ["key_1", "key_2"]).where("doc_id > source").select("doc_id", "position", "source", "source_position"),
             f"repeats-{part}",
         )
+        work.drop(f"first-{part}")
         repeats = found if repeats is None else repeats.unionByName(found)
     work.drop("edges")
     spans = repeats.repartition("doc_id").sortWithinPartitions("doc_id", "position").mapInArrow(
