@@ -1,14 +1,14 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
 Every distinct shingle set gets a signature of `SLOTS` b-bit MinHash values. Two sets of Jaccard similarity 0.8
-differ in a fifth of the slots on average; `MOST_DIFFERENT` lies more than five standard deviations above. The join
+differ in a fifth of the slots on average; `MOST_DIFFERENT` lies almost five standard deviations above. The join
 finds *all* pairs of signatures within that distance: the slots are cut into so many chunks that some chunk
 holds at most one difference (pigeonhole), and each chunk is indexed once for each slot left out (all
 errors allowed in it). What shares a key is then compared by signature and confirmed on the full shingle sets.
 
 Groups of copies never make all their pairs. Equal sets collapse into one class first. Then each key links
-its sets to three of their number, chosen by minimum, maximum and hash, which finds large groups in a linear number of
-pairs. Only sets that share a key and are still in different components afterwards are paired with each other,
+its sets to two of their number, the smallest and the one that shares most keys with others, which finds large
+groups in a linear number of pairs. Only sets that share a key and are still in different components afterwards are paired with each other,
 behind a bit sketch compared inside the join; this last step makes the result whole.
 """
 
@@ -27,13 +27,13 @@ from ratestrata.llm.common import (
 from ratestrata.llm.components import connected_components
 
 SLOTS = 80
-#: Binomial(80, 0.2) exceeds this with probability below 1e-6.
-MOST_DIFFERENT = 35
+#: Binomial(80, 0.2) exceeds this with probability 4e-6.
+MOST_DIFFERENT = 33
 CHUNKS = MOST_DIFFERENT // 2 + 1
 #: One bit of each of 64 slots: similar sets differ in 6.4 bits on average (deviation 2.4), unrelated ones in 32.
-MOST_BITS = 21
-#: Members compared with one center at a time when sets are confirmed.
-GROUP = 64
+MOST_BITS = 19
+#: Members compared with one center at a time when sets are confirmed, and rows of a block of a contested key.
+GROUP, BLOCK = 64, 256
 
 _random = np.random.default_rng(9)
 _FLIPS = _random.integers(0, 1 << 64, SLOTS, dtype=np.uint64)
@@ -171,6 +171,132 @@ def _confirmed(percent: int):
     return run
 
 
+def _groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Sorted rows by key and pair of blocks; a group holds two blocks of `BLOCK` rows at most, about."""
+    at, rows = None, []
+    for batch in batches:
+        for key, low, high, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "low", "high", *columns))):
+            if at != (key, low, high):
+                if rows:
+                    yield at, rows
+                at, rows = (key, low, high), []
+            rows.append(row)
+    if rows:
+        yield at, rows
+
+
+_PLACE = "key long, low int, high int, rep long, component long, block int"
+
+
+def _promising(percent: int):
+    """Members that have a partner: of another component, of the right size, within the distance, and met here first."""
+
+    def members(groups: list[tuple[tuple, list[tuple]]]) -> list[tuple]:
+        out = []
+        all_slots = np.frombuffer(b"".join(r[4] for _, rows in groups for r in rows), np.uint16).reshape(-1, SLOTS)
+        all_keys, first = chunk_keys(all_slots), 0
+        for (key, low, high), rows in groups:
+            n = len(rows)
+            slots, keys = all_slots[first : first + n], all_keys[first : first + n]
+            first += n
+            components, blocks, sizes = (np.array([r[i] for r in rows]) for i in (1, 2, 3))
+            column = int(np.flatnonzero(keys[0] == np.uint64(key & 0xFFFFFFFFFFFFFFFF))[0])
+            able = np.triu(components[:, None] != components[None, :], 1)
+            if low != high:
+                able &= blocks[:, None] != blocks[None, :]
+            able &= 100 * np.minimum.outer(sizes, sizes) >= percent * np.maximum.outer(sizes, sizes)
+            left, right = np.nonzero(able)
+            found = np.zeros(n, bool)
+            for i in range(0, len(left), 1 << 16):
+                x, y = left[i : i + (1 << 16)], right[i : i + (1 << 16)]
+                near = (slots[x] != slots[y]).sum(axis=1) <= MOST_DIFFERENT
+                x, y = x[near], y[near]
+                here = (keys[x] == keys[y]).argmax(axis=1) == column  # a pair is met under its first common key
+                found[x[here]] = found[y[here]] = True
+            out += [(key, low, high, *rows[i][:3]) for i in np.flatnonzero(found).tolist()]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, n = [], 0
+        for at, rows in _groups(batches, ("rep", "component", "block", "n_shingles", "signature")):
+            waiting.append((at, rows))
+            n += len(rows)
+            if n > 4000:
+                if out := members(waiting):
+                    yield _places(out)
+                waiting, n = [], 0
+        if waiting and (out := members(waiting)):
+            yield _places(out)
+
+    return run
+
+
+def _places(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
+    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["key", "low", "high", "rep", "component", "block"])
+
+
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every two sets: products of their membership, a range of columns at a time."""
+    values, number = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    out = np.zeros((len(sets), len(sets)))
+    for first in range(0, len(values), 1 << 13):
+        own = (number >= first) & (number < first + (1 << 13))
+        member = np.zeros((len(sets), min(1 << 13, len(values) - first)), np.float32)
+        member[owner[own], number[own] - first] = 1
+        out += member @ member.T
+    return out
+
+
+def _confirmed_among(percent: int):
+    """Pairs of a group that hold on their full sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, low, high), rows in _groups(batches, ("rep", "component", "block", "shingles")):
+            sets = [np.frombuffer(r[3], np.uint64) for r in rows]
+            reps, components, blocks = (np.array([r[i] for r in rows]) for i in range(3))
+            sizes, shared = np.array([len(s) for s in sets]), _shared(sets)
+            holds = 100 * shared >= percent * (np.add.outer(sizes, sizes) - shared)
+            holds &= np.triu(components[:, None] != components[None, :], 1)
+            if low != high:
+                holds &= blocks[:, None] != blocks[None, :]
+            x, y = np.nonzero(holds)
+            if len(x):
+                yield pa.record_batch(
+                    [pa.array(np.minimum(reps[x], reps[y])), pa.array(np.maximum(reps[x], reps[y]))], names=["a", "b"]
+                )
+
+    return run
+
+
+def _links_apart(work: Workspace, docs: DataFrame, contested: DataFrame, sketch: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between sets that share a key but no component. `contested(key, rep, component, n)`, n the rows of the key.
+
+    Pairs are compared inside tasks, and only what holds leaves them. A key's rows are dealt to blocks, and every
+    two blocks meet in a group of their own, so that no task sees a whole key. First signatures are compared, which leaves the
+    members that have a partner; only their full sets travel.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = contested.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
+    ).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    rows = dealt.join(sketch.select("rep", "n_shingles", "signature"), "rep").select(
+        "key", "low", "high", "rep", "component", "block", "n_shingles", "signature"
+    )
+    at = ["key", "low", "high"]
+    promising = rows.repartition(*at).sortWithinPartitions(*at, "rep").mapInArrow(_promising(percent), _PLACE)
+    promising = work.store(promising, "promising")
+    needs = promising.groupBy(F.col("rep").alias("doc_id")).agg(F.collect_list(F.struct(*at, "component", "block")).alias("needed_by"))
+    sets = (
+        docs.dropDuplicates(["doc_id"]).join(needs, "doc_id").select("doc_id", "text", "needed_by")
+        .mapInArrow(_packed(width), "doc_id long, needed_by array<struct<key:long,low:int,high:int,component:long,block:int>>, shingles binary")
+        .select(F.col("doc_id").alias("rep"), F.inline("needed_by"), "shingles")
+    )
+    links = sets.repartition(*at).sortWithinPartitions(*at, "rep").mapInArrow(_confirmed_among(percent), "a long, b long")
+    return work.store(links.distinct(), "links-apart")
+
+
 def _links(work: Workspace, name: str, docs: DataFrame, pairs: DataFrame, sketch: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs `(a, b)` of classes that hold on signatures and on full sets.
 
@@ -238,37 +364,36 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     keyed = sketch.mapInArrow(_keys, "rep long, n_shingles long, bits long, keys array<long>").select(
         F.explode("keys").alias("key"), "rep", "n_shingles", "bits"
     )
-    some = F.xxhash64(F.col("rep"))
-    shared = keyed.groupBy("key").agg(
-        F.min("rep").alias("low"), F.max("rep").alias("high"), F.min_by("rep", some).alias("some")
-    ).where("low < high")
-    shared = work.store(shared, "shared-key-centers")
-    shared = work.store(keyed.join(shared, "key").select("key", "rep", "n_shingles", "bits", "low", "high", "some"), "shared-keys")
-
-    pairs = (
-        shared.select("rep", F.explode(F.array_distinct(F.array("low", "high", "some"))).alias("center"))
-        .where("rep != center").select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b")).distinct()
+    repeated = work.store(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "repeated-keys")
+    shared = work.store(keyed.join(repeated, "key"), "shared-keys")
+    # the set that shares most with others is the likely origin of a group of near copies
+    weight = work.store(shared.groupBy("rep").agg(F.sum("n").alias("weight")), "weights")
+    order = F.col("weight") * (1 << 20) + F.pmod(F.xxhash64("rep"), F.lit(1 << 20))
+    centers = shared.join(weight, "rep").withColumn("order", order).groupBy("key").agg(
+        *(F.min_by(c, "rep").alias(f"low_{c}") for c in ("rep", "n_shingles", "bits")),
+        *(F.max_by(c, "order").alias(f"mid_{c}") for c in ("rep", "n_shingles", "bits")),
+    )
+    centers = work.store(centers, "centers")
+    of = [F.struct(*(F.col(f"{kind}_{c}").alias(f"{c}_b") for c in ("rep", "n_shingles", "bits"))) for kind in ("low", "mid")]
+    pairs = shared.join(centers, "key").select("rep", "n_shingles", "bits", F.inline(F.array(*of))).toDF(
+        *(f"{c}_{side}" for side in "ab" for c in ("rep", "n_shingles", "bits"))
+    )
+    similar = F.expr(
+        f"rep_a != rep_b and bit_count(bits_a ^ bits_b) <= {MOST_BITS}"
+        f" and 100 * least(n_shingles_a, n_shingles_b) >= {percent} * greatest(n_shingles_a, n_shingles_b)"
     )
+    pairs = pairs.where(similar).select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
     first = _links(work, "links-first", docs, pairs, sketch, width, percent)
     found = connected_components(spark, first)
 
     # what shares a key but no component yet
     placed = shared.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "key", "rep", "n_shingles", "bits", F.coalesce("component", "rep").alias("component")
+        "key", "rep", F.coalesce("component", "rep").alias("component")
     )
     placed = work.store(placed, "placed")
-    apart = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    apart = work.store(placed.join(work.store(apart.select("key"), "contested-keys"), "key", "left_semi"), "contested")
-    left, right = (apart.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("rep", "n_shingles", "bits", "component"))) for side in "ab")
-    rest = left.join(
-        right,
-        (left["key"] == right["key"]) & F.expr(
-            f"rep_a < rep_b and component_a != component_b and bit_count(bits_a ^ bits_b) <= {MOST_BITS}"
-            f" and 100 * least(n_shingles_a, n_shingles_b) >= {percent} * greatest(n_shingles_a, n_shingles_b)"
-        ),
-    ).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
-    rest = rest.join(pairs, ["a", "b"], "left_anti")
-    second = _links(work, "links-second", docs, rest, sketch, width, percent)
+    apart = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    contested = placed.join(work.store(apart.where("low < high").select("key", "n"), "contested-keys"), "key")
+    second = _links_apart(work, docs, contested, sketch, width, percent)
 
     links = first.unionByName(second).distinct()
     # the second links join components of the first, of which few are left apart
