@@ -54,7 +54,7 @@ class ByteUnits:
         ranks = {bytes(to_byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self.encoding = tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
-        self.remembered = Remembered(lambda unit: self.encoding.encode(unit, allowed_special="all"))
+        self.remembered = Remembered(lambda unit: self.encoding.encode(unit, allowed_special="all"), 500_000)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
