@@ -19,6 +19,8 @@ from ratestrata.session import shared_folder
 U64 = np.uint64
 #: Bytes of text worked on at a time inside a task.
 SLICE_BYTES = 4 << 20
+#: Bytes hashed at a time: the prefix sums and powers of so many stay in a worker.
+HASH_BYTES = 500_000
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True  # words are [^\x20\x09-\x0D]+
@@ -124,7 +126,7 @@ class Lane:
         out = np.empty(len(starts), np.uint64)
         i = 0
         while i < len(starts):  # pieces, so that the prefix sums stay small for any length of text
-            j = max(i + 1, int(np.searchsorted(ends, starts[i] + SLICE_BYTES, "right")))
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + HASH_BYTES, "right")))
             first, last = int(starts[i]), int(ends[j - 1])
             self.grow(last - first + 1)
             sums = np.zeros(last - first + 1, np.uint64)

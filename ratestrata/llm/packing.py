@@ -54,7 +54,7 @@ class ByteUnits:
         ranks = {bytes(to_byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self.encoding = tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
-        self.remembered = Remembered(lambda unit: self.encoding.encode(unit, allowed_special="all"), 500_000)
+        self.remembered = Remembered(lambda unit: self.encoding.encode(unit, allowed_special="all"), 400_000)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
@@ -84,7 +84,7 @@ def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = byte_units(tokenizer)
-        for batch in slices(batches):
+        for batch in slices(batches, most=1 << 20):  # units of a slice are Python objects
             rows = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), units.encode([t or "" for t in batch.column("text").to_pylist()])):
                 ids = np.append(ids, END).astype("<u4")
