@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratestrata.llm.common import U64, Workspace, mixed, raw_texts, slices, texts_of, words_of
@@ -36,8 +37,27 @@ END = U64(0x9E37)
 HELD_OUT, DELETED = 1, 0
 NO_ID = 6
 
-_BLOCK_SCHEMA = "block long, doc_ids binary, folds binary, lengths binary, forms binary, codes binary"
-_BLOCK_NAMES = ["block", "doc_ids", "folds", "lengths", "forms", "codes"]
+_BLOCK_SCHEMA = "block long, n_tokens long, doc_ids binary, folds binary, lengths binary, forms binary, codes binary"
+_BLOCK_NAMES = ["block", "n_tokens", "doc_ids", "folds", "lengths", "forms", "codes"]
+
+
+def packed(values: np.ndarray) -> bytes:
+    """An array, byte by byte of its numbers and compressed: what travels is mostly small counts and sorted hashes."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(data: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return planes.T.copy().view(kind).ravel()
+
+
+def packed_sorted(values: np.ndarray) -> bytes:
+    return packed(np.diff(values, prepend=U64(0)))
+
+
+def unpacked_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, np.uint64), dtype=np.uint64)
 
 
 @dataclass(frozen=True)
@@ -61,11 +81,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = np.insert(words.hashes(), words.first[1:], mixed(np.array([END]))[0])  # every text ends in the end token
         forms, codes = np.unique(hashes, return_inverse=True)
         yield pa.record_batch([
-            pa.array([block], pa.int64()),
-            pa.array([batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).tobytes()], pa.binary()),
-            pa.array([batch.column("fold").to_numpy(zero_copy_only=False).astype(np.int8).tobytes()], pa.binary()),
-            pa.array([(lengths + 1).astype(np.int64).tobytes()], pa.binary()), pa.array([forms.tobytes()], pa.binary()),
-            pa.array([codes.astype(np.uint32).tobytes()], pa.binary()),
+            pa.array([block], pa.int64()), pa.array([len(codes)], pa.int64()),
+            *(pa.array([data], pa.binary()) for data in (
+                packed(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)),
+                packed(batch.column("fold").to_numpy(zero_copy_only=False).astype(np.int8)), packed((lengths + 1).astype(np.int64)),
+                packed_sorted(forms), packed(codes.astype(np.uint32)),
+            )),
         ], names=_BLOCK_NAMES)
         block += 1
 
@@ -80,8 +101,8 @@ class _Block:
 
     @classmethod
     def of(cls, row: dict) -> _Block:
-        kinds = {"doc_ids": np.int64, "folds": np.int8, "lengths": np.int64, "forms": np.uint64, "codes": np.uint32}
-        return cls(**{name: np.frombuffer(row[name], kind) for name, kind in kinds.items()})
+        kinds = {"doc_ids": np.int64, "folds": np.int8, "lengths": np.int64, "codes": np.uint32}
+        return cls(forms=unpacked_sorted(row["forms"]), **{name: unpacked(row[name], kind) for name, kind in kinds.items()})
 
     def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Codes of contexts, distinct bigram keys in order, and the number of each token's bigram."""
@@ -118,8 +139,8 @@ def _asked(bits: int):
                     cuts = list(zip(first, [*first[1:], len(grams)]))
                     yield pa.record_batch([
                         pa.array([kind] * len(cuts), pa.int32()), pa.array([int(bucket[a]) for a, _ in cuts], pa.int64()),
-                        pa.array([row["block"]] * len(cuts), pa.int64()), pa.array([grams[a:b].tobytes() for a, b in cuts], pa.binary()),
-                        *(pa.array([c[a:b].tobytes() for a, b in cuts], pa.binary()) for c in counts),
+                        pa.array([row["block"]] * len(cuts), pa.int64()), pa.array([packed_sorted(grams[a:b]) for a, b in cuts], pa.binary()),
+                        *(pa.array([packed(c[a:b]) for a, b in cuts], pa.binary()) for c in counts),
                     ], names=["kind", "bucket", "block", "keys", "kept", "deleted"])
 
     return run
@@ -128,18 +149,18 @@ def _asked(bits: int):
 def _answered(table):
     """One bucket: totals of every n-gram of it, for each block in the block's order. Types are counted once, on the first row."""
     rows = table.to_pylist()
-    keys = [np.frombuffer(row["keys"], np.uint64) for row in rows]
+    keys = [unpacked_sorted(row["keys"]) for row in rows]
     distinct, number = np.unique(np.concatenate(keys), return_inverse=True)
     kept, deleted = (
-        np.bincount(number, weights=np.concatenate([np.frombuffer(row[c], np.uint32) for row in rows]), minlength=len(distinct)).astype(np.uint64)
+        np.bincount(number, weights=np.concatenate([unpacked(row[c], np.uint32) for row in rows]), minlength=len(distinct)).astype(np.uint64)
         for c in ("kept", "deleted")
     )
     cuts = np.cumsum([0] + [len(k) for k in keys])
     types = int(((kept + deleted) > 0).sum())
     return pa.table({
         "kind": table["kind"], "bucket": table["bucket"], "block": table["block"],
-        "kept": pa.array([kept[number[a:b]].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-        "deleted": pa.array([deleted[number[a:b]].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+        "kept": pa.array([packed(kept[number[a:b]]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+        "deleted": pa.array([packed(deleted[number[a:b]]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
         "types": pa.array([types] + [0] * (len(rows) - 1), pa.int64()),
     })
 
@@ -152,9 +173,12 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             answers = sorted(row["answers"], key=lambda a: (a["kind"], a["bucket"]))
-            known = [b"".join(a[c] for a in answers if a["kind"] == kind) for kind in (0, 1) for c in ("kept", "deleted")]
+            known = [
+                packed(np.concatenate([np.zeros(0, np.uint64), *(unpacked(a[c], np.uint64) for a in answers if a["kind"] == kind)]))
+                for kind in (0, 1) for c in ("kept", "deleted")
+            ]
             yield pa.record_batch(
-                [pa.array([row[n]], pa.int64() if n == "block" else pa.binary()) for n in _BLOCK_NAMES] + [pa.array([k], pa.binary()) for k in known],
+                [pa.array([row[n]], pa.int64() if n in ("block", "n_tokens") else pa.binary()) for n in _BLOCK_NAMES] + [pa.array([k], pa.binary()) for k in known],
                 names=_BLOCK_NAMES + _KNOWN,
             )
 
@@ -178,7 +202,7 @@ def _ratios(tokens: int, types: int):
                 if not chosen.any():
                     continue
                 context, _, number = own.bigrams()
-                unigram, bigram = np.frombuffer(row["kept_0"], np.uint64).astype(float), np.frombuffer(row["kept_1"], np.uint64).astype(float)
+                unigram, bigram = unpacked(row["kept_0"], np.uint64).astype(float), unpacked(row["kept_1"], np.uint64).astype(float)
                 seen = unigram[context[chosen]]
                 first = bigram[number[chosen]] / np.maximum(seen, 1) * (types + 1)
                 second = unigram[own.codes[chosen]] / max(tokens, 1) * (types + 1)
@@ -215,7 +239,7 @@ def _scored(model: Mixture):
                 own = _Block.of(row)
                 context, _, number = own.bigrams()
                 unigram, bigram = (
-                    (np.frombuffer(row[f"kept_{k}"], np.uint64) + np.frombuffer(row[f"deleted_{k}"], np.uint64)).astype(float) for k in (0, 1)
+                    (unpacked(row[f"kept_{k}"], np.uint64) + unpacked(row[f"deleted_{k}"], np.uint64)).astype(float) for k in (0, 1)
                 )
                 seen, count = unigram[context], unigram[own.codes]
                 weight = model.weights[_context_class(seen)]
@@ -244,7 +268,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     work = Workspace(spark, "interpolated-lm")
     fold = F.coalesce((F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % 5).cast("int"), F.lit(NO_ID))
     blocks = work.store(texts_of(docs, fold.alias("fold")).mapInArrow(_blocks, _BLOCK_SCHEMA), "blocks")
-    sizes = blocks.select((F.octet_length("codes") / 4).cast("long").alias("n")).agg(F.sum("n")).first()[0] or 0
+    sizes = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     bits = max(0, int(np.ceil(np.log2(max(1, sizes / BUCKET)))))
     asked = blocks.mapInArrow(_asked(bits), "kind int, bucket long, block long, keys binary, kept binary, deleted binary")
     answers = asked.groupBy("kind", "bucket").applyInArrow(
