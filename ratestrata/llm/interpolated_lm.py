@@ -280,8 +280,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
     tokens = {row["fold"]: row["n"] for row in folded}
     kept = sum(n for f, n in tokens.items() if f not in (HELD_OUT, NO_ID, DELETED))
     total = kept + tokens.get(DELETED, 0)
-    packed = answers.groupBy("block").agg(F.collect_list(F.struct("kind", "bucket", "kept", "deleted")).alias("answers"))
-    known = blocks.join(packed, "block").mapInArrow(_joined, _BLOCK_SCHEMA + "".join(f", {k} binary" for k in _KNOWN))
+    del asked
+    work.release()  # the questions' shuffle goes before the answers' begins
+    replies = answers.groupBy("block").agg(F.collect_list(F.struct("kind", "bucket", "kept", "deleted")).alias("answers"))
+    known = blocks.join(replies, "block").mapInArrow(_joined, _BLOCK_SCHEMA + "".join(f", {k} binary" for k in _KNOWN))
     known = work.store(known, "known")
     work.drop("blocks")
     work.drop("answers")
