@@ -620,7 +620,6 @@ def _daily(spark: SparkSession, sf: str) -> daily.Layers:
         datetime(2024, 1, 15, tzinfo=timezone.utc),
         [*quality.GOLD_RULES, quality.PAIR_RULE],
         base="A",
-        code_lengths=range(7, 9),
         loaded_at=datetime(2024, 1, 16, tzinfo=timezone.utc),
     )
     return daily.Layers(f"{root}/tables")

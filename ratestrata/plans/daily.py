@@ -17,7 +17,7 @@ from ratestrata.sources.landing import RATE_MONTH, Landed, PartitionBy, land, re
 
 RATE_KEYS = ["base_currency", "target_currency", "rate_date"]
 COUNTRY_KEYS = ["cca2"]
-# The length of ISO 4217 codes.
+# The length of ISO 4217 codes, for callers who know that all targets are such.
 ISO_LENGTHS = (3,)
 
 
@@ -106,20 +106,26 @@ def transform(
     as_of: date,
     rules: Sequence[quality.Rule] = tuple(quality.GOLD_RULES),
     base: str | None = None,
-    code_lengths: Sequence[int] | None = ISO_LENGTHS,
+    code_lengths: Sequence[int] | None = None,
 ) -> DataFrame:
     """Rebuild silver and gold from the landed tables, then check them; a failed check raises
     after its outcome is stored.
 
-    With `base`, gold holds the rates of that base only: a target and a country are then unique. `code_lengths` saves a
-    scan of all landed rates that would find them; None makes it.
+    With `base`, gold holds the rates of that base only: a target and a country are then unique. The lengths
+    that targets have are read from the landed rates, one column once, and stored as the distinct targets. A caller who knows
+    all lengths can name them as `code_lengths`; targets of other lengths then match no country.
     """
-    rates = staging.stage_rates(read_landing(spark, layers.path("bronze", "raw_currencies"), schemas.RAW_RATES))
+    landed = read_landing(spark, layers.path("bronze", "raw_currencies"), schemas.RAW_RATES)
+    rates = staging.stage_rates(landed)
+    codes = None
+    if code_lengths is None:
+        codes = _store(spark, landed.select("target_currency").distinct(), layers.path("silver", "target_codes"))
     countries = staging.stage_countries(
         read_landing(spark, layers.path("bronze", "raw_countries"), schemas.RAW_COUNTRIES)
     )
     dim = _store(spark, silver.dim_countries(countries), layers.path("silver", "dim_countries"))
-    fct = _store_facts(spark, silver.fct_rates(rates, dim, code_lengths=code_lengths), layers.path("silver", "fct_exchange_rates"))
+    fct = silver.fct_rates(rates, dim, code_lengths=code_lengths, codes=codes)
+    fct = _store_facts(spark, fct, layers.path("silver", "fct_exchange_rates"))
     tables = {"dim_countries": dim, "fct_exchange_rates": fct}
     if base is not None:
         fct = fct.filter(F.col("base_currency") == base)
@@ -128,7 +134,7 @@ def transform(
         tables[name] = _store(spark, df, layers.path("gold", name))
 
     store("agg_currency_summary", gold.currency_summary_joined(fct, as_of))
-    store("agg_rates_by_region", gold.rates_by_region(fct, dim, as_of, code_lengths=code_lengths))
+    store("agg_rates_by_region", gold.rates_by_region(fct, dim, as_of, code_lengths=code_lengths, codes=codes))
     store("agg_country_currency_map", gold.country_currency_map(dim, tables["agg_currency_summary"]))
     results = _store(spark, quality.run_checks(tables, rules), layers.path("gold", "check_results"))
     quality.require_passed(results)
@@ -147,7 +153,7 @@ def run_daily(
     validated: bool = False,
     partition: PartitionBy = RATE_MONTH,
     base: str | None = None,
-    code_lengths: Sequence[int] | None = ISO_LENGTHS,
+    code_lengths: Sequence[int] | None = None,
     loaded_at: datetime | None = None,
 ) -> DataFrame:
     """The whole run. Repeating it with the same input changes load times and the audit log, and adds rows with a NULL in the

@@ -125,3 +125,21 @@ def test_facts_are_written_without_sampling_and_without_a_second_scan(spark, tmp
     dim = spark.read.parquet(layers.path("silver", "dim_countries"))
     text = plan(silver.fct_rates(rates, dim, code_lengths=daily.ISO_LENGTHS))
     assert text.count("target_currency:string") == 1 and "rangepartitioning" not in text
+
+
+def test_targets_of_any_length_meet_their_countries(spark, tmp_path):
+    rates, _ = payloads(tmp_path, rates={"NOK": 10.5, "DIGIKRONE": 2.0, "X": 3.0, "NONE": 4.0})
+    path = tmp_path / "countries.json"
+    norway, peru = json.loads(path.read_text())
+    norway["currencies"] = {"NOK": {"name": "Krone"}, "DIGIKRONE": {"name": "Digital krone"}}
+    peru["currencies"] = {"X": {"name": "X"}}
+    path.write_text(json.dumps([norway, peru]))
+    daily.run_daily(spark, rates, CountriesSource("countries_api", str(path)), str(tmp_path / "out"), "r", AS_OF, AT)
+    layers = daily.Layers(str(tmp_path / "out"))
+    fct = spark.read.parquet(layers.path("silver", "fct_exchange_rates"))
+    names = fct.select("target_currency", "currency_region", "primary_country_name").distinct()
+    assert tuples(names) == [
+        ("DIGIKRONE", "Europe", "Norge"), ("NOK", "Europe", "Norge"), ("NONE", None, None), ("X", "Americas", "Perú"),
+    ]
+    region = spark.read.parquet(layers.path("gold", "agg_rates_by_region")).select("target_currency", "region", "country_count")
+    assert tuples(region.distinct()) == [("DIGIKRONE", "Europe", 1), ("NOK", "Europe", 1), ("NONE", "Unknown", 0), ("X", "Americas", 1)]
