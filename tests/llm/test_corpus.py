@@ -81,6 +81,13 @@ def test_one_of_each_group_stays_with_all_columns(documents, no_documents):
     assert near_duplicates.near_duplicates(no_documents).count() == 0
 
 
+@pytest.mark.parametrize("percent", [0, 50, 79, 101])
+def test_similarities_the_distance_is_not_made_for_are_refused(documents, percent):
+    for operator in (near_duplicates.near_duplicates, near_duplicates.one_per_group):
+        with pytest.raises(ValueError, match="percent must be 80 to 100"):
+            operator(documents((1, "a")), percent=percent)
+
+
 def test_signatures_rarely_exceed_the_distance():
     rng = np.random.default_rng(0)
     for size in (5, 40, 1000):
