@@ -182,11 +182,14 @@ def pack(rows: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     """`rows(doc_id, piece, length, ...)` with `sequence_id` and `offset`: gapless places in sequences of `sequence` tokens.
 
     Pieces are dealt to shards of about `SHARD` by hash, however many copies of a document there are. Ties fall to the order of
-    (doc_id, piece). Pieces longer than a sequence are the caller's to cut. An empty table gives an empty one.
+    (doc_id, piece). Pieces longer than a sequence are the caller's to cut: they, and lengths that are null or negative, fail the
+    job. An empty table gives an empty one.
     """
     spark = rows.sparkSession
     work = Workspace(spark, "packing")
-    rows = work.store(rows.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    message = F.format_string(f"a piece of length %s cannot be packed into sequences of {sequence} tokens", "length")
+    length = F.when(F.col("length").between(0, sequence), F.col("length")).otherwise(F.raise_error(message))
+    rows = work.store(rows.withColumns({"length": length, "row": F.monotonically_increasing_id()}), "pieces")
     small = rows.where(F.col("length") < sequence)
     shards = max(1, -(-small.count() // SHARD))
     items = small.select(F.pmod(F.xxhash64("doc_id", "piece", "row"), F.lit(shards)).alias("shard"), "row", "length")

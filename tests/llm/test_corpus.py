@@ -282,6 +282,14 @@ def test_packing_of_odd_texts(documents, no_documents):
     assert packing.pack_documents(no_documents, packing.default_tokenizer()).count() == 0
 
 
+@pytest.mark.parametrize("length", [11, None, -1])
+def test_pieces_that_fit_no_sequence_fail_the_job(spark, length):
+    rows = spark.createDataFrame([(1, 0, 4), (2, 0, 10), (3, 0, length)], "doc_id long, piece int, length long")
+    with pytest.raises(Exception, match="cannot be packed into sequences of 10 tokens"):
+        packing.pack(rows, 10).collect()
+    assert packing.pack(rows.where("doc_id < 3"), 10).count() == 2
+
+
 def test_crossover_keeps_every_item_once():
     rng = np.random.default_rng(4)
     lengths = rng.integers(1, 2048, 300).tolist()
