@@ -198,42 +198,60 @@ def decoded(rows: DataFrame, model: str) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, model: str) -> DataFrame:
-    """`doc_id, n_tokens, ids_sha256, decoded_sha256`: ids and their decoded text in one pass, as digests."""
+@lru_cache(maxsize=2)
+def library_model(path: str):
+    """One for each Python worker."""
+    from sentencepiece import SentencePieceProcessor
+
+    return SentencePieceProcessor(model_file=path)
+
+
+def _agreeing(own: list[list[int]], decoded: list[bytes], wanted: list[list[int]], library: str) -> list[bool]:
+    """Whether ids and decoded text of each text are the library's."""
+    decode = library_model(library).decode
+    return [a == b and text == decode(b).encode() for a, b, text in zip(own, wanted, decoded)]
+
+
+def round_trip(docs: DataFrame, model: str, library: str | None = None) -> DataFrame:
+    """`doc_id, n_tokens, ids_sha256, decoded_sha256`: ids and their decoded text in one pass, as digests.
+
+    With `library`, a model file that the sentencepiece library reads, also `agrees`: whether the library's ids and decoded text
+    of that row, made in the same batch, are the same.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            own, rows = piece_model(model), []
-            for ids in own.encode([t or "" for t in batch.column("text").to_pylist()]):
-                ids = ids.tolist()
-                rows.append((
-                    len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(own.decode(ids)).hexdigest(),
-                ))
-            n, first, second = zip(*rows)
-            yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(first), pa.array(second)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return texts_of(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            own, texts = piece_model(model), [t or "" for t in batch.column("text").to_pylist()]
+            ids = [x.tolist() for x in own.encode(texts)]
+            decoded = [own.decode(x) for x in ids]
+            columns = {
+                "doc_id": batch.column("doc_id"),
+                "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
+                "ids_sha256": pa.array([hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest() for x in ids]),
+                "decoded_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in decoded]),
+            }
+            if library is not None:
+                wanted = library_model(library).encode(texts, add_eos=True, num_threads=1)
+                columns["agrees"] = pa.array(_agreeing(ids, decoded, wanted, library), pa.bool_())
+            yield pa.record_batch(list(columns.values()), names=list(columns))
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return texts_of(docs).mapInArrow(run, schema if library is None else f"{schema}, agrees boolean")
 
 
 def differing(docs: DataFrame, model: str) -> DataFrame:
     """Rows whose ids or decoded text differ from the sentencepiece library's: `doc_id, own, library`. There should be none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from sentencepiece import SentencePieceProcessor
-
-        library = SentencePieceProcessor(model_file=model)
         for batch in slices(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             own = [ids.tolist() for ids in piece_model(model).encode(texts)]
-            wanted = library.encode(texts, add_eos=True, num_threads=1)
-            differ = [a != b or piece_model(model).decode(a).decode() != library.decode(b) for a, b in zip(own, wanted)]
+            wanted = library_model(model).encode(texts, add_eos=True, num_threads=1)
+            agree = _agreeing(own, [piece_model(model).decode(a) for a in own], wanted, model)
             yield pa.record_batch(
                 [batch.column("doc_id"), pa.array(own, pa.list_(pa.int32())), pa.array(wanted, pa.list_(pa.int32()))],
                 names=["doc_id", "own", "library"],
-            ).filter(pa.array(differ))
+            ).filter(pa.array([not x for x in agree]))
 
     return texts_of(docs).mapInArrow(run, "doc_id long, own array<int>, library array<int>")
 
@@ -241,4 +259,5 @@ def differing(docs: DataFrame, model: str) -> DataFrame:
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return round_trip(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("piece_bpe_32k.model"))
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return round_trip(spark.read.parquet(f"{sf_dir}/documents.parquet"), model, library=model)

@@ -137,6 +137,25 @@ def test_pieces_equal_the_library(documents, spark):
     assert tuples(back) == sorted(((i, library.decode(library.encode(t or ""))) for i, t in rows), key=str)
 
 
+def test_the_query_compares_each_row_with_the_library(documents, spark, tmp_path):
+    from sentencepiece import sentencepiece_model_pb2
+
+    found = pieces.op7_pieces(spark, "/root/testdata/sf0.001")
+    assert found.count() > 0 and found.where("agrees is null or not agrees").count() == 0
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(model, "rb") as file:
+        proto.ParseFromString(file.read())
+    for piece in proto.pieces:
+        if piece.type == proto.SentencePiece.Type.NORMAL:
+            piece.score = -20000 - piece.score  # the worst merges first
+    (tmp_path / "other.model").write_bytes(proto.SerializeToString())
+    docs = documents((1, ""), (2, "an international understanding"))
+    assert tuples(pieces.round_trip(docs, model, library=model).select("doc_id", "agrees")) == [(1, True), (2, True)]
+    assert tuples(pieces.round_trip(docs, model, library=str(tmp_path / "other.model")).select("doc_id", "agrees")) == [(1, True), (2, False)]
+
+
 def test_broken_bytes_decode_like_the_library():
     from sentencepiece import SentencePieceProcessor
 
