@@ -8,6 +8,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from conftest import tuples
 from llm.conftest import ODD
@@ -245,6 +247,23 @@ def test_neighbours_recall(spark):
     assert len(found & wanted) >= 0.9 * len(wanted)
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.5])
+def test_neighbours_recall_where_most_blocks_lie_outside_the_windows(spark, tmp_path, spread):
+    rng = np.random.default_rng(7)
+    n, every, k = 40_000, 100, 20
+    vectors = rng.standard_normal((n, 64))
+    vectors *= np.exp(spread * rng.standard_normal(n))[:, None] / np.linalg.norm(vectors, axis=1)[:, None]
+    table = pa.table({"vec_id": np.arange(n), "embedding": pa.FixedSizeListArray.from_arrays(vectors.ravel(), 64).cast(pa.list_(pa.float64()))})
+    pq.write_table(table, tmp_path / "vectors.parquet")
+    found = neighbours.nearest(spark.read.parquet(str(tmp_path / "vectors.parquet")), every, k).collect()
+    scores = vectors[::every] @ vectors.T
+    scores[np.arange(len(scores)), np.arange(0, n, every)] = -np.inf
+    wanted = {(q * every, int(i)) for q, row in enumerate(np.argpartition(-scores, k, axis=1)[:, :k]) for i in row}
+    recall = len(wanted & {(r.query_id, r.vec_id) for r in found}) / len(wanted)
+    print(f"recall {recall:.4f} of {n} vectors, norms spread by {spread}")
+    assert recall >= 0.9
+
+
 def test_hilbert_steps_to_neighbouring_cells():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3), axis=-1).reshape(-1, 3)
     keys = neighbours.hilbert_keys(cells, 3)
