@@ -1,5 +1,6 @@
 """The queries of this subpackage, and the SQL of those that SQL can express."""
 
+from ratestrata.llm.conversation_repair import OP13_SQL, op13_conversation_repair
 from ratestrata.llm.interpolated_lm import op3_language_model
 from ratestrata.llm.license_scan import op1_license_scan
 from ratestrata.llm.long_repeats import OP4_SQL, op4_long_repeats
@@ -22,9 +23,11 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_quality_classifier": op10_quality_classifier,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLES = {
     "op2_quality_rules": OP2_SQL,
     "op4_long_repeats": OP4_SQL,
     "op9_near_duplicates": OP9_SQL,
+    "op13_conversation_repair": OP13_SQL,
 }
