@@ -8,6 +8,7 @@ from ratestrata.llm.near_duplicates import OP9_SQL, op9_near_duplicates
 from ratestrata.llm.neighbours import op5_neighbours
 from ratestrata.llm.packing import op6_packing
 from ratestrata.llm.pieces import op7_pieces
+from ratestrata.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from ratestrata.llm.quality_classifier import op10_quality_classifier
 from ratestrata.llm.quality_rules import OP2_SQL, op2_quality_rules
 from ratestrata.llm.token_counts import op8_token_counts
@@ -23,11 +24,13 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLES = {
     "op2_quality_rules": OP2_SQL,
     "op4_long_repeats": OP4_SQL,
     "op9_near_duplicates": OP9_SQL,
+    "op11_prefix_trie": OP11_SQL,
     "op13_conversation_repair": OP13_SQL,
 }
