@@ -11,6 +11,7 @@ from ratestrata.llm.pieces import op7_pieces
 from ratestrata.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from ratestrata.llm.quality_classifier import op10_quality_classifier
 from ratestrata.llm.quality_rules import OP2_SQL, op2_quality_rules
+from ratestrata.llm.suffix_repeats import OP12_SQL, op12_suffix_repeats
 from ratestrata.llm.token_counts import op8_token_counts
 
 QUERIES = {
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_suffix_repeats": op12_suffix_repeats,
     "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLES = {
@@ -32,5 +34,6 @@ ORACLES = {
     "op4_long_repeats": OP4_SQL,
     "op9_near_duplicates": OP9_SQL,
     "op11_prefix_trie": OP11_SQL,
+    "op12_suffix_repeats": OP12_SQL,
     "op13_conversation_repair": OP13_SQL,
 }
