@@ -34,12 +34,18 @@ CHUNKS = MOST_DIFFERENT // 2 + 1
 #: One bit of each of 64 slots: similar sets differ in 6.4 bits on average (deviation 2.4), unrelated ones in 32.
 MOST_BITS = 19
 #: Members compared with one center at a time when sets are confirmed, and rows of a block of a contested key.
-GROUP, BLOCK = 64, 256
+GROUP, BLOCK = 64, 512
+#: A contested key of more sets than this is split by further slots.
+SPLIT = 32 * BLOCK
 
 _random = np.random.default_rng(9)
 _FLIPS = _random.integers(0, 1 << 64, SLOTS, dtype=np.uint64)
 _FACTORS = _random.integers(0, 1 << 64, SLOTS, dtype=np.uint64) | U64(1)
 _CHUNKS = [chunk.tolist() for chunk in np.array_split(np.arange(SLOTS), CHUNKS)]
+#: For each chunk the other slots in more groups than there can be differences: a pair within the distance agrees in some whole group.
+_OTHERS = [
+    [group.tolist() for group in np.array_split(np.setdiff1d(np.arange(SLOTS), chunk), MOST_DIFFERENT + 1)] for chunk in _CHUNKS
+]
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -139,18 +145,43 @@ def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(near))
 
 
+def _split_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of very large keys under finer keys: the key and the values of one group of slots outside its chunk."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        slots = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, SLOTS)
+        key = batch.column("key").to_numpy().view(np.uint64)
+        column = (chunk_keys(slots) == key[:, None]).argmax(axis=1)
+        chunk_of = np.repeat(np.arange(CHUNKS), [len(chunk) for chunk in _CHUNKS])[column]
+        for c in np.unique(chunk_of).tolist():
+            own = np.flatnonzero(chunk_of == c)
+            for g, group in enumerate(_OTHERS[c]):
+                finer = key[own] ^ mixed(np.full(len(own), g + 1, np.uint64))
+                for slot in group:
+                    finer = (finer ^ slots[own, slot].astype(np.uint64)) * U64(0x9E3779B97F4A7C15)
+                    finer ^= finer >> U64(32)
+                yield pa.record_batch(
+                    [pa.array(signed(mixed(finer))), batch.column("rep").take(pa.array(own)), batch.column("component").take(pa.array(own))],
+                    names=["key", "rep", "component"],
+                )
+
+
 def _packed(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             packed = [s.tobytes() for s in shingle_sets(raw_texts(batch), width)]
-            yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("needed_by"), binary_array(packed)],
-                names=["doc_id", "needed_by", "shingles"],
-            )
+            yield pa.record_batch([batch.column("doc_id"), binary_array(packed)], names=["doc_id", "shingles"])
 
     return run
 
 
+def _sets_of(docs: DataFrame, needed: DataFrame, width: int) -> DataFrame:
+    """`(doc_id, shingles)` of the documents named in `needed(doc_id)`."""
+    chosen = docs.join(needed.select("doc_id").distinct(), "doc_id").dropDuplicates(["doc_id"])
+    return chosen.select("doc_id", "text").mapInArrow(_packed(width), "doc_id long, shingles binary")
+
+
 def _confirmed(percent: int):
     """Sorted rows: a center, then the members it is compared with. Only the center's set is kept."""
 
@@ -201,7 +232,7 @@ def _promising(percent: int):
             slots, keys = all_slots[first : first + n], all_keys[first : first + n]
             first += n
             components, blocks, sizes = (np.array([r[i] for r in rows]) for i in (1, 2, 3))
-            column = int(np.flatnonzero(keys[0] == np.uint64(key & 0xFFFFFFFFFFFFFFFF))[0])
+            column = np.flatnonzero(keys[0] == np.uint64(key & 0xFFFFFFFFFFFFFFFF))
             able = np.triu(components[:, None] != components[None, :], 1)
             if low != high:
                 able &= blocks[:, None] != blocks[None, :]
@@ -212,8 +243,10 @@ def _promising(percent: int):
                 x, y = left[i : i + (1 << 16)], right[i : i + (1 << 16)]
                 near = (slots[x] != slots[y]).sum(axis=1) <= MOST_DIFFERENT
                 x, y = x[near], y[near]
-                here = (keys[x] == keys[y]).argmax(axis=1) == column  # a pair is met under its first common key
-                found[x[here]] = found[y[here]] = True
+                if len(column):  # a pair is met under its first common key; finer keys may meet it again
+                    here = (keys[x] == keys[y]).argmax(axis=1) == column[0]
+                    x, y = x[here], y[here]
+                found[x] = found[y] = True
             out += [(key, low, high, *rows[i][:3]) for i in np.flatnonzero(found).tolist()]
         return out
 
@@ -242,9 +275,9 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
     values, number = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     out = np.zeros((len(sets), len(sets)))
-    for first in range(0, len(values), 1 << 13):
-        own = (number >= first) & (number < first + (1 << 13))
-        member = np.zeros((len(sets), min(1 << 13, len(values) - first)), np.float32)
+    for first in range(0, len(values), 1 << 11):
+        own = (number >= first) & (number < first + (1 << 11))
+        member = np.zeros((len(sets), min(1 << 11, len(values) - first)), np.float32)
         member[owner[own], number[own] - first] = 1
         out += member @ member.T
     return out
@@ -271,28 +304,47 @@ def _confirmed_among(percent: int):
     return run
 
 
-def _links_apart(work: Workspace, docs: DataFrame, contested: DataFrame, sketch: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between sets that share a key but no component. `contested(key, rep, component, n)`, n the rows of the key.
+def _contested(work: Workspace, name: str, placed: DataFrame) -> DataFrame:
+    """Rows `(key, rep, component)` of keys that more than one component holds, with `n`, the rows of the key,
+    `home`, the component that most of them are of, and `own`, the rows of that."""
+    parts = placed.groupBy("key", "component").agg(F.count("*").alias("rows"))
+    keys = parts.groupBy("key").agg(
+        F.sum("rows").alias("n"), F.count("*").alias("components"), F.max(F.struct("rows", "component")).alias("most")
+    ).where("components > 1").select("key", "n", F.col("most.component").alias("home"), F.col("most.rows").alias("own"))
+    return placed.join(work.store(keys, name), "key")
+
 
-    Pairs are compared inside tasks, and only what holds leaves them. A key's rows are dealt to blocks, and every
-    two blocks meet in a group of their own, so that no task sees a whole key. First signatures are compared, which leaves the
+def _links_apart(work: Workspace, docs: DataFrame, placed: DataFrame, sketch: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between sets that share a key but no component, from `placed(key, rep, component)`.
+
+    Pairs are compared inside tasks, and only what holds leaves them. A key's rows are dealt to blocks, those of its largest component apart from
+    the others, and every two blocks that can hold a pair meet in a group of their own: so a row of the largest component is there once for each
+    block of the others, which are few, and no task sees a whole key. First signatures are compared, which leaves the
     members that have a partner; only their full sets travel.
     """
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = contested.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
+    contested = work.store(_contested(work, "contested-keys", placed), "contested")
+    signature = sketch.select("rep", "signature")
+    large = contested.where(F.col("n") > SPLIT).join(signature, "rep").select("key", "rep", "component", "signature")
+    finer = work.store(large.mapInArrow(_split_keys, "key long, rep long, component long"), "finer")
+    columns = ["key", "rep", "component", "n", "home", "own"]
+    contested = contested.where(F.col("n") <= SPLIT).select(*columns).unionByName(_contested(work, "finer-keys", finer).select(*columns))
+
+    blocks = lambda rows: F.ceil(rows / BLOCK).cast("int")
+    at_home, homes, others = F.col("component") == F.col("home"), blocks(F.col("own")), blocks(F.col("n") - F.col("own"))
+    spread = F.xxhash64("rep")
+    dealt = contested.withColumn(
+        "block", F.when(at_home, F.pmod(spread, homes)).otherwise(homes + F.pmod(spread, others)).cast("int")
+    ).withColumn(
+        "other", F.explode(F.sequence(F.when(at_home, homes).otherwise(F.lit(0)), homes + others - 1))
     ).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
     rows = dealt.join(sketch.select("rep", "n_shingles", "signature"), "rep").select(
         "key", "low", "high", "rep", "component", "block", "n_shingles", "signature"
     )
     at = ["key", "low", "high"]
     promising = rows.repartition(*at).sortWithinPartitions(*at, "rep").mapInArrow(_promising(percent), _PLACE)
-    promising = work.store(promising, "promising")
-    needs = promising.groupBy(F.col("rep").alias("doc_id")).agg(F.collect_list(F.struct(*at, "component", "block")).alias("needed_by"))
-    sets = (
-        docs.dropDuplicates(["doc_id"]).join(needs, "doc_id").select("doc_id", "text", "needed_by")
-        .mapInArrow(_packed(width), "doc_id long, needed_by array<struct<key:long,low:int,high:int,component:long,block:int>>, shingles binary")
-        .select(F.col("doc_id").alias("rep"), F.inline("needed_by"), "shingles")
+    promising = work.store(promising, "promising").withColumnRenamed("rep", "doc_id")
+    sets = promising.join(_sets_of(docs, promising, width), "doc_id").select(
+        *at, F.col("doc_id").alias("rep"), "component", "block", "shingles"
     )
     links = sets.repartition(*at).sortWithinPartitions(*at, "rep").mapInArrow(_confirmed_among(percent), "a long, b long")
     return work.store(links.distinct(), "links-apart")
@@ -319,13 +371,7 @@ def _links(work: Workspace, name: str, docs: DataFrame, pairs: DataFrame, sketch
         F.explode(F.sequence(F.lit(0), (F.ceil(F.col("members") / GROUP) - 1).cast("int"))).alias("salt"),
     )
     needs = members.select("center", "salt", "doc_id").unionByName(centers.select("center", "salt", "doc_id"))
-    needs = needs.groupBy("doc_id").agg(F.collect_set(F.struct("center", "salt")).alias("needed_by"))
-    sets = (
-        docs.dropDuplicates(["doc_id"]).join(needs, "doc_id").select("doc_id", "text", "needed_by")
-        .mapInArrow(_packed(width), "doc_id long, needed_by array<struct<center:long,salt:int>>, shingles binary")
-        .select("doc_id", F.explode("needed_by").alias("at"), "shingles")
-        .select("doc_id", "at.center", "at.salt", "shingles")
-    )
+    sets = needs.join(_sets_of(docs, needs, width), "doc_id")
     confirmed = (
         sets.withColumn("is_member", F.col("doc_id") != F.col("center"))
         .repartition("center", "salt").sortWithinPartitions("center", "salt", "is_member", "doc_id")
@@ -397,9 +443,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "key", "rep", F.coalesce("component", "rep").alias("component")
     )
     placed = work.store(placed, "placed")
-    apart = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-    contested = placed.join(work.store(apart.where("low < high").select("key", "n"), "contested-keys"), "key")
-    second = _links_apart(work, docs, contested, sketch, width, percent)
+    second = _links_apart(work, docs, placed, sketch, width, percent)
 
     links = first.unionByName(second).distinct()
     # the second links join components of the first, of which few are left apart
