@@ -92,6 +92,10 @@ def chunk_keys(signature: np.ndarray) -> np.ndarray:
     return np.stack(keys, axis=1)
 
 
+def _digest(shingles: np.ndarray) -> tuple[int, int]:
+    return divmod(xxhash.xxh3_128_intdigest(shingles.tobytes()), 1 << 64)
+
+
 def _sketches(width: int):
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_1", pa.int64()), ("set_2", pa.int64()),
@@ -102,9 +106,7 @@ def _sketches(width: int):
         for batch in slices(batches):
             sets = shingle_sets(raw_texts(batch), width)
             sizes = np.array([len(s) for s in sets], np.int64)
-            digests = np.array(
-                [divmod(xxhash.xxh3_128_intdigest(s.tobytes()), 1 << 64) for s in sets], np.uint64
-            ).reshape(-1, 2)
+            digests = np.array([_digest(s) for s in sets], np.uint64).reshape(-1, 2)
             bits, packed = np.zeros(len(sets), np.uint64), [b""] * len(sets)
             filled = np.flatnonzero(sizes)
             if len(filled):
@@ -168,18 +170,27 @@ def _split_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(width: int):
+    """Sets of the texts that the class was made from; a document repeated with the same text comes once where its rows are together."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
         for batch in slices(batches):
-            packed = [s.tobytes() for s in shingle_sets(raw_texts(batch), width)]
-            yield pa.record_batch([batch.column("doc_id"), binary_array(packed)], names=["doc_id", "shingles"])
+            docs, packed = [], []
+            wanted = batch.column("set_1").to_numpy().view(np.uint64).tolist()
+            for doc, shingles, first in zip(batch.column("doc_id").to_pylist(), shingle_sets(raw_texts(batch), width), wanted):
+                if doc != before and _digest(shingles)[0] == first:
+                    docs.append(doc)
+                    packed.append(shingles.tobytes())
+                    before = doc
+            yield pa.record_batch([pa.array(docs, pa.int64()), binary_array(packed)], names=["doc_id", "shingles"])
 
     return run
 
 
-def _sets_of(docs: DataFrame, needed: DataFrame, width: int) -> DataFrame:
-    """`(doc_id, shingles)` of the documents named in `needed(doc_id)`."""
-    chosen = docs.join(needed.select("doc_id").distinct(), "doc_id").dropDuplicates(["doc_id"])
-    return chosen.select("doc_id", "text").mapInArrow(_packed(width), "doc_id long, shingles binary")
+def _sets_of(docs: DataFrame, needed: DataFrame, sketch: DataFrame, width: int) -> DataFrame:
+    """`(doc_id, shingles)` of the classes named in `needed(doc_id)`. Their number has no bound: nothing is broadcast."""
+    chosen = sketch.select(F.col("rep").alias("doc_id"), "set_1").join(needed.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
+    return docs.join(chosen.hint("merge"), "doc_id").select("doc_id", "text", "set_1").mapInArrow(_packed(width), "doc_id long, shingles binary")
 
 
 def _confirmed(percent: int):
@@ -343,7 +354,7 @@ def _links_apart(work: Workspace, docs: DataFrame, placed: DataFrame, sketch: Da
     at = ["key", "low", "high"]
     promising = rows.repartition(*at).sortWithinPartitions(*at, "rep").mapInArrow(_promising(percent), _PLACE)
     promising = work.store(promising, "promising").withColumnRenamed("rep", "doc_id")
-    sets = promising.join(_sets_of(docs, promising, width), "doc_id").select(
+    sets = promising.join(_sets_of(docs, promising, sketch, width), "doc_id").select(
         *at, F.col("doc_id").alias("rep"), "component", "block", "shingles"
     )
     links = sets.repartition(*at).sortWithinPartitions(*at, "rep").mapInArrow(_confirmed_among(percent), "a long, b long")
@@ -371,7 +382,7 @@ def _links(work: Workspace, name: str, docs: DataFrame, pairs: DataFrame, sketch
         F.explode(F.sequence(F.lit(0), (F.ceil(F.col("members") / GROUP) - 1).cast("int"))).alias("salt"),
     )
     needs = members.select("center", "salt", "doc_id").unionByName(centers.select("center", "salt", "doc_id"))
-    sets = needs.join(_sets_of(docs, needs, width), "doc_id")
+    sets = needs.join(_sets_of(docs, needs, sketch, width), "doc_id")
     confirmed = (
         sets.withColumn("is_member", F.col("doc_id") != F.col("center"))
         .repartition("center", "salt").sortWithinPartitions("center", "salt", "is_member", "doc_id")
@@ -387,7 +398,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     `width` words, or the whole sequence where there are fewer. Sets with 100 * intersection >= `percent` * union
     are linked; `component_id` is the smallest doc_id reachable and `n_links` counts links found of the class.
     Null, empty and blank texts have no shingles and link with nothing. Rows that repeat a doc_id are one
-    document (of one of their texts, should these differ); a null doc_id links with nothing and has a null component.
+    document; should their texts differ, the one whose set has the smallest digest counts. A null doc_id links with nothing and has a null component.
 
     `percent` is 80 to 100: a pair of similarity exactly 0.8 is missed with probability 4e-6, but the distance would
     lose 1.2 % of those of 0.7 and most of 0.5, so less is refused.
@@ -400,14 +411,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     schema = "doc_id long, n_shingles long, set_1 long, set_2 long, bits long, signature binary"
     all_rows = work.store(docs.mapInArrow(_sketches(width), schema), "sketches")
     own = all_rows.where("doc_id is not null and n_shingles > 0")
-    classes = own.groupBy("set_1", "set_2").agg(F.min("doc_id").alias("rep"))
-    member = own.select("doc_id", "set_1", "set_2").join(classes, ["set_1", "set_2"]).select("doc_id", "rep").distinct()
-    member = work.store(member, "members")
+    sets = own.groupBy("doc_id").agg(F.min(F.struct("set_1", "set_2")).alias("set")).select("doc_id", "set.set_1", "set.set_2")
+    sets = work.store(sets, "sets")
+    classes = work.store(sets.groupBy("set_1", "set_2").agg(F.min("doc_id").alias("rep")), "reps")
+    member = work.store(sets.join(classes, ["set_1", "set_2"]).select("doc_id", "rep"), "members")
     # differing sets of similarity 0.8 have four shingles or more each
     least = -(-percent // (101 - percent)) if percent < 100 else 0
     sketch = work.store(
-        own.join(member.where("doc_id = rep").select("doc_id"), "doc_id").where(F.col("n_shingles") >= least)
-        .select(F.col("doc_id").alias("rep"), "n_shingles", "bits", "signature").dropDuplicates(["rep"]),
+        own.where(F.col("n_shingles") >= least).join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "set_1", "set_2"])
+        .select(F.col("doc_id").alias("rep"), "n_shingles", "bits", "signature", "set_1").dropDuplicates(["rep"]),
         "classes",
     )
 
