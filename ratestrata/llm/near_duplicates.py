@@ -35,6 +35,7 @@ CHUNKS = MOST_DIFFERENT // 2 + 1
 MOST_BITS = 19
 #: Members compared with one center at a time when sets are confirmed, and rows of a block of a contested key.
 GROUP, BLOCK = 64, 512
+STRIP = 64
 #: A contested key of more sets than this is split by further slots.
 SPLIT = 32 * BLOCK
 
@@ -244,20 +245,22 @@ def _promising(percent: int):
             first += n
             components, blocks, sizes = (np.array([r[i] for r in rows]) for i in (1, 2, 3))
             column = np.flatnonzero(keys[0] == np.uint64(key & 0xFFFFFFFFFFFFFFFF))
-            able = np.triu(components[:, None] != components[None, :], 1)
-            if low != high:
-                able &= blocks[:, None] != blocks[None, :]
-            able &= 100 * np.minimum.outer(sizes, sizes) >= percent * np.maximum.outer(sizes, sizes)
-            left, right = np.nonzero(able)
             found = np.zeros(n, bool)
-            for i in range(0, len(left), 1 << 16):
-                x, y = left[i : i + (1 << 16)], right[i : i + (1 << 16)]
-                near = (slots[x] != slots[y]).sum(axis=1) <= MOST_DIFFERENT
-                x, y = x[near], y[near]
-                if len(column):  # a pair is met under its first common key; finer keys may meet it again
-                    here = (keys[x] == keys[y]).argmax(axis=1) == column[0]
-                    x, y = x[here], y[here]
-                found[x] = found[y] = True
+            for top in range(0, n, STRIP):  # some rows against all later ones at a time
+                end = min(n, top + STRIP)
+                able = np.triu(components[top:end, None] != components[None, top:], 1)
+                if low != high:
+                    able &= blocks[top:end, None] != blocks[None, top:]
+                able &= 100 * np.minimum.outer(sizes[top:end], sizes[top:]) >= percent * np.maximum.outer(sizes[top:end], sizes[top:])
+                left, right = np.nonzero(able)
+                for i in range(0, len(left), 1 << 14):
+                    x, y = top + left[i : i + (1 << 14)], top + right[i : i + (1 << 14)]
+                    near = (slots[x] != slots[y]).sum(axis=1) <= MOST_DIFFERENT
+                    x, y = x[near], y[near]
+                    if len(column):  # a pair is met under its first common key; finer keys may meet it again
+                        here = (keys[x] == keys[y]).argmax(axis=1) == column[0]
+                        x, y = x[here], y[here]
+                    found[x] = found[y] = True
             out += [(key, low, high, *rows[i][:3]) for i in np.flatnonzero(found).tolist()]
         return out
 
@@ -266,7 +269,7 @@ def _promising(percent: int):
         for at, rows in _groups(batches, ("rep", "component", "block", "n_shingles", "signature")):
             waiting.append((at, rows))
             n += len(rows)
-            if n > 4000:
+            if n > 2000:
                 if out := members(waiting):
                     yield _places(out)
                 waiting, n = [], 0
