@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Last shipping day of every supplied scale factor.
 AS_OF = "2001-11-04"
 EVENTS_AS_OF = "2024-01-20"
+# Months of the price series that a late batch writes again.
+LATE_MONTHS = ("1996-02", "1998-11", "1998-12")
 
 # Seconds at the start of a day in UTC, whatever the session time zone.
 EPOCH = "cast(date_diff(cast({0} as date), date'1970-01-01') as bigint) * 86400"

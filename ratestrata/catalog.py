@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ratestrata import adapters as A, schemas
 from ratestrata.functions import text
 from ratestrata.functions.tiers import volatility_tier as tier_of
-from ratestrata.operators import cleaning, containment, series
+from ratestrata.operators import cleaning, containment, moments, segments, series
 from ratestrata.operators.upsert import upsert as upsert_rows
 from ratestrata.plans import daily, feeds, gold, quality, silver, staging
 from ratestrata.session import shared_folder
@@ -447,6 +447,46 @@ def fct_rates(spark, sf):
     return plain(facts(spark, sf))
 
 
+def _late_rates(spark, sf):
+    """The price series in landing form, one row per pair and day, and a late batch of it: the last days of three months
+    again, with other prices, and with none that is plausible where the base is N."""
+    rates = series.dedup_latest(A.raw_rates(spark, sf), PAIR_DAY, "_extracted_at")
+    late = F.substring("rate_date", 1, 7).isin(*A.LATE_MONTHS) & (F.substring("rate_date", 9, 2) >= "20")
+    price = F.when(F.col("base_currency") == "N", "0").otherwise(F.concat(F.lit("1"), "rate"))
+    return rates, rates.filter(late).withColumn("rate", price)
+
+
+def _after_late_batch(spark: SparkSession, sf: str) -> daily.Layers:
+    """The daily job's tables after the whole series and then the late batch, for which only the touched months are built."""
+    layers = daily.Layers(shared_folder(spark, "increment"))
+    nations = to_landing(A.raw_countries(spark, sf), schemas.COUNTRY_FIELDS, F.lit(EXTRACTED_AT).cast("timestamp"))
+    land(spark, layers.path("bronze", "raw_countries"), nations, ["cca2", "languages"], schemas.RAW_COUNTRIES)
+    for batch in _late_rates(spark, sf):
+        land(spark, layers.path("bronze", "raw_currencies"), batch, PAIR_DAY, schemas.RAW_RATES, RATE_MONTH)
+        daily.transform(spark, layers, date.fromisoformat(A.AS_OF), [quality.PAIR_RULE], incremental=True)
+    return layers
+
+
+@query
+def facts_after_batch(spark, sf):
+    """Facts of which a late batch touched three months: these and the months behind them are built again, the others keep their files."""
+    return plain(daily.read_table(spark, _after_late_batch(spark, sf), "silver", "fct_exchange_rates"))
+
+
+@query
+def segmented_series(spark, sf):
+    """Previous value and mean of seven of event series, one of which owns most rows, in segments of an hour."""
+    events = A.table(spark, sf, "events").select(
+        F.when(F.col("event_id") % 10 < 7, "most").otherwise(F.col("event_type")).alias("series"), "event_id", "ts", "value",
+        F.date_trunc("hour", "ts").alias("hour"),
+    )
+    found = segments.segmented(
+        events, ["series"], "hour", ["ts", "event_id"], 6,
+        lambda window: {"previous": F.lag("value").over(window), "mean_of_7": F.avg("value").over(window.rowsBetween(-6, 0))},
+    )
+    return plain(rounded(found.select("series", "event_id", "value", "previous", "mean_of_7"), 6, "mean_of_7"))
+
+
 # ---- gold -------------------------------------------------------------------------
 
 
@@ -465,6 +505,21 @@ def trailing_stats(spark, sf):
     return plain(rounded(stats, 6, "rate_stddev_30d"))
 
 
+@query
+def stats_from_moments(spark, sf):
+    """Trailing statistics and those of all time, of all extracted prices, merged from a stored table of daily moments."""
+    days = moments.daily_moments(A.staged_rates(spark, sf), PAIR, "rate")
+    path = shared_folder(spark, "moments")
+    days.withColumn("rate_month", F.date_format("rate_date", "yyyy-MM")).write.partitionBy("rate_month").parquet(path)
+    days = spark.read.schema(days.schema).parquet(path)
+    recent = moments.trailing_from_moments(days, PAIR, A.AS_OF)
+    ever = moments.merge_moments(days, PAIR).select(
+        *PAIR, moments.deviation(F.col("n"), F.col("squares")).alias("rate_stddev"), F.col("mean").alias("rate_avg"), F.col("n").alias("rates")
+    )
+    both = ever.join(recent, PAIR, "left")
+    return plain(rounded(both, 5, "rate_stddev_30d", "rate_avg_30d", "rate_stddev", "rate_avg"))
+
+
 @query
 def volatility_tier(spark, sf):
     stats = _event_stats(spark, sf)
@@ -628,8 +683,8 @@ def _daily(spark: SparkSession, sf: str) -> daily.Layers:
 @query
 def daily_run(spark, sf):
     """The summary that the daily job stores."""
-    stored = spark.read.parquet(_daily(spark, sf).path("gold", "agg_currency_summary"))
-    return plain(rounded(stored, 6, "rate_volatility_30d"))
+    summary_ = daily.read_table(spark, _daily(spark, sf), "gold", "agg_currency_summary")
+    return plain(rounded(summary_, 6, "rate_volatility_30d"))
 
 
 @query
@@ -637,9 +692,9 @@ def daily_tables(spark, sf):
     """Rows and figures of the other tables that the daily job stores."""
     layers = _daily(spark, sf)
     bronze = read_landing(spark, layers.path("bronze", "raw_currencies"), schemas.RAW_RATES)
-    fct, dim = (spark.read.parquet(layers.path("silver", name)) for name in ("fct_exchange_rates", "dim_countries"))
+    fct, dim = (daily.read_table(spark, layers, "silver", name) for name in ("fct_exchange_rates", "dim_countries"))
     region, places, checks = (
-        spark.read.parquet(layers.path("gold", name)) for name in ("agg_rates_by_region", "agg_country_currency_map", "check_results")
+        daily.read_table(spark, layers, "gold", name) for name in ("agg_rates_by_region", "agg_country_currency_map", "check_results")
     )
 
     def row(name, df, value):

@@ -55,10 +55,14 @@ def daily_change(df: DataFrame, keys: Sequence[str], order: str, value: str) ->
     a small window.
     """
     series = Window.partitionBy(*keys).orderBy(order)
+    return change_columns(df.withColumn("previous_day_rate", F.lag(value).over(series)), value)
+
+
+def change_columns(df: DataFrame, value: str) -> DataFrame:
+    """Add `inverse_rate` and `rate_change_pct` to rows that know their `previous_day_rate`."""
     rate, previous = F.col(value), F.col("previous_day_rate")
     return (
-        df.withColumn("previous_day_rate", F.lag(value).over(series))
-        .withColumn("inverse_rate", F.round(F.lit(1).cast("decimal(2,1)") / F.nullif(rate, F.lit(0)), 8))
+        df.withColumn("inverse_rate", F.round(F.lit(1).cast("decimal(2,1)") / F.nullif(rate, F.lit(0)), 8))
         .withColumn(
             "rate_change_pct",
             F.when(previous != 0, F.round((rate - previous) / previous * 100, 4)),

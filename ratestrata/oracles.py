@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ratestrata.adapters import AS_OF, EVENTS_AS_OF
+from ratestrata.adapters import AS_OF, EVENTS_AS_OF, LATE_MONTHS
 
 STAMP = "'%Y-%m-%d %H:%M:%S.%f'"
 # The tokens that mean "missing", written out so that the SQL does not follow the code.
@@ -318,6 +318,12 @@ DAILY = ",\n".join([
     summary_cte(),
 ])
 
+LATE = f"""late_rates AS (
+    SELECT * REPLACE (CASE WHEN strftime(rate_date, '%Y-%m') IN {LATE_MONTHS} AND day(rate_date) >= 20
+        THEN CASE WHEN base_currency = 'N' THEN 0 ELSE cast('1' || cast(rate AS varchar) AS decimal(20,8)) END
+        ELSE rate END AS rate)
+    FROM {newest("raw_rates", PAIR_DAY, "extracted_at", ["cast(rate AS varchar)", "cast(unix_timestamp AS varchar)", "source_system", "pipeline_run_id"])})"""
+
 ORACLES = {
     "csv_table": """SELECT cast(c_custkey AS varchar) AS cust_key, c_name || '; "x", ' || c_mktsegment AS full_name,
         nullif(c_mktsegment, 'BUILDING') AS mkt_segment, cast(cast(c_acctbal AS decimal(12,2)) AS varchar) AS acct_bal_usd
@@ -455,6 +461,21 @@ ORACLES = {
     "top_container": part_regions("currencies LIKE '%' || p_brand || '%'"),
     "top_container_token": part_regions("list_contains(string_split(currencies, ', '), p_brand)"),
     "fct_rates": whole(FCT, FCT_SELECT),
+    "facts_after_batch": whole(DIM, RAW_RATES, LATE, fct_cte("late_rates", 1000000), FCT_SELECT),
+    "segmented_series": """SELECT series, event_id, value, lag(value) OVER w AS previous,
+            round(avg(value) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS mean_of_7
+        FROM (SELECT *, CASE WHEN event_id % 10 < 7 THEN 'most' ELSE event_type END AS series FROM events)
+        WINDOW w AS (PARTITION BY series ORDER BY ts, event_id)""",
+    "stats_from_moments": whole(
+        RAW_RATES,
+        f"""SELECT {PAIR}, round(stddev_samp(cast(rate AS double)), 5) AS rate_stddev, round(avg(rate), 5) AS rate_avg, count(*) AS rates,
+            round(stddev_samp(cast(rate AS double)) FILTER (WHERE rate_date >= {SINCE}), 5) AS rate_stddev_30d,
+            round(avg(rate) FILTER (WHERE rate_date >= {SINCE}), 5) AS rate_avg_30d,
+            cast(min(rate) FILTER (WHERE rate_date >= {SINCE}) AS double) AS rate_min_30d,
+            cast(max(rate) FILTER (WHERE rate_date >= {SINCE}) AS double) AS rate_max_30d,
+            nullif(count(*) FILTER (WHERE rate_date >= {SINCE}), 0) AS days_of_data
+        FROM raw_rates GROUP BY ALL""",
+    ),
     "latest_per_key": whole(
         SERIES,
         f"""{STAGED_SELECT} FROM series

@@ -1,4 +1,4 @@
-"""The daily job: ingest both sources, rebuild silver and gold, check."""
+"""The daily job: ingest both sources, build silver and gold, check, publish."""
 
 from __future__ import annotations
 
@@ -10,13 +10,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratestrata import schemas
 from ratestrata.operators.cleaning import validate
-from ratestrata.plans import gold, quality, silver, staging
+from ratestrata.operators.moments import daily_moments, trailing_from_moments
+from ratestrata.plans import gold, increment, quality, silver, staging
 from ratestrata.sources import audit
 from ratestrata.sources.base import ExtractionError, Source
-from ratestrata.sources.landing import RATE_MONTH, Landed, PartitionBy, land, read_landing, to_landing
+from ratestrata.sources.landing import (
+    NO_VALUE, RATE_MONTH, Landed, PartitionBy, current_version, land, landed_folders, read_landing, to_landing,
+)
+from ratestrata.sources.published import Batch, Tables
 
 RATE_KEYS = ["base_currency", "target_currency", "rate_date"]
 COUNTRY_KEYS = ["cca2"]
+PAIR = silver.PAIR
 # The length of ISO 4217 codes, for callers who know that all targets are such.
 ISO_LENGTHS = (3,)
 
@@ -80,24 +85,44 @@ def ingest(
     return landed
 
 
-def _store(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Write a table and continue from the files: no later table recomputes this one, and a
-    lost executor costs a scan, not the lineage before it."""
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def published(spark: SparkSession, layers: Layers) -> Tables:
+    """All silver and gold tables, by names such as `gold.agg_currency_summary`."""
+    return Tables(spark, layers.root.rstrip("/"))
 
 
-def _store_facts(spark: SparkSession, fct: DataFrame, path: str) -> DataFrame:
-    """Facts lie in folders by month and in day order within files, so the lookback of the gold tables skips what is
-    older by folder statistics. A month that gets most rows is split among many tasks."""
-    schema = fct.schema
-    month = F.coalesce(F.date_format("rate_date", "yyyy-MM"), F.lit("none"))
-    (
-        fct.withColumn("rate_month", month).hint("rebalance", F.col("rate_month"))
-        .sortWithinPartitions("rate_month", "rate_date", "target_currency", "base_currency")
-        .write.mode("overwrite").partitionBy("rate_month").parquet(path)
-    )
-    return spark.read.schema(schema).parquet(path)
+def read_table(spark: SparkSession, layers: Layers, layer: str, table: str) -> DataFrame:
+    """A published table of the silver or gold layer, as of the last run that passed its checks."""
+    return published(spark, layers).read(f"{layer}.{table}")
+
+
+def _facts(
+    spark: SparkSession, batch: Batch, tables: Tables, path: str, dim: DataFrame, codes: DataFrame | None,
+    code_lengths: Sequence[int] | None, months: list[str] | None,
+) -> DataFrame:
+    """Write the facts and what is kept beside them: the last row of each pair and month, and daily moments.
+
+    All of them, or those of `months`, which were landed since the last run, and of the months that depend on these.
+    """
+    month, order = F.col(increment.MONTH), ["rate_date", "target_currency", "base_currency"]
+    named = F.coalesce(F.date_format("rate_date", "yyyy-MM"), F.lit(NO_VALUE))
+    if months is None:
+        rates = staging.stage_rates(read_landing(spark, path, schemas.RAW_RATES))
+        new = silver.fct_rates(rates, dim, code_lengths=code_lengths, codes=codes)
+        fct = batch.write("silver.fct_exchange_rates", new, named, sort=order, folder_as=increment.MONTH)
+        batch.write("silver.pair_months", increment.last_rows(fct), month)
+        touched = None
+    else:
+        countries = batch.read("silver.code_countries")
+        before = tables.read("silver.pair_months")
+        touched = sorted({*months, *increment.months_of_codes(before, tables.read("silver.code_countries"), countries)})
+        ends = batch.write("silver.pair_months", increment.last_rows(increment.clean_rates(spark, path, touched)), month, touched)
+        touched = sorted({*touched, *increment.following_months(before, ends, touched)})
+        new = increment.facts_of_months(increment.clean_rates(spark, path, touched), ends, countries)
+        fct = batch.write("silver.fct_exchange_rates", new, named, touched, order, increment.MONTH)
+    fresh = fct if touched is None else fct.filter(month.isin(touched))
+    days = daily_moments(fresh, [*PAIR, increment.MONTH], "rate")
+    batch.write("silver.daily_moments", days, month, touched, ["rate_date"])
+    return fct.drop(increment.MONTH)
 
 
 def transform(
@@ -107,36 +132,57 @@ def transform(
     rules: Sequence[quality.Rule] = tuple(quality.GOLD_RULES),
     base: str | None = None,
     code_lengths: Sequence[int] | None = None,
+    incremental: bool = False,
 ) -> DataFrame:
-    """Rebuild silver and gold from the landed tables, then check them; a failed check raises
-    after its outcome is stored.
+    """Build silver and gold from the landed tables, check them, and publish all of them at once. A failed check raises
+    after its outcome is published; the other tables then stay as they were.
+
+    With `incremental`, facts, their last rows and moments are built for the months that were landed since the last published
+    run and for those that depend on them; all other months keep their files. The first run, and a landed table that is not partitioned by
+    month or day, build everything. Gold and the dimension are small, or a scan of the lookback, and always built whole.
 
     With `base`, gold holds the rates of that base only: a target and a country are then unique. The lengths
     that targets have are read from the landed rates, one column once, and stored as the distinct targets. A caller who knows
     all lengths can name them as `code_lengths`; targets of other lengths then match no country.
     """
-    landed = read_landing(spark, layers.path("bronze", "raw_currencies"), schemas.RAW_RATES)
-    rates = staging.stage_rates(landed)
-    codes = None
-    if code_lengths is None:
-        codes = _store(spark, landed.select("target_currency").distinct(), layers.path("silver", "target_codes"))
+    tables = published(spark, layers)
+    batch = tables.begin()
+    path = layers.path("bronze", "raw_currencies")
+    landed_version = current_version(spark, path)
+    months = None
+    if incremental and tables.schema("silver.landed") is not None:
+        months = increment.months_since(spark, path, tables.read("silver.landed").first()["version"])
+    landed = read_landing(spark, path, schemas.RAW_RATES)
+    if months is not None:  # targets of the other months are known
+        folders = landed_folders(spark, path).filter(F.substring("folder", 1, 7).isin(months)).select("folder")
+        landed = read_landing(spark, path, schemas.RAW_RATES, folders).select("target_currency")
+        landed = landed.unionByName(tables.read("silver.target_codes"))
+    targets = batch.write("silver.target_codes", landed.select("target_currency").filter("target_currency is not null").distinct())
+    codes = targets if code_lengths is None else None
     countries = staging.stage_countries(
         read_landing(spark, layers.path("bronze", "raw_countries"), schemas.RAW_COUNTRIES)
     )
-    dim = _store(spark, silver.dim_countries(countries), layers.path("silver", "dim_countries"))
-    fct = silver.fct_rates(rates, dim, code_lengths=code_lengths, codes=codes)
-    fct = _store_facts(spark, fct, layers.path("silver", "fct_exchange_rates"))
-    tables = {"dim_countries": dim, "fct_exchange_rates": fct}
+    dim = batch.write("silver.dim_countries", silver.dim_countries(countries))
+    batch.write("silver.code_countries", increment.code_countries(dim, targets, code_lengths))
+    fct = _facts(spark, batch, tables, path, dim, codes, code_lengths, months)
+    batch.write("silver.landed", spark.createDataFrame([(landed_version,)], "version bigint"))
+    built = {"dim_countries": dim, "fct_exchange_rates": fct}
+    moments = batch.read("silver.daily_moments").drop(increment.MONTH)
     if base is not None:
-        fct = fct.filter(F.col("base_currency") == base)
+        fct, moments = (df.filter(F.col("base_currency") == base) for df in (fct, moments))
 
     def store(name: str, df: DataFrame) -> None:
-        tables[name] = _store(spark, df, layers.path("gold", name))
+        built[name] = batch.write(f"gold.{name}", df)
 
-    store("agg_currency_summary", gold.currency_summary_joined(fct, as_of))
+    stats = trailing_from_moments(moments, PAIR, as_of)
+    store("agg_currency_summary", gold.currency_summary_joined(fct, as_of, stats=stats))
     store("agg_rates_by_region", gold.rates_by_region(fct, dim, as_of, code_lengths=code_lengths, codes=codes))
-    store("agg_country_currency_map", gold.country_currency_map(dim, tables["agg_currency_summary"]))
-    results = _store(spark, quality.run_checks(tables, rules), layers.path("gold", "check_results"))
+    store("agg_country_currency_map", gold.country_currency_map(dim, built["agg_currency_summary"]))
+    results = batch.write("gold.check_results", quality.run_checks(built, rules))
+    if results.filter("not passed").isEmpty():
+        batch.publish()
+    else:
+        batch.publish(["gold.check_results"])
     quality.require_passed(results)
     return results
 
@@ -155,6 +201,7 @@ def run_daily(
     base: str | None = None,
     code_lengths: Sequence[int] | None = None,
     loaded_at: datetime | None = None,
+    incremental: bool = False,
 ) -> DataFrame:
     """The whole run. Repeating it with the same input changes load times and the audit log, and adds rows with a NULL in the
     key again, as they equal nothing."""
@@ -167,4 +214,4 @@ def run_daily(
         spark, countries, layers, "raw_countries", schemas.COUNTRY_FIELDS, COUNTRY_KEYS, run_id, extracted_at,
         None, validated, loaded_at=loaded_at,
     )
-    return transform(spark, layers, as_of, rules, base, code_lengths)
+    return transform(spark, layers, as_of, rules, base, code_lengths, incremental)

@@ -99,6 +99,12 @@ def _live(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.schema(LIVE).parquet(f"{path}/live/{version}").filter("version > 0")
 
 
+def landed_folders(spark: SparkSession, path: str) -> DataFrame | None:
+    """The live version of every partition, or None if nothing was landed."""
+    version = current_version(spark, path.rstrip("/"))
+    return None if version is None else _live(spark, path.rstrip("/"), version)
+
+
 def read_landing(
     spark: SparkSession, path: str, schema: T.StructType, touched: DataFrame | None = None
 ) -> DataFrame:

@@ -38,7 +38,7 @@ def run(spark, tmp_path, run_id="run_001", **more):
 def gold_tables(spark, tmp_path):
     layers = daily.Layers(str(tmp_path / "out"))
     names = ["agg_currency_summary", "agg_rates_by_region", "agg_country_currency_map"]
-    return {name: tuples(spark.read.parquet(layers.path("gold", name)).drop("pipeline_run_id")) for name in names}
+    return {name: tuples(daily.read_table(spark, layers, "gold", name).drop("pipeline_run_id")) for name in names}
 
 
 def test_the_run_and_its_repetition(spark, tmp_path):
@@ -79,7 +79,7 @@ def test_failed_extraction_is_recorded(spark, tmp_path):
 def test_failed_check_raises_after_it_is_stored(spark, tmp_path):
     with pytest.raises(quality.CheckFailure, match="name_common not_null: 1"):
         run(spark, tmp_path, name=" ")
-    stored = spark.read.parquet(daily.Layers(str(tmp_path / "out")).path("gold", "check_results"))
+    stored = daily.read_table(spark, daily.Layers(str(tmp_path / "out")), "gold", "check_results")
     assert stored.count() == 11 and stored.filter("not passed").count() == 1
 
 
@@ -111,7 +111,7 @@ def test_gold_of_one_base_is_unique(spark, tmp_path):
         daily.run_daily(spark, rates, countries, str(tmp_path / "out"), "r1", AS_OF, AT)
     results = daily.run_daily(spark, rates, countries, str(tmp_path / "out"), "r2", AS_OF, AT, base="USD")
     assert results.filter("not passed").count() == 0
-    assert spark.read.parquet(daily.Layers(str(tmp_path / "out")).path("silver", "fct_exchange_rates")).count() == 5
+    assert daily.read_table(spark, daily.Layers(str(tmp_path / "out")), "silver", "fct_exchange_rates").count() == 5
 
 
 def test_facts_are_written_without_sampling_and_without_a_second_scan(spark, tmp_path):
@@ -122,7 +122,7 @@ def test_facts_are_written_without_sampling_and_without_a_second_scan(spark, tmp
     run(spark, tmp_path)
     layers = daily.Layers(str(tmp_path / "out"))
     rates = staging.stage_rates(daily.read_landing(spark, layers.path("bronze", "raw_currencies"), daily.schemas.RAW_RATES))
-    dim = spark.read.parquet(layers.path("silver", "dim_countries"))
+    dim = daily.read_table(spark, layers, "silver", "dim_countries")
     text = plan(silver.fct_rates(rates, dim, code_lengths=daily.ISO_LENGTHS))
     assert text.count("target_currency:string") == 1 and "rangepartitioning" not in text
 
@@ -136,10 +136,10 @@ def test_targets_of_any_length_meet_their_countries(spark, tmp_path):
     path.write_text(json.dumps([norway, peru]))
     daily.run_daily(spark, rates, CountriesSource("countries_api", str(path)), str(tmp_path / "out"), "r", AS_OF, AT)
     layers = daily.Layers(str(tmp_path / "out"))
-    fct = spark.read.parquet(layers.path("silver", "fct_exchange_rates"))
+    fct = daily.read_table(spark, layers, "silver", "fct_exchange_rates")
     names = fct.select("target_currency", "currency_region", "primary_country_name").distinct()
     assert tuples(names) == [
         ("DIGIKRONE", "Europe", "Norge"), ("NOK", "Europe", "Norge"), ("NONE", None, None), ("X", "Americas", "Perú"),
     ]
-    region = spark.read.parquet(layers.path("gold", "agg_rates_by_region")).select("target_currency", "region", "country_count")
+    region = daily.read_table(spark, layers, "gold", "agg_rates_by_region").select("target_currency", "region", "country_count")
     assert tuples(region.distinct()) == [("DIGIKRONE", "Europe", 1), ("NOK", "Europe", 1), ("NONE", "Unknown", 0), ("X", "Americas", 1)]

@@ -15,10 +15,10 @@ DAY = date(2024, 1, 15)
 def summary(frame):
     return frame(
         SUMMARY,
-        ("USD", "EUR", 0.92184, 1.08478, DAY, 0.234, "Europe", "Germany", 0.9189, "low"),
-        ("USD", "JPY", 149.82, 0.0066746, DAY, -0.416, "Asia", "Japan", 148.93, "medium"),
+        ("USD", "MDL", 17.31268, 0.05776, DAY, 0.617, "Europe", "Moldova", 17.2051, "low"),
+        ("USD", "LAK", 21873.5, 0.0000457, DAY, -1.372, "Asia", "Laos", 21740.25, "medium"),
         ("USD", "XXX", None, None, None, None, None, None, None, "odd"),
-        ("GBP", "EUR", 1.1, 0.9, DAY, 0.0, "Europe", "Germany", 1.1, None),
+        ("GBP", "MDL", 22.5, 0.04, DAY, 0.0, "Europe", "Moldova", 22.5, None),
     )
 
 
@@ -55,9 +55,9 @@ def test_accepted_values_skip_null_and_excluded_rows(frame):
 def test_table_panel(summary):
     assert [(r.target_currency, r.rate, r.inverse, r.direction, r.change_pct) for r in
             feeds.rates_table(summary, "eUr").orderBy("base_currency").collect()] == [
-        ("EUR", 1.1, 0.9, "up", 0.0), ("EUR", 0.9218, 1.0848, "up", 0.23),
+        ("MDL", 22.5, 0.04, "up", 0.0), ("MDL", 17.3127, 0.0578, "up", 0.62),
     ]
-    assert [r.direction for r in feeds.rates_table(summary, "japan").collect()] == ["down"]
+    assert [r.direction for r in feeds.rates_table(summary, "lak").collect()] == ["down"]
     assert feeds.rates_table(summary, "asia").count() == 1 and feeds.rates_table(summary).count() == 4
 
 
@@ -83,13 +83,13 @@ def test_trend(frame):
 
 def test_kpis(frame, summary):
     fct = frame("target_currency string, rate_date date, inverse_rate double, rate_change_pct double",
-                ("EUR", date(2024, 1, 14), 1.0, 0.5), ("EUR", DAY, 1.1, 0.234), ("EUR", date(2023, 12, 15), 9.0, 0.0),
+                ("EUR", date(2024, 1, 14), 1.0, 0.5), ("EUR", DAY, 1.1, 0.617), ("EUR", date(2023, 12, 15), 9.0, 0.0),
                 ("JPY", DAY, 5.0, 0.0))
     runs = frame("status string, started_at timestamp", ("success", datetime(2024, 1, 10)), ("failed", datetime(2024, 1, 11)),
                  ("success", datetime(2024, 1, 12)), ("success", datetime(2023, 1, 1)))
     checks = quality.run_checks({"agg_currency_summary": summary}, SUMMARY_RULES)
     got = dict(tuples(feeds.kpis(summary, summary, fct, runs, [summary, fct], checks, DAY)))
     assert got == {
-        "currencies_tracked": 3.0, "countries_mapped": 4.0, "avg_inverse_rate": 1.05, "latest_change_pct": 0.23,
+        "currencies_tracked": 3.0, "countries_mapped": 4.0, "avg_inverse_rate": 1.05, "latest_change_pct": 0.62,
         "runs": 3.0, "run_success_pct": 66.67, "landed_rows": 8.0, "checks_passed": 1.0, "checks_total": 5.0,
     }

@@ -24,7 +24,7 @@ def country(cca2, population="1", area="1", currencies=None, member="true", at=A
 
 
 def rate(target, value, day, at=AT, base="USD", run="r"):
-    return (base, target, value, day, "1705276800", "s", at, run)
+    return (base, target, value, day, "1677888000", "s", at, run)
 
 
 def staged_rates(frame, *rows):
@@ -37,12 +37,12 @@ def dim(frame, *rows):
 
 def test_staged_rates_are_typed_and_complete(frame):
     staged = staged_rates(
-        frame, rate("EUR", "0.9234", "2024-01-15"), rate(None, "1", "2024-01-15"), rate("EUR", None, "2024-01-15"),
-        rate("EUR", "1", None),
+        frame, rate("MDL", "17.3127", "2023-03-04"), rate(None, "1", "2023-03-04"), rate("MDL", None, "2023-03-04"),
+        rate("MDL", "1", None),
     )
     assert dict(staged.dtypes) | {"rate": "decimal(20,8)", "rate_date": "date", "unix_timestamp": "bigint",
                                   "extracted_at": "timestamp"} == dict(staged.dtypes)
-    assert [row.rate for row in staged.collect()] == [Decimal("0.92340000")]
+    assert [row.rate for row in staged.collect()] == [Decimal("17.31270000")]
 
 
 def test_bad_text_fails_the_job(frame):
