@@ -1,130 +1,152 @@
 """Token counts of documents in flat token files without an index.
 
-A token file is nothing but ids, each document ended by one identifier. Files come as blocks of a fixed
-number of ids, `(file, block, ids)`. Every block is searched for the identifier by itself, in numpy. What a block cannot know,
-how many documents ended before it and where the last one did, is a prefix scan over block summaries: a scan of
-groups of blocks, then of the blocks in each group, so that no window holds more than a file's groups.
+A token file is nothing but ids of 16 or 32 bits, each document ended by one identifier. Files are cut into ranges of ids, and every
+task reads its ranges by their offset, so a file may have any size. Every range is searched for the identifier by itself, in numpy. What a
+range cannot know, how many documents ended before it and where the last one did, is a prefix scan over range
+summaries: a scan of groups of ranges, then of the ranges in each group, so that no window holds more than a file's groups.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ratestrata.llm.common import Workspace, let_workers_import, slices, texts_of
-from ratestrata.llm.packing import byte_units, default_tokenizer
+from ratestrata.llm.common import Remembered, Workspace, let_workers_import, slices, texts_of
+from ratestrata.llm.packing import _units, byte_units, default_tokenizer
 
-#: Ids of a block, and blocks of a group of the prefix scan.
-BLOCK, GROUP = 1 << 15, 1 << 10
+#: Ids of a range, and ranges of a group of the prefix scan.
+RANGE, GROUP = 1 << 20, 1 << 10
 
 
-def write_blocks(docs: DataFrame, tokenizer: str, end: int, block: int = BLOCK) -> DataFrame:
-    """The token file of every partition of `docs(doc_id, text)`, in blocks: `file, block, ids` of little-endian 32-bit ids.
+def _opened(path: str):
+    """File system and path of a file that Spark names."""
+    from pyarrow import fs
 
-    A document's ids are followed by `end`. Nothing in a block tells where documents begin. Rows without a block are the
-    register of what was written: `file, ordinal, doc_id`. Null text counts as empty.
-    """
+    if path.startswith("/"):
+        return fs.LocalFileSystem(), path
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = "file://" + path.removeprefix("file:")
+    return fs.FileSystem.from_uri(path)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
 
-        file, number, rest = TaskContext.get().partitionId(), 0, np.zeros(0, "<u4")
-        units, written = byte_units(tokenizer), 0
-        stop = np.array([end], "<u4")
-        for batch in slices(batches):
-            n = batch.num_rows
-            yield pa.record_batch([
-                pa.array([file] * n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
-                pa.array(np.arange(written, written + n)), batch.column("doc_id"),
-            ], names=_COLUMNS)
-            written += n
-            parts = [rest]
-            for ids in units.encode([t or "" for t in batch.column("text").to_pylist()]):
-                parts += [ids, stop]
-            flat = np.concatenate(parts).astype("<u4")
-            whole = len(flat) // block
-            yield _blocks(file, number, [flat[k * block : (k + 1) * block] for k in range(whole)])
-            number, rest = number + whole, flat[whole * block :]
-        if len(rest):
-            yield _blocks(file, number, [rest])
-
-    return texts_of(docs).mapInArrow(run, _SCHEMA)
-
-
-_COLUMNS = ["file", "block", "ids", "ordinal", "doc_id"]
-_SCHEMA = "file long, block long, ids binary, ordinal long, doc_id long"
-
-
-def _blocks(file: int, number: int, parts: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.record_batch([
-        pa.array([file] * len(parts), pa.int64()), pa.array(range(number, number + len(parts)), pa.int64()),
-        pa.array([p.tobytes() for p in parts], pa.binary()), pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.int64()),
-    ], names=_COLUMNS)
-
-
-def read_blocks(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
-    """Blocks of files of little-endian 32-bit ids that others wrote. Spark hands a file to one task whole; keep files below a GB."""
-    let_workers_import(spark)
+@lru_cache(maxsize=2)
+def plain_units(tokenizer: str) -> Remembered:
+    """Ids of units of text, in which the strings of special tokens are ordinary text: no text has the id of one."""
+    return Remembered(byte_units(tokenizer).encoding.encode_ordinary, 400_000)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file, content in zip(batch.column("file").to_pylist(), batch.column("content")):
-                ids = np.frombuffer(content.as_buffer(), "<u4")
-                for k in range(0, len(ids), block):
-                    yield _blocks(file, k // block, [ids[k : k + block]])
 
-    files = spark.read.format("binaryFile").load(path).select(F.xxhash64("path").alias("file"), "content")
-    return files.mapInArrow(run, _SCHEMA).select("file", "block", "ids")
+def end_of_text(tokenizer: str) -> int:
+    """The id of the end of text, which no text has."""
+    return byte_units(tokenizer).encoding.encode("<|endoftext|>", allowed_special="all")[0]
 
 
-def token_counts(blocks: DataFrame, end: int) -> DataFrame:
-    """`file, ordinal, start, n_tokens` of each document: its place among the file's documents, its first id, its ids without the end.
+def write_files(docs: DataFrame, tokenizer: str, end: int, folder: str, kind: str = "<u2") -> DataFrame:
+    """Writes the token file of every partition of `docs(doc_id, text, ...)` below `folder`, which all executors share.
 
-    Documents without ids count 0. Ids after a file's last identifier are a document that was not ended, and are counted as one
-    unless there are none. Blocks of a file must be numbered from 0 and all but the last be of one size. An empty
-    table has no documents.
+    A file holds the ids of each document, as numbers of `kind`, followed by `end`, and nothing else. Returned is the register of
+    what was written, to be stored at once: `file, ordinal, doc_id`, and for each file a row without ordinal with its `size` in ids. A task that
+    runs again writes a file of another name; only those in the register count. Null text counts as empty; rows that repeat a doc_id are
+    documents of their own. Fails if a text has the id `end`, or one that `kind` cannot hold.
     """
-    spark = blocks.sparkSession
-    let_workers_import(spark)
 
-    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        path = f"{folder}/part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.bin"
+        system, place = _opened(path)
+        system.create_dir(place.rsplit("/", 1)[0], recursive=True)
+        units, most, stop = plain_units(tokenizer), np.iinfo(np.dtype(kind)).max, np.array([end], kind)
+        written, size = 0, 0
+        with system.open_output_stream(place) as out:
+            for batch in slices(batches):
+                parts = []
+                for ids in units.encode([_units(t or "") for t in batch.column("text").to_pylist()]):
+                    if len(ids) and (int(ids.max()) > most or (ids == end).any()):
+                        raise ValueError(f"a text has the id {end} of the end, or one above {most}")
+                    parts += [ids.astype(kind), stop]
+                flat = np.concatenate(parts)
+                out.write(flat.tobytes())
+                n, size = batch.num_rows, size + len(flat)
+                yield pa.record_batch(
+                    [pa.array([path] * n), pa.array(np.arange(written, written + n)), batch.column("doc_id"), pa.nulls(n, pa.int64())],
+                    names=["file", "ordinal", "doc_id", "size"],
+                )
+                written += n
+        yield pa.record_batch(
+            [pa.array([path]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([size], pa.int64())],
+            names=["file", "ordinal", "doc_id", "size"],
+        )
+
+    return texts_of(docs).mapInArrow(run, "file string, ordinal long, doc_id long, size long")
+
+
+def files_below(spark: SparkSession, path: str, kind: str = "<u4") -> DataFrame:
+    """`file, size` (in ids) of token files that others wrote. Only names and lengths are read."""
+    found = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.col("length"))
+    return found.select("file", F.expr(f"length div {np.dtype(kind).itemsize}").alias("size"))
+
+
+def _searched(end: int, kind: str, width: int):
+    """Places of the identifier in ranges of files, each read by its offset."""
+    bytes_ = np.dtype(kind).itemsize
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, sizes = [], []
-            for ids in batch.column("ids"):
-                ids = np.frombuffer(ids.as_buffer(), "<u4")
+            for file, number, size in zip(*(batch.column(c).to_pylist() for c in ("file", "range", "size"))):
+                system, place = _opened(file)
+                n = min(width, size - number * width)
+                with system.open_input_file(place) as source:
+                    ids = np.frombuffer(source.read_at(n * bytes_, number * width * bytes_), kind)
+                if len(ids) != n:
+                    raise OSError(f"{file} is shorter than {size} ids")
                 found.append(np.flatnonzero(ids == end).astype(np.int32))
-                sizes.append(len(ids))
+                sizes.append(n)
             yield pa.record_batch(
-                [batch.column("file"), batch.column("block"), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int32()))],
-                names=["file", "block", "size", "ends"],
+                [batch.column("file"), batch.column("range"), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int32()))],
+                names=["file", "range", "size", "ends"],
             )
 
+    return run
+
+
+def token_counts(files: DataFrame, end: int, kind: str = "<u4", width: int = RANGE) -> DataFrame:
+    """`file, ordinal, start, n_tokens` of each document of `files(file, size)`: its place among the file's documents, its first id, its ids
+    without the end.
+
+    Documents without ids count 0. Ids after a file's last identifier are a document that was not ended, and are counted as one
+    unless there are none. An empty file, and an empty table of files, have no documents.
+    """
+    spark = files.sparkSession
+    let_workers_import(spark)
     work = Workspace(spark, "token-counts")
-    found = work.store(blocks.select("file", "block", "ids").mapInArrow(ends, "file long, block long, size long, ends array<int>"), "ends")
-    # the size of a file's full blocks gives every block its place
-    width = found.groupBy("file").agg(F.max("size").alias("width"))
-    summary = found.join(width, "file").select(
-        "file", "block", (F.col("block") / GROUP).cast("long").alias("group"), "size", (F.col("block") * F.col("width")).alias("base"),
-        F.size("ends").cast("long").alias("n"), F.expr("block * width + array_max(ends)").alias("last"),
+    ranges = files.where("size > 0").select(
+        "file", "size", F.explode(F.expr(f"sequence(0L, (size - 1) div {width})")).alias("range")
+    ).repartition("file", "range")
+    found = work.store(ranges.mapInArrow(_searched(end, kind, width), "file string, range long, size long, ends array<int>"), "ends")
+    summary = found.select(
+        "file", "range", F.expr(f"range div {GROUP}").alias("group"), "size", (F.col("range") * width).alias("base"),
+        F.size("ends").cast("long").alias("n"), F.expr(f"range * {width} + array_max(ends)").alias("last"),
     )
-    summary = work.store(summary, "summary")
     groups = summary.groupBy("file", "group").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
     earlier = Window.partitionBy("file").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.select(
         "file", "group", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_before"), F.max("last").over(earlier).alias("last_before")
     )
-    inside = Window.partitionBy("file", "group").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("file", "group").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(
-        "file", "group", "block", "base", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("n_inside"), F.max("last").over(inside).alias("last_inside")
+        "file", "group", "range", "base", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("n_inside"), F.max("last").over(inside).alias("last_inside")
     ).join(groups, ["file", "group"])
     carried = carried.select(
-        "file", "block", "base", (F.col("n_before") + F.col("n_inside")).alias("ordinal"),
+        "file", "range", "base", (F.col("n_before") + F.col("n_inside")).alias("ordinal"),
         (F.coalesce("last_inside", "last_before", F.lit(-1)) + 1).alias("start"),
     )
-    each = found.where(F.size("ends") > 0).select("file", "block", "ends").join(carried, ["file", "block"]).select(
+    each = found.where(F.size("ends") > 0).select("file", "range", "ends").join(carried, ["file", "range"]).select(
         "file", "ordinal", "start", F.expr("transform(ends, e -> base + e)").alias("at")
     ).select("file", "ordinal", "start", "at", F.posexplode("at").alias("k", "stop")).select(
         "file", (F.col("ordinal") + F.col("k")).alias("ordinal"),
@@ -136,11 +158,13 @@ def token_counts(blocks: DataFrame, end: int) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of all documents, from token files written of them with the end of text of the vocabulary as identifier."""
+    """Counts of all documents, from flat files of 16-bit ids written of them, ended by the end of text of the vocabulary."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    end = byte_units(default_tokenizer()).encoding.encode("<|endoftext|>", allowed_special="all")[0]
-    work = Workspace(spark, "token-files")
-    written = work.store(write_blocks(docs, default_tokenizer(), end), "blocks")
-    found = token_counts(written.where("block is not null"), end)
-    register = written.where("block is null").select("file", "ordinal", "doc_id")
-    return register.join(found, ["file", "ordinal"]).select("doc_id", "file", "ordinal", "start", "n_tokens")
+    tokenizer = default_tokenizer()
+    end, work = end_of_text(tokenizer), Workspace(spark, "token-files")
+    register = work.store(write_files(docs, tokenizer, end, f"{work.root}/files"), "register")
+    files = register.where("ordinal is null").select("file", "size")
+    found = token_counts(files, end, "<u2")
+    return register.where("ordinal is not null").drop("size").join(found, ["file", "ordinal"]).select(
+        "doc_id", "file", "ordinal", "start", "n_tokens"
+    )

@@ -90,29 +90,74 @@ def test_rules_keep_the_columns_and_work_on_an_empty_table(documents, no_documen
     assert quality_rules.ledger(no_documents).count() == 0
 
 
-@pytest.mark.parametrize("block", [1, 3, 7, 1 << 12])
-def test_token_counts_equal_the_ids_written(documents, spark, block):
+@pytest.mark.parametrize("width", [1, 3, 7, 1 << 20])
+def test_token_counts_equal_the_ids_written(documents, spark, width):
+    """With the separator of the query, which texts may spell, and with very long texts."""
+    from tokenizers import Tokenizer
+
     from ratestrata.llm.common import Workspace
 
-    rows = [(i, t) for i, t in ODD if not t or len(t) < 1000] + [(40 + i, "some text " * i) for i in range(12)]
-    units = packing.byte_units(packing.default_tokenizer())
-    end = 60_000
-    written = Workspace(spark, "blocks").store(token_counts.write_blocks(documents(*rows).repartition(3), packing.default_tokenizer(), end, block), "b")
-    found = token_counts.token_counts(written.where("block is not null"), end)
-    got = written.where("block is null").select("file", "ordinal", "doc_id").join(found, ["file", "ordinal"])
-    wanted = sorted(((i, len(ids)) for (i, _), ids in zip(rows, units.encode([t or "" for _, t in rows]))), key=str)
+    tokenizer = packing.default_tokenizer()
+    rows = [(i, t) for i, t in ODD if width > 100 or not t or len(t) < 1000] + [(40 + i, "some text " * i) for i in range(12)]
+    rows += [(60, "a<|endoftext|>b <|endoftext|>"), (61, "<|endoftext|>"), (62, "x"), (None, "no id"), (62, "x")]
+    library = Tokenizer.from_file(tokenizer)
+    library.encode_special_tokens = True
+    end, work = token_counts.end_of_text(tokenizer), Workspace(spark, "files")
+    register = work.store(token_counts.write_files(documents(*rows).repartition(3), tokenizer, end, f"{work.root}/files"), "register")
+    found = token_counts.token_counts(register.where("ordinal is null").select("file", "size"), end, "<u2", width)
+    got = register.where("ordinal is not null").drop("size").join(found, ["file", "ordinal"])
+    wanted = sorted(((i, len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in rows), key=str)
     assert tuples(got.select("doc_id", "n_tokens")) == wanted
     assert found.count() == len(rows)
 
 
-def test_token_counts_of_raw_files_with_an_open_end(spark, tmp_path):
+def test_the_query_counts_like_the_library(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(packing.default_tokenizer())
+    library.encode_special_tokens = True
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    wanted = sorted(((i, len(e.ids)) for (i, _), e in zip(docs, library.encode_batch([t or "" for _, t in docs], add_special_tokens=False))), key=str)
+    assert tuples(token_counts.op8_token_counts(spark, "/root/testdata/sf0.001").select("doc_id", "n_tokens")) == wanted
+
+
+def test_a_text_with_the_separator_is_refused(documents, tmp_path):
+    tokenizer = packing.default_tokenizer()
+    (one,) = token_counts.plain_units(tokenizer).encode([["x"]])
+    with pytest.raises(Exception, match="of the end"):
+        token_counts.write_files(documents((1, "x")), tokenizer, int(one[0]), str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("kind", ["<u2", "<u4"])
+def test_token_counts_of_raw_files_with_an_open_end(spark, tmp_path, kind):
     import numpy as np
 
     for name, ids in (("a", [5, 6, 0, 0, 7, 0]), ("b", [1, 2, 3]), ("c", []), ("d", [0] + [9] * 50 + [0, 4])):
-        (tmp_path / f"{name}.bin").write_bytes(np.array(ids, "<u4").tobytes())
-    found = token_counts.token_counts(token_counts.read_blocks(spark, str(tmp_path), block=4), end=0)
-    assert sorted(r.n_tokens for r in found.collect()) == sorted([2, 0, 1, 3, 0, 50, 1])
-    assert token_counts.token_counts(token_counts.read_blocks(spark, str(tmp_path), 4).where("false"), 0).count() == 0
+        (tmp_path / f"{name}.bin").write_bytes(np.array(ids, kind).tobytes())
+    files = token_counts.files_below(spark, str(tmp_path), kind)
+    for width in (1, 4, 1000):
+        found = token_counts.token_counts(files, 0, kind, width)
+        assert sorted(r.n_tokens for r in found.collect()) == sorted([2, 0, 1, 3, 0, 50, 1])
+    assert tuples(found.where("file like '%d.bin'").select("ordinal", "start", "n_tokens")) == [(0, 0, 0), (1, 1, 50), (2, 52, 1)]
+    assert token_counts.token_counts(files.where("false"), 0, kind).count() == 0
+
+
+def test_a_file_above_two_gigabytes_is_read_by_ranges(spark, tmp_path):
+    import os
+
+    import numpy as np
+
+    path, size = tmp_path / "large.bin", (1 << 30) + 5000
+    with open(path, "wb") as file:  # a sparse file: zeros take no disk
+        for place in (7, 1 << 29, size - 2):
+            file.seek(place * 2)
+            file.write(np.array([9], "<u2").tobytes())
+        file.truncate(size * 2)
+    assert os.path.getsize(path) > 1 << 31
+    found = token_counts.token_counts(token_counts.files_below(spark, str(path), "<u2"), 9, "<u2", 1 << 24)
+    assert tuples(found.select("ordinal", "start", "n_tokens")) == [
+        (0, 0, 7), (1, 8, (1 << 29) - 8), (2, (1 << 29) + 1, size - 3 - (1 << 29)), (3, size - 1, 1),
+    ]
 
 
 def test_pieces_equal_the_library(documents, spark):
