@@ -13,7 +13,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", ORACLES)
