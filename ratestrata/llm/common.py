@@ -199,8 +199,9 @@ def signed(x: np.ndarray) -> np.ndarray:
 class Remembered:
     """Ids of units, such as words, encoded once for each Python worker; a worker forgets when there are `most`."""
 
-    def __init__(self, encode, most: int = 300_000) -> None:
-        self.encode_unit, self.most = encode, most
+    def __init__(self, encode, most: int = 300_000, encode_all=None) -> None:
+        """`encode` gives the ids of a unit, or `encode_all` those of many, one after the other, and how many each has."""
+        self.encode_unit, self.most, self.encode_all = encode, most, encode_all
         self.forget()
 
     def forget(self) -> None:
@@ -212,12 +213,22 @@ class Remembered:
         if len(self.codes) > self.most:
             self.forget()
         new = {unit for units in split for unit in units}.difference(self.codes)
+        if new and self.encode_all:
+            units = list(new)
+            flat, lengths = self.encode_all(units)
+            self.codes.update(zip(units, range(len(self.lengths), len(self.lengths) + len(units))))
+            self.lengths.frombytes(lengths.astype(np.int64).tobytes())
+            self.flat.frombytes(flat.astype(np.uint32).tobytes())
+            return self._gathered(split, True)
         for unit in new:
             ids = self.encode_unit(unit)
             self.codes[unit] = len(self.lengths)
             self.lengths.append(len(ids))
             self.flat.extend(ids)
-        if new or self.arrays is None:
+        return self._gathered(split, bool(new))
+
+    def _gathered(self, split: list[list[str]], changed: bool) -> list[np.ndarray]:
+        if changed or self.arrays is None:
             lengths = np.array(self.lengths, np.int64)
             self.arrays = lengths, np.cumsum(lengths) - lengths, np.array(self.flat, np.uint32)
         lengths, offsets, flat = self.arrays

@@ -3,7 +3,8 @@
 An agenda holds the adjacent symbol pairs whose join is in the vocabulary, best score first, leftmost first among
 equals; the best pair merges and its new neighbours enter, until no pair is left. Symbols outside the vocabulary become
 byte pieces. No piece of the vocabulary holds a mark of a blank after another character, nor a pair of characters that no piece
-has side by side, so texts are cut there and the parts are encoded once for each worker.
+has side by side, so texts are cut there. Units between blanks are encoded once for each worker, and the agendas of all new ones
+run in step, a round for all of them at a time.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from ratestrata.llm.common import Remembered, slices, texts_of
 
 BLANK = "▁"
 NEVER = float("inf")
+#: Symbols from which on a text has a heap of its own as agenda.
+LONG = 48
 
 
 class PieceModel:
@@ -49,46 +52,126 @@ class PieceModel:
             else p.piece.replace(BLANK, " ").encode() if p.type == kind.NORMAL else b""
             for p in proto.pieces
         ]
+        self.numbers = [str(i) for i in range(len(self.surfaces))]
         self.leading = {i for piece, i in self.ids.items() if piece.startswith(BLANK)}
         self.pairs = {pair for piece in self.ids for pair in zip(piece, piece[1:])}
         if any(b == BLANK and a != BLANK for a, b in self.pairs):
             raise ValueError(f"{path}: pieces that hold a blank inside")
-        self.parts: dict[str, list[int]] = {}
-        self.remembered = Remembered(self._unit, 500_000)
+        # symbols are numbered: pieces by their id, other characters of pieces above, and characters in no piece below zero
+        self.size = len(proto.pieces)
+        others = sorted({c for piece in self.ids for c in piece} - self.ids.keys())
+        number = self.ids | {c: self.size + i for i, c in enumerate(others)}
+        self.symbols = -1 - np.arange(0x110000)
+        for symbol, n in number.items():
+            if len(symbol) == 1:
+                self.symbols[ord(symbol)] = n
+        self.points = {self.size + i: ord(c) for i, c in enumerate(others)}
+        joins = [
+            (number[piece[:k]] << 32 | number[piece[k:]], n, self.costs[piece])
+            for piece, n in self.ids.items() for k in range(1, len(piece)) if piece[:k] in number and piece[k:] in number
+        ]
+        joins.sort()
+        self.joins, self.joined, self.join_costs = (np.array(x, k) for x, k in zip(zip(*joins), (np.int64, np.int64, np.float64)))
+        self.neighbours = np.array(sorted(ord(x) << 21 | ord(y) for x, y in self.pairs), np.int64)
+        self.remembered = Remembered(None, 500_000, self.encode_units)
+
+    def _found(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Costs of joining pairs of symbols, infinite where no piece results, and the pieces."""
+        keys = left << 32 | right
+        place = np.minimum(np.searchsorted(self.joins, keys), len(self.joins) - 1)
+        fits = (self.joins[place] == keys) & (left >= 0) & (right >= 0)
+        return np.where(fits, self.join_costs[place], NEVER), self.joined[place]
+
+    def _agendas(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The agendas of many texts of one length in step, a row for each: in every round each text joins its best pair, the leftmost among
+        equals, and its two new neighbours enter. Symbols of each text in front, and how many they are."""
+        n, width = symbols.shape
+        left = np.full(n, width)
+        if width == 1:
+            return symbols, left
+        symbols = symbols.copy()
+        costs, pieces = self._found(symbols[:, :-1], symbols[:, 1:])
+        rows = np.arange(n)
+        while True:
+            best = costs[rows].argmin(axis=1)
+            going = costs[rows, best] < NEVER
+            rows, best = rows[going], best[going]
+            if not len(rows):
+                return symbols, left
+            new = pieces[rows, best]
+            shift = np.arange(width - 1)[None, :] + (np.arange(width - 1)[None, :] > best[:, None])
+            kept = symbols[rows]
+            kept[:, : width - 1] = np.take_along_axis(kept, np.minimum(shift, width - 1), axis=1)
+            kept[np.arange(len(rows)), best] = new
+            symbols[rows] = kept
+            left[rows] -= 1
+            if width > 2:
+                # the entry of the pair goes, and those of its neighbours are made anew
+                entry = np.arange(width - 2)[None, :] + (np.arange(width - 2)[None, :] >= best[:, None])
+                for table, end in ((costs, NEVER), (pieces, 0)):
+                    own = table[rows]
+                    own[:, : width - 2] = np.take_along_axis(own, entry, axis=1)
+                    own[:, width - 2] = end
+                    table[rows] = own
+            else:
+                costs[rows] = NEVER
+            for at in (best - 1, best):
+                fits = (at >= 0) & (at + 1 < left[rows])
+                there, at = rows[fits], at[fits]
+                costs[there, at], pieces[there, at] = self._found(symbols[there, at], symbols[there, at + 1])
+
+    def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units of marked text, one after the other, and how many each has."""
+        text = "".join(units)
+        if not text:
+            return np.zeros(0, np.uint32), np.zeros(len(units), np.int64)
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+        unit_ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+        pairs = points[:-1] << 21 | points[1:]
+        cut = np.ones(len(points), bool)
+        cut[1:] = self.neighbours[np.minimum(np.searchsorted(self.neighbours, pairs), len(self.neighbours) - 1)] != pairs
+        cut[unit_ends[unit_ends < len(points)]] = True
+        starts = np.flatnonzero(cut)
+        lengths = np.diff(np.append(starts, len(points)))
+        counts, groups = np.zeros(len(starts), np.int64), []
+        for length in np.unique(lengths).tolist():
+            chosen = np.flatnonzero(lengths == length)
+            for i in range(0, len(chosen), 20_000):
+                own = chosen[i : i + 20_000]
+                if length < LONG:
+                    symbols, left = self._agendas(self.symbols[points[starts[own][:, None] + np.arange(length)]])
+                    tokens = symbols[np.arange(length)[None, :] < left[:, None]]
+                else:
+                    found = [self.agenda(text[a : a + length]) for a in starts[own].tolist()]
+                    left, tokens = np.array([len(x) for x in found]), np.concatenate(found)
+                counts[own] = left
+                groups.append((own, left, tokens))
+        begins = np.cumsum(counts) - counts
+        out = np.empty(counts.sum(), np.int64)
+        for own, left, tokens in groups:
+            out[np.repeat(begins[own], left) + np.arange(len(tokens)) - np.repeat(np.cumsum(left) - left, left)] = tokens
+        segment_unit = np.searchsorted(unit_ends, starts, "right")
+        per_unit = np.bincount(segment_unit, counts, len(units)).astype(np.int64)
+        strange = np.flatnonzero((out < 0) | (out >= self.size))
+        if len(strange):  # characters that are no piece become their bytes
+            point = [self.points[t] if t >= 0 else -1 - t for t in out[strange].tolist()]
+            spelled = [[self.bytes[b] for b in chr(c).encode()] for c in point]
+            sizes = np.ones(len(out), np.int64)
+            sizes[strange] = [len(x) for x in spelled]
+            owner = np.repeat(segment_unit, counts)
+            longer = np.repeat(out, sizes)
+            first = np.cumsum(sizes) - sizes
+            for a, ids in zip(first[strange].tolist(), spelled):
+                longer[a : a + len(ids)] = ids
+            out, per_unit = longer, np.bincount(owner, sizes, len(units)).astype(np.int64)
+        return out.astype(np.uint32), per_unit
 
     def agenda(self, text: str) -> list[int]:
-        """Ids of a text whose blanks are marked."""
-        symbols = list(text)
-        symbols = self._short(symbols) if len(symbols) < 48 else self._long(symbols)
-        ids: list[int] = []
-        for symbol in symbols:
-            known = self.ids.get(symbol)
-            if known is not None:
-                ids.append(known)
-            else:
-                ids += [self.bytes[b] for b in symbol.encode()]
-        return ids
-
-    def _short(self, symbols: list[str]) -> list[str]:
-        """The agenda as a list in the order of the text: for a word, looking for the best entry costs less than order."""
-        cost = self.costs.get
-        agenda = [cost(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
-        while agenda:
-            best = min(agenda)
-            if best == NEVER:
-                break
-            i = agenda.index(best)
-            joined = symbols[i] + symbols[i + 1]
-            symbols[i : i + 2] = [joined]
-            del agenda[i]
-            if i:
-                agenda[i - 1] = cost(symbols[i - 1] + joined, NEVER)
-            if i < len(agenda):
-                agenda[i] = cost(joined + symbols[i + 1], NEVER)
-        return symbols
+        """Symbols of one text whose blanks are marked, by number."""
+        return [self.ids[x] if x in self.ids else int(self.symbols[ord(x)]) for x in self._long(list(text))]
 
     def _long(self, symbols: list[str | None]) -> list[str]:
-        """The agenda as a heap, which long runs without a cut need."""
+        """The agenda as a heap: a long run without a cut has too many rounds for the others to wait."""
         n = len(symbols)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
         queue: list[tuple[float, int, int, str]] = []
@@ -114,21 +197,6 @@ class PieceModel:
             propose(left, after[left])
         return [symbol for symbol in symbols if symbol is not None]
 
-    def _unit(self, unit: str) -> list[int]:
-        ids: list[int] = []
-        start = 0
-        for i in range(1, len(unit) + 1):
-            if i == len(unit) or (unit[i - 1], unit[i]) not in self.pairs:
-                part = unit[start:i]
-                known = self.parts.get(part)
-                if known is None:
-                    if len(self.parts) > 300_000:
-                        self.parts.clear()
-                    known = self.parts[part] = self.agenda(part)
-                ids += known
-                start = i
-        return ids
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, the end id last."""
         split = [_units(text) for text in texts]
@@ -137,8 +205,7 @@ class PieceModel:
     def decode(self, ids: list[int]) -> bytes:
         """UTF-8 of the text. Byte pieces that make no UTF-8 become replacement characters, one for each byte."""
         text = b"".join(map(self.surfaces.__getitem__, ids))
-        first = next((i for i in ids if self.surfaces[i]), None)
-        if first in self.leading:
+        if text[:1] == b" " and next((i for i in ids if self.surfaces[i]), None) in self.leading:
             text = text[1:]  # the blank put before every text
         try:
             text.decode()
@@ -223,11 +290,11 @@ def round_trip(docs: DataFrame, model: str, library: str | None = None) -> DataF
         for batch in slices(batches):
             own, texts = piece_model(model), [t or "" for t in batch.column("text").to_pylist()]
             ids = [x.tolist() for x in own.encode(texts)]
-            decoded = [own.decode(x) for x in ids]
+            decoded, number = [own.decode(x) for x in ids], own.numbers.__getitem__
             columns = {
                 "doc_id": batch.column("doc_id"),
                 "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
-                "ids_sha256": pa.array([hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest() for x in ids]),
+                "ids_sha256": pa.array([hashlib.sha256(" ".join(map(number, x)).encode()).hexdigest() for x in ids]),
                 "decoded_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in decoded]),
             }
             if library is not None:

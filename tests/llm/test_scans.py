@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from conftest import tuples
@@ -211,6 +212,20 @@ def test_broken_bytes_decode_like_the_library():
 
 
 def test_the_two_agendas_agree():
-    own = pieces.piece_model(public_tokenizers.path("piece_bpe_32k.model"))
-    for text in ("▁international", "▁▁▁▁▁▁▁", "aaaaaaaaaaaa", "▁thethethe", "x"):
-        assert own._short(list(text)) == own._long(list(text))
+    """In step and by a heap, on strings around the length at which the form changes, and against the library."""
+    import random
+
+    from sentencepiece import SentencePieceProcessor
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    own, library = pieces.piece_model(model), SentencePieceProcessor(model_file=model)
+    rng = random.Random(7)
+    texts = ["international", "\u2581" * 7, "aaaaaaaaaaaa", "thethethe", "x", "\U0001f600", "ꙮꙮ", "a" * 47, "a" * 48, "a" * 500]
+    for n in [*range(1, 12), 40, 46, 47, 48, 49, 50, 90]:
+        for letters in ("ab", "etaoinshr", "theing", "éàü漢字ꙮz"):
+            texts += ["".join(rng.choices(letters, k=n)) for _ in range(6)]
+    for text in texts:
+        symbols = own.symbols[np.array([[ord(c) for c in text]])]
+        found, n = own._agendas(symbols)
+        assert found[0, : n[0]].tolist() == own.agenda(text), text
+    assert [x.tolist() for x in own.encode(texts)] == library.encode(texts, add_eos=True)
