@@ -172,6 +172,80 @@ def test_spans_point_at_the_same_words(documents):
         assert words[s.doc_id][s.start : s.start + s.length] == words[s.source][s.source_start : s.source_start + s.length]
 
 
+def mixture_by_hand(rows, order):
+    """Scores by plain dictionaries: counts, expectation-maximisation per context class, and the mixture."""
+    end = "\0end"
+    texts = [(i, WORD.findall((t or "").translate(LOWER)) + [end]) for i, t in rows]
+    fold = {i: 6 if i is None else zlib.crc32(str(i).encode()) % 5 for i, _ in rows}
+
+    def grams(words):
+        """For each token its n-grams of one word, two words, ...; None where the text is too short."""
+        for at in range(len(words)):
+            out = [(words[at],)]
+            for k in range(1, order):
+                if k == 1 or at >= k - 1:
+                    before = words[max(0, at - k) : at]
+                    out.append(tuple([end] * (k - len(before)) + before + [words[at]]) if len(before) >= k - 1 else None)
+                else:
+                    out.append(None)
+            yield out
+
+    def counted(folds):
+        return Counter(g for i, words in texts if fold[i] in folds for out in grams(words) for g in out if g)
+
+    def estimates(out, counts, n, v):
+        seen = [counts[g[:-1]] if g else 0 for g in out[1:]]
+        own = [counts[g] if g else 0 for g in out]
+        longest = max((k + 1 for k, c in enumerate(seen) if c), default=0)
+        group = 0 if not longest else (longest - 1) * 64 + int(math.log2(seen[longest - 1])) + 1
+        return group, longest, [own[k] / max(seen[k - 1], 1) for k in range(order - 1, 0, -1)] + [own[0] / max(n, 1)]
+
+    kept, total = counted({2, 3, 4}), counted({0, 2, 3, 4})
+    n_kept = sum(len(w) for i, w in texts if fold[i] in {2, 3, 4})
+    n = sum(len(w) for i, w in texts if fold[i] in {0, 2, 3, 4})
+    v = len({g for g in total if len(g) == 1})
+    cells = {}
+    for i, words in texts:
+        if fold[i] == 0:
+            for out in grams(words):
+                group, longest, parts = estimates(out, kept, n_kept, v)
+                ratio = tuple(2.0 ** (max(-160, min(160, round(math.log2(x * (v + 1)) * 4))) / 4) if x > 0 else 0.0 for x in parts) + (1.0,)
+                cells.setdefault((group, longest), Counter())[ratio] += 1
+    weights = {}
+    for (group, longest), found in cells.items():
+        weight = [1 / (longest + 2) if k >= order - 1 - longest else 0.0 for k in range(order + 1)]
+        for _ in range(50):
+            new = [0.0] * (order + 1)
+            for ratio, times in found.items():
+                whole = sum(r * w for r, w in zip(ratio, weight))
+                new = [a + times * r * w / whole for a, r, w in zip(new, ratio, weight)]
+            weight = [x / sum(found.values()) for x in new]
+        weights[group] = [0.999 * w + (0.0005 if k >= order - 1 else 0) for k, w in enumerate(weight)]
+
+    def weight_of(group, longest):
+        while group not in weights:
+            if group == 0 or (group - 1) % 64 == 0:
+                return [1 / (longest + 2) if k >= order - 1 - longest else 0.0 for k in range(order + 1)]
+            group -= 1
+        return weights[group]
+
+    scores = []
+    for i, words in texts:
+        score = 0.0
+        for out in grams(words):
+            group, longest, parts = estimates(out, total, n, v)
+            score += math.log10(sum(w * p for w, p in zip(weight_of(group, longest), [*parts, 1 / (v + 1)])))
+        scores.append((i, len(words), round(score, 5)))
+    return sorted(scores, key=str)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_language_model_equals_a_plain_mixture(documents, order):
+    rows = [r for r in ODD if r[1] is None or len(r[1]) < 1000] + varied(120, seed=8)
+    found = interpolated_lm.score_documents(documents(*rows).repartition(3), order)
+    assert tuples(found.select("doc_id", "n_tokens", F.round("score", 5))) == mixture_by_hand(rows, order)
+
+
 def test_language_model_base_and_gain(documents, no_documents):
     rows = ODD + varied(150, seed=6)
     found = {}
@@ -196,7 +270,7 @@ def test_language_model_beats_the_base_on_held_out_texts(spark):
 
 
 def test_mixture_weights_sum_to_one():
-    weights = interpolated_lm.learned_weights([(3, 40, 8, 100), (3, -161, 8, 10), (5, -161, -161, 7)])
+    weights = interpolated_lm.learned_weights([(3, 40, 8, 100), (3, -161, 8, 10), (5, -161, -161, 7)], 2)
     assert np.allclose(weights.sum(axis=1), 1) and (weights[:, 2] > 0).all() and weights[3, 0] > 0.5
 
 
