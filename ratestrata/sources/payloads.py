@@ -12,19 +12,24 @@ from ratestrata.sources.base import Source
 REQUIRED = ["base", "rates", "timestamp"]
 
 
-# A number that is the value of a field. JSON readers turn it into a double, which loses digits, so it is quoted before.
-# Quotes inside a text are escaped, hence no text can look like a field.
-FIELD_NUMBER = r'([{,]\s*"[^"\\]*"\s*:\s*)(-?[0-9][0-9.eE+-]*)'
+# A number outside of texts, behind whatever stands before it: texts, which are skipped whole whatever they hold, and other signs. JSON
+# readers turn a number into a double, which loses digits, so it is quoted before. A match starts
+# where the one before ended, so never inside a text, and nothing is tried twice.
+TEXT = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+NUMBER = rf'\G((?:{TEXT}|[^"0-9-]++)*+)(-?[0-9][0-9.eE+-]*+)'
 
 
 def _parsed_rates(body: Column, mode: str) -> Column:
     """Payloads of one JSON document, an object or an array of them, numbers as the text they are written in."""
-    quoted = F.regexp_replace(body, FIELD_NUMBER, '$1"$2"')
+    quoted = F.regexp_replace(body, NUMBER, '$1"$2"')
     return F.from_json(quoted, T.ArrayType(schemas.WRITTEN_RATES_PAYLOAD), {"mode": mode})
 
 
 def _typed_rates(payloads: DataFrame) -> DataFrame:
-    return payloads.select("payload.base", F.col("payload.timestamp").try_cast("bigint").alias("timestamp"), "payload.rates")
+    """Whole seconds of the timestamp, which may be written with a fraction or an exponent; `written_timestamp` is its text."""
+    written = F.col("payload.timestamp")
+    seconds = F.floor(written.try_cast("decimal(38,9)")).try_cast("bigint")
+    return payloads.select("payload.base", seconds.alias("timestamp"), "payload.rates", written.alias("written_timestamp"))
 
 
 def parse_payloads(df: DataFrame, col: str, schema=schemas.RATES_PAYLOAD) -> DataFrame:
@@ -43,14 +48,18 @@ def broken_payloads(payloads: DataFrame) -> DataFrame:
 
 
 def require_complete(payloads: DataFrame) -> DataFrame:
-    """The payloads; the job that unfolds one without a required field fails and names the field.
+    """The payloads; the job that unfolds one without a required field, or with a timestamp that is none, fails and names the field.
 
     The check is part of the `rates` expression, so the files are not scanned a second time
     for it, and no filter can drop the payload before it.
     """
     rates = F.col("rates")
     for name in reversed(REQUIRED):
-        failure = F.raise_error(F.lit(f"unexpected payload: missing field '{name}'"))
+        reason = F.lit(f"unexpected payload: missing field '{name}'")
+        if name == "timestamp" and "written_timestamp" in payloads.columns:
+            bad = F.concat(F.lit("unexpected payload: bad value of field 'timestamp': "), "written_timestamp")
+            reason = F.coalesce(bad, reason)
+        failure = F.raise_error(reason)
         rates = F.when(F.col(name).isNull(), failure.cast(schemas.RATES_PAYLOAD["rates"].dataType)).otherwise(rates)
     return payloads.withColumn("rates", rates)
 

@@ -262,3 +262,33 @@ def test_flat_country_of_json_null(frame):
     parsed = parse_payloads(frame("b string", ('{"cca2": null, "population": null}',)), "b", schemas.COUNTRY_PAYLOAD)
     row = flatten_countries(parsed).first()
     assert (row.cca2, row.population, row.is_un_member) == ("", 0, False)
+
+
+@pytest.mark.parametrize("written, day", [
+    ("1687219200.0", "2023-06-20"), ("1687219199.999", "2023-06-19"), ("1.6872192e9", "2023-06-20"), ("-0.5", "1969-12-31"), ("1687219200", "2023-06-20"),
+])
+def test_timestamps_are_any_numbers(frame, written, day):
+    body = f'{{"base": "USD", "timestamp": {written}, "rates": {{"NOK": 1.50}}}}'
+    rows = flatten_rates(parse_payloads(frame("body string", (body,)), "body"))
+    assert tuples(rows.select("rate_date", "rate")) == [(day, "1.50")]
+
+
+def test_a_timestamp_that_is_none_is_named(spark, tmp_path, frame):
+    body = '{"base": "USD", "timestamp": "soon", "rates": {"NOK": 1}}'
+    with pytest.raises(Exception, match="bad value of field 'timestamp': soon"):
+        RatesSource(path=write(tmp_path, body, "r.json")).read(spark).collect()
+    assert broken_payloads(parse_payloads(frame("body string", (body,)), "body")).first().missing_fields == "timestamp"
+
+
+def test_numbers_inside_texts_stay_texts(frame):
+    """Texts that look like fields, escaped quotes and keys, numbers without blanks, and long payloads."""
+    odd = r'{"rates":{"{":2,"a\":1,\"b":0.10,":5":1.5,"c\\":-3e-2,"A":7},"note":"{\"x\":1, 2","timestamp":86400,"base":"U-1"}'
+    rows = flatten_rates(parse_payloads(frame("body string", (odd,)), "body"))
+    assert tuples(rows.select("base_currency", "target_currency", "rate")) == sorted(
+        ("U-1", key, rate) for key, rate in {"{": "2", 'a":1,"b': "0.10", ":5": "1.5", "c\\": "-3e-2", "A": "7"}.items()
+    )
+    many = ",".join(f'"T{i}":{i}.{i:05d}' for i in range(20_000))
+    words = ",".join(f'"w{i}"' for i in range(20_000))
+    body = f'{{"note":"{"x" * 100_000}","words":[{words}],"base":"B","timestamp":0,"rates":{{{many}}}}}'
+    rows = flatten_rates(parse_payloads(frame("body string", (body,)), "body"))
+    assert rows.count() == 20_000 and rows.filter("target_currency = 'T123'").first().rate == "123.00123"
