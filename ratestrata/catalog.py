@@ -140,6 +140,21 @@ def csv_source(spark, sf):
     return plain(source.read(spark))
 
 
+@query
+def csv_line_breaks(spark, sf):
+    """Orders as CSV in which most cells of one column hold line breaks, quotes and delimiters, read in splits."""
+    folder = shared_folder(spark, "csv")
+    orders = A.table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).otherwise(
+            F.concat("o_orderpriority", F.lit('\n"quoted", '), "o_orderstatus", F.lit("\n\nlast; "))
+        ).alias("note"),
+        F.col("o_totalprice").cast("decimal(14,2)").alias("price"),
+    )
+    orders.write.csv(folder, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return plain(read_csv(spark, folder, delimiter=","))
+
+
 @query
 def normalize_columns(spark, sf):
     odd = A.table(spark, sf, "customer").toDF(" Cust  Key", "Full-Name", "Nation.Key", "Acct Bal ($)", "Mkt Segment ")

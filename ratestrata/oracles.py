@@ -332,6 +332,10 @@ ORACLES = {
     "csv_source": """SELECT o_orderkey AS order_key, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,
         cast(cast(o_totalprice AS decimal(14,2)) AS double) AS price,
         CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS priority FROM orders""",
+    "csv_line_breaks": """SELECT cast(o_orderkey AS varchar) AS o_orderkey,
+        CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority
+            ELSE o_orderpriority || chr(10) || '"quoted", ' || o_orderstatus || chr(10) || chr(10) || 'last; ' END AS note,
+        cast(cast(o_totalprice AS decimal(14,2)) AS varchar) AS price FROM orders""",
     "normalize_columns": """SELECT c_custkey AS cust_key, c_name AS full_name, cast(c_nationkey AS bigint) AS nation_key,
         c_acctbal AS acct_bal_, c_mktsegment AS segment FROM customer""",
     "null_tokens": f"""SELECT o_orderkey, CASE WHEN s NOT IN ({TOKENS}) THEN s END AS status,

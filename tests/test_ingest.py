@@ -292,3 +292,52 @@ def test_numbers_inside_texts_stay_texts(frame):
     body = f'{{"note":"{"x" * 100_000}","words":[{words}],"base":"B","timestamp":0,"rates":{{{many}}}}}'
     rows = flatten_rates(parse_payloads(frame("body string", (body,)), "body"))
     assert rows.count() == 20_000 and rows.filter("target_currency = 'T123'").first().rate == "123.00123"
+
+
+@pytest.mark.parametrize("split", [64, 1000, 1 << 20])
+def test_records_of_quoted_breaks_are_read_in_splits(spark, tmp_path, split):
+    """Against Python's reader, in splits that end anywhere, with files of two encodings and one without breaks."""
+    import csv
+    import random
+
+    rng = random.Random(split)
+    cells = ["x", "", 'q"q', "a,b", "line\nbreak", "\n\n", '"', "\n\"\n,", "é", "word " * 9, " \n "]
+    wanted = []
+    for name, encoding, breaks in (("a", "utf-8", True), ("b", "latin-1", True), ("c", "utf-8", False)):
+        with open(tmp_path / f"{name}.csv", "w", encoding=encoding, newline="") as file:
+            writer = csv.writer(file, lineterminator="\n")
+            writer.writerow(["k", "größe", "v"])
+            for i in range(120):
+                row = [f"{name}{i}", *(c if breaks or "\n" not in c else "-" for c in rng.choices(cells, k=2))]
+                writer.writerow(row)
+                wanted.append(tuple(c or None for c in row))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        rows = read_csv(spark, str(tmp_path), delimiter=",")
+        assert rows.columns == ["k", "größe", "v"] and tuples(rows) == sorted(wanted, key=str)
+        # the lines of a file are read by more than one task
+        assert split > 1000 or spark.read.text(str(tmp_path / "a.csv")).rdd.getNumPartitions() > 3
+    finally:
+        for name, value in zip(("maxPartitionBytes", "openCostInBytes"), before):
+            spark.conf.set(f"spark.sql.files.{name}", value)
+
+
+def test_a_quote_that_is_never_closed_is_an_error(spark, tmp_path):
+    with pytest.raises(ExtractionError, match="never closed"):
+        read_csv(spark, write(tmp_path, 'a,b\n"1,2\n3,4\n'))
+
+
+def test_headers_with_breaks_must_be_alike(spark, tmp_path):
+    write(tmp_path, '"a\nx",b\n1,2\n', "a.csv")
+    write(tmp_path, '"a\nx",b\n"3\n",4\n\n', "b.csv")
+    assert tuples(read_csv(spark, str(tmp_path))) == [("1", "2"), ("3\n", "4")]
+    write(tmp_path, 'b,a\n"1\n",2\n', "c.csv")
+    with pytest.raises(Exception, match="other headers"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
+def test_long_records_with_breaks_fail(spark, tmp_path):
+    with pytest.raises(Exception, match="too many cells"):
+        read_csv(spark, write(tmp_path, 'a,b\n"1\n",2,3\n4,5\n')).collect()
