@@ -7,6 +7,7 @@ import os
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -196,6 +197,19 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+class _Codes(dict):
+    """Numbers of units, given to new ones as they are asked for."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        code = self[unit] = len(self)
+        self.new.append(unit)
+        return code
+
+
 class Remembered:
     """Ids of units, such as words, encoded once for each Python worker; a worker forgets when there are `most`."""
 
@@ -205,40 +219,34 @@ class Remembered:
         self.forget()
 
     def forget(self) -> None:
-        self.codes: dict[str, int] = {}
+        self.codes = _Codes()
         self.lengths, self.flat, self.arrays = array("q"), array("I"), None
 
     def encode(self, split: list[list[str]]) -> list[np.ndarray]:
         """Ids of each text, given as its units."""
         if len(self.codes) > self.most:
             self.forget()
-        new = {unit for units in split for unit in units}.difference(self.codes)
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(split)), np.int64, sizes.sum())
+        new, self.codes.new = self.codes.new, []
         if new and self.encode_all:
-            units = list(new)
-            flat, lengths = self.encode_all(units)
-            self.codes.update(zip(units, range(len(self.lengths), len(self.lengths) + len(units))))
+            flat, lengths = self.encode_all(new)
             self.lengths.frombytes(lengths.astype(np.int64).tobytes())
             self.flat.frombytes(flat.astype(np.uint32).tobytes())
-            return self._gathered(split, True)
-        for unit in new:
-            ids = self.encode_unit(unit)
-            self.codes[unit] = len(self.lengths)
-            self.lengths.append(len(ids))
-            self.flat.extend(ids)
-        return self._gathered(split, bool(new))
-
-    def _gathered(self, split: list[list[str]], changed: bool) -> list[np.ndarray]:
-        if changed or self.arrays is None:
+        else:
+            for unit in new:
+                ids = self.encode_unit(unit)
+                self.lengths.append(len(ids))
+                self.flat.extend(ids)
+        if new or self.arrays is None:
             lengths = np.array(self.lengths, np.int64)
             self.arrays = lengths, np.cumsum(lengths) - lengths, np.array(self.flat, np.uint32)
         lengths, offsets, flat = self.arrays
-        out = []
-        for units in split:
-            codes = np.fromiter(map(self.codes.__getitem__, units), np.int64, len(units))
-            n = lengths[codes]
-            ends = np.cumsum(n)
-            out.append(flat[np.arange(int(n.sum())) + np.repeat(offsets[codes] - ends + n, n)])
-        return out
+        n = lengths[codes]
+        ends = np.cumsum(n)
+        ids = flat[np.arange(int(n.sum())) + np.repeat(offsets[codes] - ends + n, n)]
+        cuts = np.append(0, ends)[np.cumsum(sizes)]
+        return np.split(ids, cuts[:-1]) if len(split) else []
 
 
 def binary_array(rows: list[bytes]) -> pa.Array:

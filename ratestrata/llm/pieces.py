@@ -23,6 +23,8 @@ from ratestrata.llm.common import Remembered, slices, texts_of
 
 BLANK = "▁"
 NEVER = float("inf")
+#: A free slot of the table of pairs.
+FREE = np.int64(-1)
 #: Symbols from which on a text has a heap of its own as agenda.
 LONG = 48
 
@@ -52,7 +54,9 @@ class PieceModel:
             else p.piece.replace(BLANK, " ").encode() if p.type == kind.NORMAL else b""
             for p in proto.pieces
         ]
-        self.numbers = [str(i) for i in range(len(self.surfaces))]
+        written = [b"%d " % i for i in range(len(self.surfaces))]
+        self.number_sizes = np.array([len(x) for x in written])
+        self.numbers = np.array([list(x.ljust(8)) for x in written], np.uint8)
         self.leading = {i for piece, i in self.ids.items() if piece.startswith(BLANK)}
         self.pairs = {pair for piece in self.ids for pair in zip(piece, piece[1:])}
         if any(b == BLANK and a != BLANK for a, b in self.pairs):
@@ -70,18 +74,46 @@ class PieceModel:
             (number[piece[:k]] << 32 | number[piece[k:]], n, self.costs[piece])
             for piece, n in self.ids.items() for k in range(1, len(piece)) if piece[:k] in number and piece[k:] in number
         ]
-        joins.sort()
-        self.joins, self.joined, self.join_costs = (np.array(x, k) for x, k in zip(zip(*joins), (np.int64, np.int64, np.float64)))
+        # pairs that join, in a table of open addresses, at most a quarter full
+        keys, joined, costs = (np.array(x, k) for x, k in zip(zip(*joins), (np.int64, np.int64, np.float64)))
+        self.table = np.full(1 << (4 * len(keys)).bit_length(), FREE)
+        self.joined, self.join_costs = np.zeros(len(self.table), np.int64), np.zeros(len(self.table))
+        place, left = self._slots(keys), np.arange(len(keys))
+        while len(left):
+            free = self.table[place[left]] == FREE
+            chosen = left[free][np.unique(place[left][free], return_index=True)[1]]
+            at = place[chosen]
+            self.table[at], self.joined[at], self.join_costs[at] = keys[chosen], joined[chosen], costs[chosen]
+            left = np.setdiff1d(left, chosen)
+            taken = self.table[place[left]] != FREE
+            place[left[taken]] = (place[left[taken]] + 1) & (len(self.table) - 1)
         self.neighbours = np.array(sorted(ord(x) << 21 | ord(y) for x, y in self.pairs), np.int64)
-        self.remembered = Remembered(None, 500_000, self.encode_units)
+        self.remembered = Remembered(None, 800_000, self.encode_units)
 
     def _found(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Costs of joining pairs of symbols, infinite where no piece results, and the pieces."""
         keys = left << 32 | right
-        place = np.minimum(np.searchsorted(self.joins, keys), len(self.joins) - 1)
-        fits = (self.joins[place] == keys) & (left >= 0) & (right >= 0)
+        place = self._slots(keys)
+        fits, going = np.zeros(keys.shape, bool), (left >= 0) & (right >= 0)
+        while going.any():  # on to the next slot until the pair or a free slot is found
+            there = self.table[place]
+            fits |= going & (there == keys)
+            going &= (there != keys) & (there != FREE)
+            place = np.where(going, (place + 1) & (len(self.table) - 1), place)
         return np.where(fits, self.join_costs[place], NEVER), self.joined[place]
 
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        mixed_ = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - (len(self.table).bit_length() - 1))
+        return mixed_.astype(np.int64)
+
+    def written(self, texts: list[np.ndarray]) -> list[bytes]:
+        """The ids of each text in decimal, joined by one space."""
+        ids = np.concatenate([*texts, np.zeros(0, np.int64)]).astype(np.int64)
+        sizes = self.number_sizes[ids]
+        data = self.numbers[ids][np.arange(8) < sizes[:, None]].tobytes()
+        cuts = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum([len(x) for x in texts])).astype(np.int64)].tolist()
+        return [data[a : max(a, b - 1)] for a, b in zip(cuts, cuts[1:])]
+
     def _agendas(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The agendas of many texts of one length in step, a row for each: in every round each text joins its best pair, the leftmost among
         equals, and its two new neighbours enter. Symbols of each text in front, and how many they are."""
@@ -289,12 +321,13 @@ def round_trip(docs: DataFrame, model: str, library: str | None = None) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             own, texts = piece_model(model), [t or "" for t in batch.column("text").to_pylist()]
-            ids = [x.tolist() for x in own.encode(texts)]
-            decoded, number = [own.decode(x) for x in ids], own.numbers.__getitem__
+            found = own.encode(texts)
+            ids = [x.tolist() for x in found]
+            decoded = [own.decode(x) for x in ids]
             columns = {
                 "doc_id": batch.column("doc_id"),
                 "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
-                "ids_sha256": pa.array([hashlib.sha256(" ".join(map(number, x)).encode()).hexdigest() for x in ids]),
+                "ids_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in own.written(found)]),
                 "decoded_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in decoded]),
             }
             if library is not None:
