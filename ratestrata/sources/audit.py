@@ -31,12 +31,44 @@ def run_finished(
     return spark.createDataFrame([row], RUN_EVENTS)
 
 
-def append_event(event: DataFrame, path: str) -> None:
+#: Files of the log from which on it is merged.
+MOST_FILES = 64
+
+
+def append_event(event: DataFrame, path: str, most_files: int = MOST_FILES) -> None:
+    """Add an event, a small file. When there are `most_files`, they are merged first."""
+    if len(_files(event.sparkSession, path)) >= most_files:
+        merge_events(event.sparkSession, path)
     event.write.mode("append").parquet(path)
 
 
+def _files(spark: SparkSession, path: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    return [str(s.getPath()) for s in files.listStatus(place) if s.getPath().getName().endswith(".parquet")]
+
+
+def merge_events(spark: SparkSession, path: str) -> None:
+    """Write all events of the log, each once, into as few files as their size needs, then remove the files they came from.
+
+    A crash in between leaves events twice, which changes no state, and the next merge drops them. Events
+    that others add meanwhile lie in files of their own and stay.
+    """
+    before = _files(spark, path)
+    if not before:
+        return
+    spark.read.schema(RUN_EVENTS).parquet(*before).distinct().hint("rebalance").write.mode("append").parquet(path)
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name in before:
+        files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name), False)
+
+
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_EVENTS).parquet(path)
+    """The events of the log, each once."""
+    return spark.read.schema(RUN_EVENTS).parquet(path).distinct()
 
 
 def run_state(events: DataFrame) -> DataFrame:

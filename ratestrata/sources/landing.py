@@ -26,7 +26,9 @@ from ratestrata.sources.base import as_timestamp
 
 # Folders of rows without a partition value, and of tables without partitions.
 NO_VALUE, WHOLE = "none", "all"
-LIVE = "folder string, version bigint"
+# A pointer also holds, for each stream, the last of its batches that was landed: a row with `batch`, whose folder names the stream.
+LIVE = "folder string, version bigint, batch bigint"
+STREAM = "stream of "
 
 
 @dataclass(frozen=True)
@@ -102,7 +104,16 @@ def _live(spark: SparkSession, path: str, version: int) -> DataFrame:
 def landed_folders(spark: SparkSession, path: str) -> DataFrame | None:
     """The live version of every partition, or None if nothing was landed."""
     version = current_version(spark, path.rstrip("/"))
-    return None if version is None else _live(spark, path.rstrip("/"), version)
+    return None if version is None else _live(spark, path.rstrip("/"), version).filter("batch is null").drop("batch")
+
+
+def landed_batch(spark: SparkSession, path: str, stream: str) -> int | None:
+    """The last batch of a stream that was landed, or None."""
+    version = current_version(spark, path.rstrip("/"))
+    if version is None:
+        return None
+    found = _live(spark, path.rstrip("/"), version).filter(F.col("folder") == STREAM + stream).first()
+    return found and found["batch"]
 
 
 def read_landing(
@@ -116,7 +127,7 @@ def read_landing(
     version = current_version(spark, path)
     if version is None:
         return spark.createDataFrame([], schema)
-    live = _live(spark, path, version)
+    live = _live(spark, path, version).filter("batch is null")
     if touched is not None:
         live = live.join(touched, "folder", "left_semi")
     wider = T.StructType([*schema.fields, T.StructField("version", T.LongType()), T.StructField("folder", T.StringType())])
@@ -131,11 +142,16 @@ class Landed(NamedTuple):
     loaded: int
 
 
-def _publish(spark: SparkSession, path: str, before: int | None, number: int, touched: DataFrame) -> None:
-    """The pointer of a version: the one before, with the touched partitions moved to the new version."""
-    live = touched.select("folder", F.lit(number).cast("bigint").alias("version"))
+def _publish(
+    spark: SparkSession, path: str, before: int | None, number: int, touched: DataFrame, batch: tuple[str, int] | None
+) -> None:
+    """The pointer of a version: the one before, with the touched partitions moved to the new version, and the stream to its batch."""
+    live = touched.select("folder", F.lit(number).cast("bigint").alias("version"), F.lit(None).cast("bigint").alias("batch"))
+    if batch is not None:
+        live = live.unionByName(spark.createDataFrame([(STREAM + batch[0], number, batch[1])], LIVE))
     if before is not None:
-        live = _live(spark, path, before).join(touched, "folder", "left_anti").unionByName(live)
+        moved = live.select("folder")
+        live = _live(spark, path, before).join(moved, "folder", "left_anti").unionByName(live)
     live.coalesce(1).write.mode("overwrite").parquet(f"{path}/live/{number}")
 
 
@@ -143,7 +159,7 @@ def _tidy(spark: SparkSession, path: str, version: int) -> None:
     """Remove versions that neither the pointer nor the one before it, which readers may still hold, refers to."""
     pointers = _numbers(spark, f"{path}/live")
     held = pointers[-2:]
-    used = {row[0] for number in held for row in _live(spark, path, number).select("version").distinct().collect()}
+    used = {row[0] for number in held for row in _live(spark, path, number).filter("batch is null").select("version").distinct().collect()}
     for number in pointers[:-2]:
         _remove(spark, f"{path}/live/{number}")
     for number in _numbers(spark, f"{path}/data", "version="):
@@ -159,9 +175,13 @@ def land(
     schema: T.StructType,
     partition: PartitionBy | None = None,
     order_by: str = "_extracted_at",
+    batch: tuple[str, int] | None = None,
 ) -> Landed:
     """Upsert `updates` into the table at `path`. One writer at a time.
 
+    `batch` names the stream that they come from and their number in it. The pointer remembers the last number of every
+    stream, so a batch that comes again, after a failure behind its landing, is skipped whole, rows with a NULL in the key included.
+
     The batch is reduced to its last row of each key, with the number of rows that stood for it, and stored: the
     source is read once, both counts come from stored files (an accumulator would count rerun tasks twice), and a
     key that most of the batch has is one row from each map task on. With `partition`, of one of the keys, only the partitions that the
@@ -173,6 +193,10 @@ def land(
         raise ValueError("the partition must derive from a key, or a key could sit in two partitions")
     before = current_version(spark, path)
     number = (before or 0) + 1
+    if batch is not None:
+        last = landed_batch(spark, path, batch[0])
+        if last is not None and batch[1] <= last:
+            return Landed(0, 0)
     _remove(spark, f"{path}/incoming")
     incoming = f"{path}/incoming/{uuid.uuid4().hex}"
     counted_per_key(updates.select(*schema.fieldNames()), keys, order_by).write.parquet(incoming)
@@ -193,7 +217,7 @@ def land(
         merged = kept.withColumn("folder", folder).unionByName(fresh)
     # A folder that gets most rows is split among many tasks, and small ones share one.
     merged.hint("rebalance", F.col("folder")).write.mode("overwrite").partitionBy("folder").parquet(f"{path}/data/version={number}")
-    _publish(spark, path, before, number, touched)
+    _publish(spark, path, before, number, touched, batch)
     _remove(spark, f"{path}/incoming")
     _tidy(spark, path, number)
     return Landed(*counts)

@@ -21,11 +21,12 @@ def land_stream(
 ) -> DataStreamWriter:
     """A writer that upserts `stream`, already in landing form, into the table at `path`.
 
-    A batch repeated after a failure writes the same rows again, so the table holds those with a whole key
-    once. Rows with a NULL in the key equal nothing and are added again.
+    The checkpoint is the stream's name. A batch that Spark repeats, because the driver died between its landing and
+    the checkpoint, is skipped: the table's pointer names the last batch of every stream. So rows with a NULL in the key, which equal nothing, are
+    there once as well.
     """
 
-    def merge(batch: DataFrame, _: int) -> None:
-        land(batch.sparkSession, path, batch, keys, schema, partition, order_by)
+    def merge(batch: DataFrame, number: int) -> None:
+        land(batch.sparkSession, path, batch, keys, schema, partition, order_by, (checkpoint, number))
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -1,4 +1,4 @@
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from conftest import plan, tuples
@@ -159,6 +159,64 @@ def test_arriving_files_update_late_rows(spark, tmp_path):
     assert stored(spark, path) == [("A", "2024-01-01", "2"), ("B", "2024-01-01", "1")]
 
 
+def test_a_repeated_batch_of_a_stream_is_skipped(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = batch(spark, ("A", "2024-01-01", "1", 1), (None, "2024-01-01", "7", 1), (None, None, "8", 1))
+
+    def land(rows, number, stream="cp"):
+        return L.land(spark, path, rows, KEYS, schemas.RAW_RATES, L.RATE_MONTH, batch=(stream, number))
+
+    assert land(first, 0) == (3, 3) and land(first, 0) == (0, 0)
+    assert stored(spark, path) == [("A", "2024-01-01", "1"), (None, "2024-01-01", "7"), (None, None, "8")]
+    assert land(batch(spark, (None, "2024-02-01", "9", 2)), 1) == (1, 1) and land(first, 0) == (0, 0)
+    assert L.landed_batch(spark, path, "cp") == 1 and L.landed_batch(spark, path, "other") is None
+    assert land(first, 0, "other") == (3, 3)  # another stream counts its own batches
+    assert len(stored(spark, path)) == 6 and {r.folder for r in L.landed_folders(spark, path).collect()} == {"2024-01", "2024-02", "none"}
+
+
+def test_a_stream_whose_checkpoint_is_behind_its_table(spark, tmp_path):
+    """The driver died after the landing of a batch: Spark repeats it."""
+    import shutil
+
+    path, arrivals, checkpoint = (str(tmp_path / name) for name in ("t", "in", "cp"))
+    batch(spark, (None, "2024-01-01", "1", 1)).write.parquet(arrivals)
+
+    def run():
+        stream = spark.readStream.schema(schemas.RAW_RATES).parquet(arrivals)
+        land_stream(stream, path, KEYS, schemas.RAW_RATES, checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    shutil.rmtree(f"{checkpoint}/commits")
+    run()
+    assert stored(spark, path) == [(None, "2024-01-01", "1")]
+    batch(spark, (None, "2024-01-02", "2", 1)).write.mode("append").parquet(arrivals)
+    run()
+    assert stored(spark, path) == [(None, "2024-01-01", "1"), (None, "2024-01-02", "2")]
+
+
+def test_the_log_of_many_events_stays_small(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    events = [
+        audit.run_started(spark, f"r{i}", "d", "s", start + timedelta(minutes=i)) if i % 2 == 0
+        else audit.run_finished(spark, f"r{i - 1}", "d", "s", "success", start + timedelta(minutes=i), i, i)
+        for i in range(40)
+    ]
+    whole = events[0]
+    for event in events[1:]:
+        whole = whole.unionByName(event)
+    wanted = tuples(audit.run_state(whole))
+    for event in events:
+        audit.append_event(event, path, most_files=8)
+    assert len(audit._files(spark, path)) < 16 and tuples(audit.run_state(audit.read_events(spark, path))) == wanted
+    whole.write.mode("append").parquet(path)  # as a merge leaves them that died before it removed its sources
+    assert tuples(audit.run_state(audit.read_events(spark, path))) == wanted
+    whole.repartition(1000).write.mode("append").parquet(path)
+    audit.merge_events(spark, path)
+    assert len(audit._files(spark, path)) < 10 and audit.read_events(spark, path).count() == 40
+    assert tuples(audit.run_state(audit.read_events(spark, path))) == wanted
+
+
 def test_runs(spark, tmp_path):
     path = str(tmp_path / "runs")
 
