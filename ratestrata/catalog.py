@@ -13,6 +13,7 @@ from ratestrata.functions.tiers import volatility_tier as tier_of
 from ratestrata.operators import cleaning, containment, moments, segments, series
 from ratestrata.operators.upsert import upsert as upsert_rows
 from ratestrata.plans import daily, feeds, gold, quality, silver, staging
+from ratestrata.plans.uniqueness import KeyIndex
 from ratestrata.session import shared_folder
 from ratestrata.sources import audit
 from ratestrata.sources.base import with_lineage
@@ -588,6 +589,17 @@ def unique(spark, sf):
     return plain(quality.unique(A.table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber"))
 
 
+@query
+def unique_after_batch(spark, sf):
+    """Repeated keys of all order lines, found from the index of the earlier ones and the rows of the last batch alone."""
+    lines = A.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    keys = lines.select("l_orderkey", "l_linenumber")
+    index = KeyIndex(spark, shared_folder(spark, "keys"), keys.schema)
+    index.add(lines.filter("l_shipdate < '1997-01-01'"), "first")
+    index.add(lines.filter("l_shipdate >= '1997-01-01' and l_shipdate < '2001-01-01'"), "second")
+    return plain(index.check(lines.filter("l_shipdate >= '2001-01-01'")))
+
+
 @query
 def accepted_values(spark, sf):
     orders = A.table(spark, sf, "orders")

@@ -50,6 +50,25 @@ def listed_codes(
     )
 
 
+def matching_pieces(
+    dim: DataFrame,
+    list_col: str,
+    codes: DataFrame | None = None,
+    code_col: str | None = None,
+    match: str = "substring",
+    code_lengths: Sequence[int] | None = None,
+) -> DataFrame:
+    """`listed_codes` without the pieces that are no code at all, where `codes` tells which are.
+
+    Most pieces of a list are none; they go where they are cut, before any shuffle, if Spark can broadcast
+    the distinct codes, and in a join otherwise.
+    """
+    pieces = listed_codes(dim, list_col, codes, code_col, match, code_lengths)
+    if codes is None or code_col is None:
+        return pieces
+    return pieces.join(codes.select(F.col(code_col).alias(CODE)).distinct(), CODE, "left_semi")
+
+
 def container_map(
     dim: DataFrame,
     list_col: str,
@@ -68,7 +87,7 @@ def container_map(
     the shuffle, also of a code that most rows list.
     """
     needed = dim.select(*dict.fromkeys([list_col, rank_col, *keep, *(unique_by or [])]))
-    pieces = listed_codes(needed, list_col, codes, code_col, match, code_lengths)
+    pieces = matching_pieces(needed, list_col, codes, code_col, match, code_lengths)
     best = Window.partitionBy(CODE).orderBy(F.desc(rank_col), *[F.asc(name) for name in unique_by or []])
     place = F.row_number() if unique_by else F.rank()
     return (

@@ -524,6 +524,8 @@ ORACLES = {
     ),
     "unique": """SELECT l_orderkey, cast(l_linenumber AS bigint) AS l_linenumber, count(*) AS n FROM lineitem
         WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1""",
+    "unique_after_batch": """SELECT l_orderkey, cast(l_linenumber AS bigint) AS l_linenumber, count(*) AS n FROM lineitem
+        WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1""",
     "accepted_values": """SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_orderstatus <> 'P'
         AND o_orderpriority NOT IN ('1-URGENT', '2-HIGH') GROUP BY 1""",
     "run_checks": whole(

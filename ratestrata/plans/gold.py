@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ratestrata.functions.tiers import volatility_tier
-from ratestrata.operators.containment import CODE, listed_codes
+from ratestrata.operators.containment import CODE, matching_pieces
 from ratestrata.operators.series import as_date, latest_per_key, moving_avg, trailing_stats
 
 PAIR = ["base_currency", "target_currency"]
@@ -88,7 +88,7 @@ def country_counts(
 ) -> DataFrame:
     """Distinct countries per region and listed code."""
     needed = dim.select("cca2", "region", "currencies").filter(F.col("region").isNotNull())
-    pieces = listed_codes(needed, "currencies", codes, "target_currency", match, code_lengths)
+    pieces = matching_pieces(needed, "currencies", codes, "target_currency", match, code_lengths)
     return pieces.groupBy(F.col("region").alias("_region"), CODE).agg(
         F.count_distinct("cca2").alias("_countries")
     )

@@ -50,7 +50,7 @@ def clean_rates(spark: SparkSession, path: str, months: Sequence[str], lo: float
 def code_countries(dim: DataFrame, codes: DataFrame, code_lengths: Sequence[int] | None = None) -> DataFrame:
     """Region and name of the most populous country or countries that list each code."""
     best = container_map(dim, "currencies", "population", list(KEPT), codes, "target_currency", "substring", code_lengths)
-    return best.join(codes.select(F.col("target_currency").alias(CODE)).distinct(), CODE, "left_semi").withColumnsRenamed({CODE: "code", **KEPT})
+    return best.withColumnsRenamed({CODE: "code", **KEPT})
 
 
 def last_rows(rows: DataFrame) -> DataFrame:

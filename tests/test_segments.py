@@ -102,3 +102,21 @@ def test_tables_are_published_together(spark, frame, tmp_path):
     batch.write("b", frame("w int", (2,)))
     batch.publish(["a"])
     assert tables.read("a").count() == 0 and tables.read("a").columns == ["m", "v"] and tuples(tables.read("b")) == [(1,)]
+
+
+def test_unique_after_batches(spark, frame, tmp_path):
+    from ratestrata.plans import quality
+    from ratestrata.plans.uniqueness import KeyIndex
+
+    batches = [frame("k string, d int", *rows) for rows in (
+        [("a", 1), ("b", 1), ("b", 1), (None, 1)], [("a", 2), ("c", 1), (None, 1)], [("a", 1), ("c", None), ("d", 1), ("d", 1)],
+    )]
+    index = KeyIndex(spark, str(tmp_path / "keys"), batches[0].schema)
+    whole = None
+    for i, rows in enumerate(batches):
+        whole = rows if whole is None else whole.unionByName(rows)
+        assert tuples(index.check(rows)) == tuples(quality.unique(whole, "k", "d"))
+        index.add(rows, f"batch {i}")
+        index.add(rows, f"batch {i}")  # landed again
+    assert tuples(index.check(batches[0].limit(0))) == tuples(quality.unique(whole, "k", "d"))
+    assert "keys" in plan(index.check(rows)) and index.read().count() == 6

@@ -268,3 +268,11 @@ def test_facts_equal_brute_force_with_a_dominant_pair(spark, frame, seed):
     ]
     near = [(*row[:5], row[5] and pytest.approx(row[5], abs=0.0011), row[6]) for row in sorted(expected, key=lambda r: str((*r[:5], r[6])))]
     assert sorted(map(tuple, got.collect()), key=lambda r: str((*r[:5], r[6]))) == near
+
+
+def test_only_codes_reach_the_window(frame):
+    dim = frame("cca2 string, currencies string, population int", ("A", "NOK, PEN, DIGIKRONE", 5), ("B", "PEN", 9), ("C", None, 1))
+    codes = frame("code string", ("PEN",), ("PEN",), ("KRO",), ("XXX",), (None,))
+    pieces = containment.matching_pieces(dim, "currencies", codes, "code")
+    assert tuples(pieces.select("cca2", containment.CODE)) == [("A", "KRO"), ("A", "PEN"), ("B", "PEN")]
+    assert containment.matching_pieces(dim, "currencies", code_lengths=[3]).count() > 20
