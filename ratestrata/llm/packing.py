@@ -2,8 +2,8 @@
 
 A document becomes token ids and an end id; one that is longer than a sequence is cut so that all pieces but the
 first are full. Full pieces are sequences of their own. The others are dealt out to shards by hash, and each
-shard is evolved by several islands: a solution is a list of bins, crossover injects the well-filled
-bins of one parent whole into the other, removes what is then there twice, and best-fits the displaced pieces.
+shard is evolved by several islands, which start from different packings: a solution is a list of bins, crossover injects the well-filled
+bins of one parent whole into the other, removes what is then there twice, and refits the displaced pieces.
 After each epoch a shard's islands pass on their elite through a shuffle; the best island's bins are the result.
 Only lengths travel; texts are read once and never shuffled.
 """
@@ -27,7 +27,7 @@ SEQUENCE = 2048
 END = 0
 #: Pieces of a shard. A packed shard wastes less than one sequence more than the best packing of all pieces would.
 SHARD = 8192
-ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3, 2, 6, 4
+ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3, 2, 20, 6
 
 
 class ByteUnits:
@@ -125,9 +125,55 @@ class Shard:
             where.insert(at, number)
         return bins
 
+    def fill(self, items: list[int], loose: int = 1) -> list:
+        """Bin after bin, each as full as one piece or two can close it.
+
+        A bin gets the largest piece left, or one of the `loose` largest at random, then largest ones for as long as two more would not fill it, then the
+        piece or the pair that leaves least space.
+        """
+        items = sorted(items, key=self.lengths.__getitem__)
+        sizes, numbers = np.array([self.lengths[i] for i in items], np.int64), np.array(items, np.int64)
+        bins = []
+        while len(sizes):
+            at = len(sizes) - 1 - (int(self.rng.integers(0, min(loose, len(sizes)))) if loose > 1 else 0)
+            chosen, left = [at], np.delete(np.arange(len(sizes)), at)
+            free = self.sequence - int(sizes[at])
+            while len(left):
+                fits = left[: np.searchsorted(sizes[left], free, "right")]
+                if not len(fits):
+                    break
+                own = sizes[fits]
+                if len(fits) > 1 and own[-1] + own[-2] >= free:
+                    # the best partner of each piece, the largest that fits beside it and is not itself
+                    partner = np.searchsorted(own, free - own, "right") - 1
+                    partner -= partner == np.arange(len(own))
+                    both = np.where(partner >= 0, own + own[np.maximum(partner, 0)], -1)
+                    best = int(both.argmax())
+                    last = [fits[best], fits[partner[best]]] if both[best] > own[-1] else [fits[-1]]
+                    chosen += [int(x) for x in last]
+                    free -= int(sizes[last].sum())
+                    break
+                chosen.append(int(fits[-1]))
+                free -= int(own[-1])
+                left = fits[:-1]
+            bins.append([free, numbers[chosen].tolist()])
+            keep = np.ones(len(sizes), bool)
+            keep[chosen] = False
+            sizes, numbers = sizes[keep], numbers[keep]
+        return bins
+
     def cost(self, bins: list) -> float:
-        """Fewer bins first; among equals the one whose free space is gathered in few bins."""
-        return len(bins) - sum(free * free for free, _ in bins) / (self.sequence**2 * (len(bins) + 1))
+        """Fewer bins first; among equals the one with the fuller bins, by the squares of their fill."""
+        filled = sum((self.sequence - free) ** 2 for free, _ in bins) / (self.sequence**2 * (len(bins) + 1))
+        return len(bins) - filled
+
+    def refit(self, bins: list, items: list[int]) -> list:
+        """Displaced pieces: into new bins of their own, closely filled, or into what space there is, whichever is better."""
+        loose = self.best_fit(bins, items)
+        close = self.fill(items, 3)
+        kept = [x for x in close if x[0] * 50 <= self.sequence]  # those that came out full stay, the rest are fitted anywhere
+        close = self.best_fit(bins + kept, [item for x in close if x[0] * 50 > self.sequence for item in x[1]])
+        return min(loose, close, key=self.cost)
 
     def cross(self, a: list, b: list) -> list:
         """Well-filled bins of `b` go whole into `a`; bins of `a` that hold any of their items are emptied, the rest refitted."""
@@ -140,27 +186,34 @@ class Shard:
                 kept.append((free, own))
             else:
                 displaced += [item for item in own if item not in inside]
-        return self.best_fit(kept, displaced)
+        return self.refit(kept, displaced)
 
     def mutate(self, a: list) -> list:
         """The emptiest bins and a few others are taken apart and refitted."""
         few = max(1, len(a) // 20)
-        gone = set(sorted(range(len(a)), key=lambda i: -a[i][0])[:few]) | set(self.rng.integers(0, len(a), few).tolist())
-        return self.best_fit([x for i, x in enumerate(a) if i not in gone], [item for i in gone for item in a[i][1]])
+        gone = set(sorted(range(len(a)), key=lambda i: -a[i][0])[: 3 * few]) | set(self.rng.integers(0, len(a), few).tolist())
+        return self.refit([x for i, x in enumerate(a) if i not in gone], [item for i in gone for item in a[i][1]])
+
+    def evolve(self, elite: list[list], generations: int, island: int = 0) -> list:
+        """The best solution after some generations, from the elite, or else from best fit and a packing that differs from island to island.
 
-    def evolve(self, elite: list[list], generations: int) -> list:
-        """The best solution after some generations, from the elite or else from best fit, and mutants of the first."""
+        The evolution ends when the solution needs no more bins than the total of the lengths.
+        """
         lowest = -(-sum(self.lengths) // self.sequence)
-        population = elite or [self.best_fit([], list(range(len(self.lengths))))]
+        every = list(range(len(self.lengths)))
+        population = list(elite) or [self.best_fit([], every)]
+        if not elite and len(population[0]) > lowest:
+            population.append(self.fill(every, 1 if island == 0 else 4 * island))
         for _ in range(generations):
             population.sort(key=self.cost)
             if len(population[0]) <= lowest:
                 break
             if len(population) < POPULATION:
-                population.append(self.mutate(population[0]))
+                population.append(self.mutate(population[len(population) % 2]) if len(population) > 1 else self.mutate(population[0]))
                 continue
             one, other = sorted(self.rng.choice(len(population), 2, replace=False).tolist())
-            population[-1] = self.mutate(self.cross(population[one], population[other]))
+            child = self.cross(population[one], population[other])
+            population[-1] = min(child, self.mutate(child), key=self.cost)
         return min(population, key=self.cost)
 
     def bins_of(self, numbers: np.ndarray) -> list:
@@ -202,8 +255,8 @@ def pack(rows: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
             for batch in batches:
                 out = []
                 for shard, island, lengths, elite in zip(*(batch.column(c).to_pylist() for c in ("shard", "island", "lengths", "elite"))):
-                    own = Shard(lengths, sequence, hash((shard, island, number)) & 0x7FFFFFFF)
-                    best = own.evolve([own.bins_of(np.frombuffer(e, np.int32)) for e in elite or ()], GENERATIONS)
+                    own = Shard(lengths, sequence, (shard * 7 + island * 3 + number) & 0x7FFFFFFF)
+                    best = own.evolve([own.bins_of(np.frombuffer(e, np.int32)) for e in elite or ()], GENERATIONS, island)
                     out.append((shard, island, own.cost(best), own.numbers_of(best).tobytes()))
                 columns = list(zip(*out)) if out else [[]] * 4
                 yield pa.record_batch(

@@ -418,3 +418,29 @@ def test_stages_keep_the_columns_of_documents(documents, spark):
     docs = documents(*ODD, *varied(30))
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, "/root/testdata/sf0.001").schema == docs.schema, name
+
+
+@pytest.mark.parametrize("kind", ["triples that fill sequences", "500 to 900"])
+def test_the_evolution_needs_fewer_sequences_than_best_fit(spark, kind):
+    rng = np.random.default_rng(3)
+    if kind == "500 to 900":
+        lengths = rng.integers(500, 901, 3000).tolist()
+    else:
+        firsts = rng.integers(500, 901, (700, 2))
+        lengths = [*firsts.ravel().tolist(), *(2048 - firsts.sum(axis=1)).tolist()]
+    shard = packing.Shard(sorted(lengths, reverse=True), 2048, 1)
+    start = shard.best_fit([], list(range(len(lengths))))
+    elite = [start]
+    assert len(shard.evolve(elite, packing.GENERATIONS)) < len(start) and len(elite) == 1 and elite[0] is start
+    rows = spark.createDataFrame([(i, 0, n) for i, n in enumerate(lengths)], "doc_id long, piece int, length long")
+    used = packing.pack(rows).select("sequence_id").distinct().count()
+    assert -(-sum(lengths) // 2048) <= used < 0.98 * len(start)
+
+
+def test_packings_of_any_start_hold_every_piece_once():
+    rng = random.Random(9)
+    for lengths in ([], [5], [2048, 2048], [0, 0, 7], [1] * 50, [rng.randrange(1, 2049) for _ in range(300)]):
+        shard = packing.Shard(lengths, 2048, 2)
+        for bins in (shard.fill(list(range(len(lengths)))), shard.fill(list(range(len(lengths))), 5), shard.evolve([], 4, 1)):
+            assert sorted(i for _, own in bins for i in own) == list(range(len(lengths)))
+            assert all(free >= 0 and free + sum(lengths[i] for i in own) == 2048 for free, own in bins)
