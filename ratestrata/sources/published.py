@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ratestrata.sources.landing import NO_VALUE, WHOLE, _numbers, _remove, current_version
+from ratestrata.sources.landing import NO_VALUE, WHOLE, _file_system, _numbers, _remove, current_version
 
 ENTRY = "table string, folder string, version bigint, schema string"
 #: The folder of an entry that only says that a table exists, and what its columns are.
@@ -26,43 +27,53 @@ def _alike(one: T.StructType, other: T.StructType | None) -> bool:
     return other is None or [(f.name, f.dataType) for f in one] == [(f.name, f.dataType) for f in other]
 
 
+class Entry(NamedTuple):
+    table: str
+    folder: str
+    version: int
+    schema: str
+
+
 class Tables:
+    """The pointer is a list of folders, as long as the calendar or the batches make it: it is read once and kept on the driver."""
+
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
 
     def version(self) -> int | None:
         return current_version(self.spark, self.root)
 
-    def entries(self, version: int | None = None) -> DataFrame:
+    def entries(self, version: int | None = None) -> list[Entry]:
         number = self.version() if version is None else version
         if number is None:
-            return self.spark.createDataFrame([], ENTRY)
-        # The comparison holds for every entry; it tells the optimizer that pruning by this side is worthwhile.
-        return self.spark.read.schema(ENTRY).parquet(f"{self.root}/live/{number}").filter("version > 0")
+            return []
+        return [Entry(*row) for row in self.spark.read.schema(ENTRY).parquet(f"{self.root}/live/{number}").collect()]
 
-    def schema(self, table: str, entries: DataFrame | None = None) -> T.StructType | None:
+    def schema(self, table: str, entries: list[Entry] | None = None) -> T.StructType | None:
         """Columns of a table, or None if it was never published."""
-        found = (self.entries() if entries is None else entries).filter(F.col("table") == table).orderBy(F.desc("version")).first()
-        return found and T.StructType.fromJson(json.loads(found["schema"]))
+        found = [e for e in (self.entries() if entries is None else entries) if e.table == table]
+        return T.StructType.fromJson(json.loads(max(found, key=lambda e: e.version).schema)) if found else None
 
     def read(self, table: str, folder_as: str | None = None) -> DataFrame:
-        """The published rows of a table. Scans are pruned at run time by the pointer. `folder_as` names a column for the folder."""
-        entries = self.entries()
+        """The published rows of a table; no other folders are read. `folder_as` names a column for the folder."""
+        return self.rows(table, self.entries(), folder_as)
+
+    def rows(self, table: str, entries: list[Entry], folder_as: str | None = None) -> DataFrame:
         schema = self.schema(table, entries)
         if schema is None:
             raise LookupError(f"table '{table}' was never published")
-        return self._rows(table, schema, entries.filter(F.col("table") == table), folder_as)
-
-    def _rows(self, table: str, schema: T.StructType, live: DataFrame, folder_as: str | None) -> DataFrame:
         wider = T.StructType([*schema.fields, T.StructField("version", T.LongType()), T.StructField("folder", T.StringType())])
         path = f"{self.root}/data/table={table}"
-        # No more versions than folders; the files of others, which may go meanwhile, are not listed.
-        versions = sorted(row[0] for row in live.filter(F.col("folder") != NONE).select("version").distinct().collect())
-        if not versions:
+        live = [(e.version, e.folder) for e in entries if e.table == table and e.folder != NONE]
+        if not live:
             rows = self.spark.createDataFrame([], wider)
         else:
+            # the files of versions that are not live, which may go meanwhile, are not listed
+            versions = sorted({version for version, _ in live})
             rows = self.spark.read.schema(wider).option("basePath", path).parquet(*(f"{path}/version={number}" for number in versions))
-        rows = rows.join(live.select("version", "folder"), ["version", "folder"], "left_semi")
+            # The comparison holds for every entry; it tells the optimizer that pruning by this side is worthwhile.
+            places = self.spark.createDataFrame(live, "version bigint, folder string").filter("version > 0")
+            rows = rows.join(places, ["version", "folder"], "left_semi")
         return rows.select(*schema.fieldNames(), *([F.col("folder").alias(folder_as)] if folder_as else []))
 
     def begin(self) -> Batch:
@@ -74,9 +85,10 @@ class Batch:
 
     def __init__(self, tables: Tables) -> None:
         self.tables, self.spark, self.root = tables, tables.spark, tables.root
-        self.before = tables.version()
-        self.number = (self.before or 0) + 1
-        self.written: dict[str, tuple[DataFrame, list[str] | None]] = {}
+        before = tables.version()
+        self.before = [] if before is None else tables.entries(before)
+        self.number = (before or 0) + 1
+        self.written: dict[str, tuple[list[Entry], list[str] | None]] = {}
 
     def write(
         self,
@@ -93,7 +105,7 @@ class Batch:
         of their own. A touched folder without rows goes.
         """
         schema, path = df.schema, f"{self.root}/data/table={table}/version={self.number}"
-        if touched is not None and not _alike(schema, self.tables.schema(table)):
+        if touched is not None and not _alike(schema, self.tables.schema(table, self.before)):
             raise ValueError(f"columns of '{table}' changed: write the whole table")
         rows = df.withColumn("folder", F.lit(WHOLE) if folder is None else F.coalesce(folder, F.lit(NO_VALUE)))
         if folder is not None:
@@ -101,44 +113,39 @@ class Batch:
         if sort:
             rows = rows.sortWithinPartitions("folder", *sort)
         rows.write.mode("overwrite").partitionBy("folder").parquet(path)
-        wider = T.StructType([*schema.fields, T.StructField("folder", T.StringType())])
-        folders = self.spark.read.schema(wider).parquet(path).select("folder").distinct()
-        mark = self.spark.createDataFrame([(NONE,)], "folder string")
-        entries = folders.unionByName(mark).select(
-            F.lit(table).alias("table"), "folder", F.lit(self.number).cast("bigint").alias("version"), F.lit(schema.json()).alias("schema")
-        )
+        entries = [Entry(table, name, self.number, schema.json()) for name in [*self._folders(path), NONE]]
         self.written[table] = entries, None if touched is None else list(touched)
-        return self.tables._rows(table, schema, self._entries([table]).filter(F.col("table") == table), folder_as)
+        return self.read(table, folder_as)
+
+    def _folders(self, path: str) -> list[str]:
+        files, place = _file_system(self.spark, path)
+        unescape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        names = [status.getPath().getName() for status in files.listStatus(place)]
+        return [unescape(name.removeprefix("folder=")) for name in names if name.startswith("folder=")]
 
     def read(self, table: str, folder_as: str | None = None) -> DataFrame:
         """A table as it will be, written by this batch or not."""
-        entries = self._entries([table] if table in self.written else [])
-        schema = self.tables.schema(table, entries)
-        if schema is None:
-            raise LookupError(f"table '{table}' was never written")
-        return self.tables._rows(table, schema, entries.filter(F.col("table") == table), folder_as)
+        return self.tables.rows(table, self._entries([table] if table in self.written else []), folder_as)
 
-    def _entries(self, names: Iterable[str]) -> DataFrame:
+    def _entries(self, names: Iterable[str]) -> list[Entry]:
         """The pointer as it will be when the tables of these names change."""
-        live = self.tables.entries(self.before) if self.before else self.spark.createDataFrame([], ENTRY)
+        live = self.before
         for name in names:
             entries, touched = self.written[name]
-            gone = F.col("table") == name
-            if touched is not None:
-                gone &= F.col("folder").isin([*touched, NONE])
-            live = live.filter(~gone).unionByName(entries)
+            gone = None if touched is None else {*touched, NONE}
+            live = [e for e in live if e.table != name or (gone is not None and e.folder not in gone)] + entries
         return live
 
     def publish(self, only: Sequence[str] | None = None) -> None:
         """Switch to what was written, all tables at once, or those of `only`."""
-        live = self._entries(self.written if only is None else only)
+        live = self.spark.createDataFrame(self._entries(self.written if only is None else only), ENTRY)
         live.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/live/{self.number}")
         self._tidy()
 
     def _tidy(self) -> None:
         """Remove versions that neither this pointer nor the one before it, which readers may still hold, refers to."""
         pointers = _numbers(self.spark, f"{self.root}/live")
-        used = {tuple(row) for number in pointers[-2:] for row in self.tables.entries(number).select("table", "version").distinct().collect()}
+        used = {(e.table, e.version) for number in pointers[-2:] for e in self.tables.entries(number)}
         for number in pointers[:-2]:
             _remove(self.spark, f"{self.root}/live/{number}")
         for table in {table for table, _ in used} | set(self.written):

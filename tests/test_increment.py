@@ -63,8 +63,8 @@ def state(spark, out):
 
 
 def versions(spark, out, table="silver.fct_exchange_rates"):
-    entries = daily.published(spark, daily.Layers(str(out))).entries().filter(F.col("table") == table)
-    return {r.folder: r.version for r in entries.collect() if r.folder}
+    entries = daily.published(spark, daily.Layers(str(out))).entries()
+    return {e.folder: e.version for e in entries if e.table == table and e.folder}
 
 
 @pytest.fixture(scope="module")
