@@ -71,9 +71,9 @@ class Tables:
             # the files of versions that are not live, which may go meanwhile, are not listed
             versions = sorted({version for version, _ in live})
             rows = self.spark.read.schema(wider).option("basePath", path).parquet(*(f"{path}/version={number}" for number in versions))
-            # The comparison holds for every entry; it tells the optimizer that pruning by this side is worthwhile.
-            places = self.spark.createDataFrame(live, "version bigint, folder string").filter("version > 0")
-            rows = rows.join(places, ["version", "folder"], "left_semi")
+            # Folders are chosen while planning: a join with the list would send all rows into as many tasks as there are folders.
+            places = [f"{number}/{folder}" for number, folder in live]
+            rows = rows.filter(F.concat(F.col("version").cast("string"), F.lit("/"), F.col("folder")).isin(places))
         return rows.select(*schema.fieldNames(), *([F.col("folder").alias(folder_as)] if folder_as else []))
 
     def begin(self) -> Batch:

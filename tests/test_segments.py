@@ -120,3 +120,19 @@ def test_unique_after_batches(spark, frame, tmp_path):
         index.add(rows, f"batch {i}")  # landed again
     assert tuples(index.check(batches[0].limit(0))) == tuples(quality.unique(whole, "k", "d"))
     assert "keys" in plan(index.check(rows)) and index.read().count() == 6
+
+
+def test_published_folders_are_chosen_without_moving_rows(spark, frame, tmp_path):
+    from ratestrata.plans.uniqueness import KeyIndex
+
+    rows = frame("k string, d int", ("a", 1), ("b", 1), ("b", 1))
+    index = KeyIndex(spark, str(tmp_path / "keys"), rows.schema)
+    for name in ("one", "two/2", "three = 3%"):
+        index.add(rows, name)
+    text = plan(index.read())
+    # a join with the list of folders would send every key to the task of its folder
+    assert "Join" not in text and "Exchange" not in text and "PartitionFilters: [" in text and "createDataFrame" not in text
+    assert tuples(index.read()) == sorted([("a", 1, 1), ("b", 1, 2)] * 3)
+    index.add(rows.filter("k = 'a'"), "two/2")
+    assert tuples(index.check(rows)) == [("a", 1, 4), ("b", 1, 6)]
+    assert {e.folder: e.version for e in index.tables.entries() if e.folder} == {"one": 1, "two/2": 4, "three = 3%": 3}
