@@ -465,8 +465,8 @@ def fct_rates(spark, sf):
 
 def _late_rates(spark, sf):
     """The price series in landing form, one row per pair and day, and a late batch of it: the last days of three months
-    again, with other prices, and with none that is plausible where the base is N."""
-    rates = series.dedup_latest(A.raw_rates(spark, sf), PAIR_DAY, "_extracted_at")
+    again, with other prices, and with none that is plausible where the base is N. The series is stored: both batches come from one scan."""
+    rates = stored(spark, series.dedup_latest(A.raw_rates(spark, sf), PAIR_DAY, "_extracted_at"), "rates")
     late = F.substring("rate_date", 1, 7).isin(*A.LATE_MONTHS) & (F.substring("rate_date", 9, 2) >= "20")
     price = F.when(F.col("base_currency") == "N", "0").otherwise(F.concat(F.lit("1"), "rate"))
     return rates, rates.filter(late).withColumn("rate", price)

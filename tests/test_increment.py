@@ -164,3 +164,22 @@ def test_a_failed_check_leaves_the_tables(spark, out, tmp_path):
         daily.run_daily(spark, rates, countries(tmp_path / "c.json"), str(out), "r2", AS_OF, AT, [rule], incremental=True)
     assert state(spark, out) == before
     assert daily.read_table(spark, daily.Layers(str(out)), "gold", "check_results").filter("not passed").count() == 1
+
+
+def test_a_late_batch_comes_from_the_stored_series(spark, frame, tmp_path):
+    from datetime import datetime
+
+    from conftest import plan
+
+    from ratestrata import catalog
+
+    line = "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    day, other = datetime(1998, 11, 25), datetime(1998, 11, 3)
+    frame(line, (1, 1, 1, 5.0, "A", "O", day), (2, 1, 2, 6.0, "A", "O", day), (3, 1, 2, 70.0, "A", "O", day), (3, 1, 1, 8.0, "N", "O", day),
+          (4, 1, 1, 9.0, "A", "F", other), (4, 1, 1, 9.0, None, "F", None)).write.parquet(str(tmp_path / "lineitem.parquet"))
+    frame("p_partkey bigint, p_brand string", (1, "B")).write.parquet(str(tmp_path / "part.parquet"))
+    rates, late = catalog._late_rates(spark, str(tmp_path))
+    assert "lineitem" not in plan(rates) + plan(late) and "Window" not in plan(late)
+    short = [F.col("base_currency"), F.col("rate_date"), F.col("rate").cast("double")]
+    assert tuples(rates.select(*short)) == sorted([("A", "1998-11-25", 70.0), ("N", "1998-11-25", 8.0), ("A", "1998-11-03", 9.0), (None, None, 9.0)], key=str)
+    assert tuples(late.select(*short)) == [("A", "1998-11-25", 170.0), ("N", "1998-11-25", 0.0)]

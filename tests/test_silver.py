@@ -276,3 +276,11 @@ def test_only_codes_reach_the_window(frame):
     pieces = containment.matching_pieces(dim, "currencies", codes, "code")
     assert tuples(pieces.select("cca2", containment.CODE)) == [("A", "KRO"), ("A", "PEN"), ("B", "PEN")]
     assert containment.matching_pieces(dim, "currencies", code_lengths=[3]).count() > 20
+
+
+def test_the_newest_row_is_sorted_by_a_number_first(frame):
+    rows = frame("a string, b string, t int, v string", ("x", None, 1, "p"), (None, "x", 1, "q"), ("x", None, 2, "r"), ("y", "y", None, "s"), ("y", "y", 9, "t"))
+    newest = series.dedup_latest(rows, ["a", "b"], "t")
+    # text keys often begin alike: the first eight bytes, by which Spark sorts, then tell nothing
+    assert "Sort [_key_hash" in plan(newest) and newest.columns == ["a", "b", "t", "v"]
+    assert tuples(newest) == sorted([("x", None, 2, "r"), (None, "x", 1, "q"), ("y", "y", None, "s")], key=str)
