@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ratestrata.llm.common import Remembered, Workspace, slices, texts_of
+from ratestrata.llm.common import Workspace, slices, texts_of
 
 SEQUENCE = 2048
 END = 0
@@ -31,10 +31,9 @@ ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3, 2, 20, 6
 
 
 class ByteUnits:
-    """Ids of a byte-level BPE tokenizer, remembered by unit.
+    """Ids of a byte-level BPE tokenizer.
 
-    The splitting rule of these tokenizers never joins a blank to what stands before it unless that is white space, so
-    a text may be cut before every blank between two non-blank characters, and units encoded on their own.
+    Texts are encoded whole, in one call each: looking up remembered words costs more than encoding them again.
     """
 
     def __init__(self, path: str) -> None:
@@ -54,14 +53,15 @@ class ByteUnits:
         ranks = {bytes(to_byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self.encoding = tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
-        self.remembered = Remembered(lambda unit: self.encoding.encode(unit, allowed_special="all"), 400_000)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        return self.remembered.encode([_units(text) for text in texts])
+        return [self.encoding.encode_to_numpy(text, allowed_special="all") for text in texts]
 
 
 def _units(text: str) -> list[str]:
+    """Pieces of a text that can be encoded on their own: the splitting rule of these tokenizers never joins a blank to what
+    stands before it unless that is white space, so a text may be cut before every blank between two non-blank characters."""
     if not text:
         return []
     if re.search(r"\s\s", text):
@@ -84,7 +84,7 @@ def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = byte_units(tokenizer)
-        for batch in slices(batches, most=1 << 20):  # units of a slice are Python objects
+        for batch in slices(batches, most=1 << 20):  # texts of a slice are Python objects
             rows = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), units.encode([t or "" for t in batch.column("text").to_pylist()])):
                 ids = np.append(ids, END).astype("<u4")

@@ -383,6 +383,25 @@ def test_pieces_that_fit_no_sequence_fail_the_job(spark, length):
     assert packing.pack(rows.where("doc_id < 3"), 10).count() == 2
 
 
+def test_a_text_is_encoded_in_one_call(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path, calls = packing.default_tokenizer(), []
+    texts = ["", " a  b\n", "<|endoftext|> x<|endoftext|>", "".join(f" w{i}" for i in range(3000)), "it's 東京\u3000 \t1a"]
+    units = packing.ByteUnits(path)
+
+    class Counted:
+        def __getattr__(self, name):
+            calls.append(name)
+            return getattr(encoding, name)
+
+    encoding = units.encoding
+    monkeypatch.setattr(units, "encoding", Counted())
+    got, plain = units.encode(texts), Tokenizer.from_file(path)
+    assert [ids.tolist() for ids in got] == [plain.encode(text, add_special_tokens=False).ids for text in texts]
+    assert len(calls) <= len(texts)
+
+
 def test_crossover_keeps_every_item_once():
     rng = np.random.default_rng(4)
     lengths = rng.integers(1, 2048, 300).tolist()
