@@ -113,11 +113,11 @@ def top_container(
     """Left-join `df` to the top-ranked `dim` row(s) that list its code.
 
     `keep` maps columns of `dim` to their new names; they are NULL without a match. `codes`
-    may be any cheaper frame that holds at least the codes of `df`. No broadcast is
-    forced: Spark broadcasts the map if its size, estimated or measured at run time,
+    may be any cheaper frame that holds at least the codes of `df`; with `code_lengths` none is
+    needed, and `df` is not read for them. No broadcast is forced: Spark broadcasts the map if its size, estimated or measured at run time,
     allows, and otherwise splits skewed codes of the left side.
     """
-    source = df if codes is None else codes
+    source = df if codes is None and code_lengths is None else codes
     best = container_map(
         dim, list_col, rank_col, list(keep), source, code_col, match, code_lengths, unique_by
     ).withColumnsRenamed(keep)

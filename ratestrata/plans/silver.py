@@ -58,7 +58,7 @@ def fct_rates(
     Two shuffles of the facts: by (pair, day), after the map side has dropped repeated
     extractions, and by pair for the change. Hashing by pair once would serve both, but
     would bring all repeated extractions of a dominant pair into one task. `codes` may name
-    a smaller frame that holds the target currencies.
+    a smaller frame that holds the target currencies; with `code_lengths` none is read.
     """
     # The day first: sorting compares the key with the most values before the others.
     newest = dedup_latest(staged, ["rate_date", *reversed(PAIR)], "extracted_at")
@@ -73,5 +73,5 @@ def fct_rates(
         match,
         code_lengths,
         unique_by,
-        codes=staged if codes is None else codes,
+        codes=staged if codes is None and code_lengths is None else codes,
     ).select(*FACT_COLUMNS)
