@@ -4,6 +4,9 @@ A token file is nothing but ids of 16 or 32 bits, each document ended by one ide
 task reads its ranges by their offset, so a file may have any size. Every range is searched for the identifier by itself, in numpy. What a
 range cannot know, how many documents ended before it and where the last one did, is a prefix scan over range
 summaries: a scan of groups of ranges, then of the ranges in each group, so that no window holds more than a file's groups.
+
+Spark estimates a stored table by the size of its files, in which a row of the register, path included, takes about 3 bytes, against some 400
+in a broadcast: millions of rows would go through the driver. Tables that grow with the documents are therefore joined by sorting.
 """
 
 from __future__ import annotations
@@ -146,7 +149,7 @@ def token_counts(files: DataFrame, end: int, kind: str = "<u4", width: int = RAN
         "file", "range", "base", (F.col("n_before") + F.col("n_inside")).alias("ordinal"),
         (F.coalesce("last_inside", "last_before", F.lit(-1)) + 1).alias("start"),
     )
-    each = found.where(F.size("ends") > 0).select("file", "range", "ends").join(carried, ["file", "range"]).select(
+    each = found.where(F.size("ends") > 0).select("file", "range", "ends").hint("merge").join(carried, ["file", "range"]).select(
         "file", "ordinal", "start", F.expr("transform(ends, e -> base + e)").alias("at")
     ).select("file", "ordinal", "start", "at", F.posexplode("at").alias("k", "stop")).select(
         "file", (F.col("ordinal") + F.col("k")).alias("ordinal"),
@@ -165,6 +168,6 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     register = work.store(write_files(docs, tokenizer, end, f"{work.root}/files"), "register")
     files = register.where("ordinal is null").select("file", "size")
     found = token_counts(files, end, "<u2")
-    return register.where("ordinal is not null").drop("size").join(found, ["file", "ordinal"]).select(
+    return register.where("ordinal is not null").drop("size").hint("merge").join(found, ["file", "ordinal"]).select(
         "doc_id", "file", "ordinal", "start", "n_tokens"
     )

@@ -122,6 +122,34 @@ def test_the_query_counts_like_the_library(spark):
     assert tuples(token_counts.op8_token_counts(spark, "/root/testdata/sf0.001").select("doc_id", "n_tokens")) == wanted
 
 
+def broadcast_columns(df):
+    """Names of the columns that the broadcasts of a plan that ran have sent through the driver, one set for each."""
+    df.collect()
+    found, rest = [], [df._jdf.queryExecution().executedPlan()]
+    while rest:
+        node = rest.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            rest.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            rest.append(node.plan())
+        else:
+            if kind == "BroadcastExchangeExec":
+                found.append({node.output().apply(i).name() for i in range(node.output().size())})
+            rest += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_no_table_that_grows_with_the_documents_is_broadcast(documents, spark, tmp_path):
+    """Files of a few MB can hold millions of rows, each with the path of its token file."""
+    documents(*((i, "a b " * (i % 3)) for i in range(2000)), (None, None), (7, "x")).write.parquet(f"{tmp_path}/documents.parquet")
+    counted = token_counts.op8_token_counts(spark, str(tmp_path))
+    assert not [names for names in broadcast_columns(counted) if names & {"doc_id", "ends", "stop", "n_tokens"}]
+    assert counted.count() == 2002
+    small = documents((1, "a")).select("doc_id")  # the walk finds a broadcast where there is one
+    assert broadcast_columns(small.join(small.select("doc_id").hint("broadcast"), "doc_id")) == [{"doc_id"}]
+
+
 def test_a_text_with_the_separator_is_refused(documents, tmp_path):
     tokenizer = packing.default_tokenizer()
     (one,) = token_counts.plain_units(tokenizer).encode([["x"]])
